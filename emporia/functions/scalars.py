@@ -81,8 +81,11 @@ def epoch_day_to_date(n) -> Column:
 
 
 def age_on(birthday, as_of: str) -> Column:
-    """H6: whole years between ``birthday`` and the day ``as_of`` ('yyyy-MM-dd')."""
-    return F.floor(F.months_between(F.lit(as_of).cast("date"), _c(birthday)) / 12).cast("int")
+    """H6: whole years between ``birthday`` and the day ``as_of`` ('yyyy-MM-dd'):
+    the year difference, less one when the birthday is still to come."""
+    d, b = F.lit(as_of).cast("date"), _c(birthday)
+    md = lambda x: F.month(x) * 100 + F.dayofmonth(x)
+    return (F.year(d) - F.year(b) - F.when(md(d) < md(b), 1).otherwise(0)).cast("int")
 
 
 def decade(birthday) -> Column:

@@ -267,8 +267,10 @@ def words(spark: SparkSession, sf: str) -> DataFrame:
 
 def _smap(cols: list[str], df: DataFrame) -> Column:
     """String map of the given columns (values rendered as the change log does)."""
+    types = dict(df.dtypes)
+
     def render(c: str) -> Column:
-        t = dict(df.dtypes)[c]
+        t = types[c]
         if t.startswith("timestamp"):
             return F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss")
         return F.col(c).cast("string")
