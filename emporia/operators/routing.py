@@ -118,8 +118,9 @@ def split_log(log: DataFrame) -> dict[str, DataFrame]:
     err = log.where(F.col("err").isNotNull())
     start = log.where(F.col("start").isNotNull())
     pages = log.where(F.col("start").isNull())
-    display = pages.select("common", "page", F.explode("displays").alias("display"), "ts")
-    action = pages.select("common", "page", F.explode("actions").alias("action"))
+    ident = [c for c in ("event_id",) if c in log.columns]
+    display = pages.select(*ident, "common", "page", F.explode("displays").alias("display"), "ts")
+    action = pages.select(*ident, "common", "page", F.explode("actions").alias("action"))
     page = pages.drop("err", "displays", "actions", "start")
     return {"err": err, "start": start, "page": page, "display": display, "action": action}
 

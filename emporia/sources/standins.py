@@ -349,3 +349,25 @@ def cdc_json(spark: SparkSession, sf: str) -> DataFrame:
     """The change log as raw JSON lines (``value``), the form a topic carries."""
     c = cdc(spark, sf)
     return c.select(F.to_json(F.struct("before", "after", "source", "op", "ts_ms")).alias("value"))
+
+
+# ---------------------------------------------------------------- CSV lines
+
+EMP_SCHEMA = "empno BIGINT, ename STRING, deptno INT, ts BIGINT"
+DEPT_SCHEMA = "deptno INT, dname STRING, ts BIGINT"
+
+
+def emp_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Employee lines ``empno,ename,deptno,ts`` (one per customer)."""
+    c = table(spark, sf, "customer")
+    ts = F.lit(USER_EPOCH_MS) + F.col("c_custkey") * 1000
+    return c.select(F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name",
+                                F.col("c_nationkey").cast("string"), ts.cast("string")).alias("value"))
+
+
+def dept_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Department lines ``deptno,dname,ts`` (one per nation), stamped so that
+    department d is announced at the time of employee ``d * 60 + 3``."""
+    n = table(spark, sf, "nation")
+    ts = F.lit(USER_EPOCH_MS) + (F.col("n_nationkey") * 60 + 3) * 1000
+    return n.select(F.concat_ws(",", F.col("n_nationkey").cast("string"), "n_name", ts.cast("string")).alias("value"))
