@@ -174,13 +174,15 @@ def user_sup(sup: DataFrame) -> DataFrame:
                       F.concat(F.col("weight").cast("string"), F.col("unit_weight")).alias("weight"), "ts_ms")
 
 
-def device_search(page: DataFrame) -> DataFrame:
+def device_search(page: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Device fields and the search item (keyword items only); ``os``
-    is its first token, a missing uid becomes ``home``."""
+    is its first token, a missing uid becomes ``home``; session, device id
+    and new-visitor flag are dropped."""
     uid = F.when(F.col("uid").isNull() | (F.col("uid") == ""), F.lit("home")).otherwise(F.col("uid"))
     item = F.when(F.col("item_type") == "keyword", F.col("item"))
     return page.select(uid.alias("uid"), F.col("ar"), F.col("ba"), F.col("ch"), F.col("md"),
-                       first_token(F.col("os")).alias("os"), item.alias("search_item"), F.col("ts_ms"))
+                       first_token(F.col("os")).alias("os"), item.alias("search_item"), F.col("ts_ms"),
+                       *[F.col(c) for c in keep])
 
 
 def order_base(orders: DataFrame) -> DataFrame:

@@ -85,32 +85,24 @@ def with_session_start(df: DataFrame, last_page: str = "last_page_id", flag: str
 
 # ------------------------------------------------------------------ F5
 
-def dedup_retract(df: DataFrame, key: str, measures: list[str], ts: str = "ts_ms",
-                  tie: str = "seq") -> DataFrame:
+def dedup_retract(df: DataFrame, key: str, measures: list[str], order: list[str] | str = "ts_ms") -> DataFrame:
     """on a repeated key emit the previous version negated, then the new one.
 
-    The negated copy carries the superseding record's time (it is emitted
-    when that record arrives). Summing the output equals summing only the
-    latest version per key. A key's versions are ordered by ``(ts, tie)``;
-    each row needs only its successor, found with a ``lead`` over the key.
+    Every version is emitted as is; every version that a later one
+    supersedes is emitted a second time with its measures negated (it
+    keeps its own event time, so it cancels itself in its own window).
+    Summing the output equals summing only the latest version per key.
+    "Superseded" = not the key's latest ``order``: a partial aggregate
+    (``max`` per key) joined back, so a key's versions never have to be
+    sorted together in one task.
     """
-    w = Window.partitionBy(key).orderBy(F.col(ts), F.col(tie))
-    nxt_ts = F.lead(ts).over(w)
-    nxt_tie = F.lead(tie).over(w)
-    base = df.withColumn("_next_ts", nxt_ts).withColumn("_next_tie", nxt_tie)
-    rows = base.drop("_next_ts", "_next_tie").withColumn("is_retraction", F.lit(False))
-    neg_cols = []
-    for c in df.columns:
-        if c in measures:
-            neg_cols.append((-F.col(c)).alias(c))
-        elif c == ts:
-            neg_cols.append(F.col("_next_ts").alias(c))
-        elif c == tie:
-            neg_cols.append(F.col("_next_tie").alias(c))
-        else:
-            neg_cols.append(F.col(c))
-    retracts = base.where(F.col("_next_ts").isNotNull()).select(*neg_cols) \
-        .withColumn("is_retraction", F.lit(True))
+    order = [order] if isinstance(order, str) else list(order)
+    pos = F.struct(*[F.col(c) for c in order])
+    last = df.groupBy(key).agg(F.max(pos).alias("_last"))
+    tagged = df.join(last, key)
+    rows = tagged.drop("_last").withColumn("is_retraction", F.lit(False))
+    neg = [(-F.col(c)).alias(c) if c in measures else F.col(c) for c in df.columns]
+    retracts = tagged.where(pos < F.col("_last")).select(*neg).withColumn("is_retraction", F.lit(True))
     return rows.unionByName(retracts)
 
 
@@ -137,13 +129,16 @@ def mark_login(df: DataFrame, key: str = "user_id", ts: str = "ts_ms", tie: str
 
 # ------------------------------------------------------------------ F7
 
-def keep_newer(df: DataFrame, key: str, ts: str, tie: str | None = None) -> DataFrame:
-    """keep a record only when its time is later than every earlier
-    record of the key (the stored maximum); ties and older records drop."""
-    order = [F.col(ts)] + ([F.col(tie)] if tie else [])
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    prev_max = F.max(ts).over(w)
-    return df.where(prev_max.isNull() | (F.col(ts) > prev_max))
+def keep_newer(df: DataFrame, key: str, ts: str, tie: str) -> DataFrame:
+    """keep a record only when its time is later than the stored one.
+
+    The stored value is the largest time kept so far, so a record passes
+    exactly when its time exceeds every earlier record's. With records
+    arriving in ``(ts, tie)`` order that is the first record of each
+    distinct ``(key, ts)`` -- one partial aggregate, no per-key sort.
+    """
+    first = df.groupBy(key, ts).agg(F.min_by(F.struct(*df.columns), F.col(tie)).alias("_r"))
+    return first.select("_r.*")
 
 
 # ------------------------------------------------------------------ F8 / F9

@@ -76,3 +76,14 @@ def traffic_window(log: DataFrame, size: str = "10 seconds", key: str = "mid",
            .agg(F.sum("uv_ct").alias("uv_ct"), F.sum("sv_ct").alias("sv_ct"),
                 F.sum("pv_ct").alias("pv_ct"), F.sum("dur_sum").alias("dur_sum")))
     return stamp_window(out).select(*WINDOW_COLS, *TRAFFIC_DIMS, "uv_ct", "sv_ct", "pv_ct", "dur_sum")
+
+
+# ------------------------------------------------------------------ A9
+
+def last_in_window(df: DataFrame, key: str, ts: str, size: str, cols: list[str], tie: str | None = None) -> DataFrame:
+    """The last record per key in each tumbling window (``max_by``, a
+    partial aggregate: a hot key is reduced map-side)."""
+    order = F.struct(F.col(ts), F.col(tie)) if tie else F.col(ts)
+    agg = df.groupBy(key, F.window(ms_to_ts(ts), size).alias("window")).agg(
+        F.max_by(F.struct(*cols), order).alias("_last"))
+    return stamp_window(agg.select(key, "window", *[F.col("_last")[c].alias(c) for c in cols]))
