@@ -365,8 +365,8 @@ def user_device_running(spark, sf):
 @register("user_device_last", with_views(f"""
 with d as ({DEVICE_SQL})
 select uid, {_stamp_sql(_win_sql('2 minutes'), '2 minutes')},
-  arg_max(os, ts_ms * 1000000 + event_id) as os, arg_max(ch, ts_ms * 1000000 + event_id) as ch,
-  arg_max(search_item, ts_ms * 1000000 + event_id) as search_item
+  arg_max_null(os, ts_ms * 1000000 + event_id) as os, arg_max_null(ch, ts_ms * 1000000 + event_id) as ch,
+  arg_max_null(search_item, ts_ms * 1000000 + event_id) as search_item
 from d group by uid, {_win_sql('2 minutes')}""", "v_page_log"))
 def user_device_last(spark, sf):
     """The last record per user in each 2-minute window (batch form of the
