@@ -244,7 +244,8 @@ def dim_sku_flat(spark, sf):
 
 
 @register("csv_lines_parse", f"""
-select c_custkey as empno, c_name as ename, c_nationkey as deptno, {E0} + c_custkey * 1000 as ts from customer""")
+select c_custkey as empno, c_name as ename, c_nationkey as deptno, {E0} + c_nationkey * 1000 + c_custkey % 11 as ts
+from customer""")
 def csv_lines_parse(spark, sf):
     """Employee CSV lines ``empno,ename,deptno,ts`` -> typed rows."""
     lines = standins.emp_lines(spark, sf)

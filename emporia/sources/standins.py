@@ -358,16 +358,21 @@ DEPT_SCHEMA = "deptno INT, dname STRING, ts BIGINT"
 
 
 def emp_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Employee lines ``empno,ename,deptno,ts`` (one per customer)."""
+    """Employee lines ``empno,ename,deptno,ts`` (one per customer); the time
+    is the department's second plus a few milliseconds."""
     c = table(spark, sf, "customer")
-    ts = F.lit(USER_EPOCH_MS) + F.col("c_custkey") * 1000
+    ts = F.lit(USER_EPOCH_MS) + F.col("c_nationkey") * 1000 + F.col("c_custkey") % 11
     return c.select(F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name",
                                 F.col("c_nationkey").cast("string"), ts.cast("string")).alias("value"))
 
 
 def dept_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Department lines ``deptno,dname,ts`` (one per nation), stamped so that
-    department d is announced at the time of employee ``d * 60 + 3``."""
-    n = table(spark, sf, "nation")
-    ts = F.lit(USER_EPOCH_MS) + (F.col("n_nationkey") * 60 + 3) * 1000
-    return n.select(F.concat_ws(",", F.col("n_nationkey").cast("string"), "n_name", ts.cast("string")).alias("value"))
+    """Department lines ``deptno,dname,ts``: nations (but every fourth) at
+    their second + 3 ms, and regions as departments 100+ without staff."""
+    n = table(spark, sf, "nation").where(F.col("n_nationkey") % 4 != 3)
+    r = table(spark, sf, "region")
+    ts = F.lit(USER_EPOCH_MS) + F.col("n_nationkey") * 1000 + 3
+    nat = n.select(F.concat_ws(",", F.col("n_nationkey").cast("string"), "n_name", ts.cast("string")).alias("value"))
+    reg = r.select(F.concat_ws(",", (F.col("r_regionkey") + 100).cast("string"), "r_name",
+                               F.lit(USER_EPOCH_MS).cast("string")).alias("value"))
+    return nat.unionByName(reg)
