@@ -64,7 +64,7 @@ def running_sets(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
 def check_last_word(df: DataFrame, words: DataFrame, text: str = "msg", id_col: str = "id") -> DataFrame:
     """The last comma token (trailing commas stripped, blanks trimmed) is a
     listed word -> ``is_violation`` 1, grade ``P0``, message = that word."""
-    tok = F.trim(last_token(F.col(text), ","))
+    tok = F.regexp_replace(last_token(F.col(text), ","), r"^\s+|\s+$", "")
     w = words.select(F.col("word").alias("_w")).distinct()
     x = df.withColumn("_last", tok).join(w, F.col("_last") == F.col("_w"), "left")
     hit = F.col("_w").isNotNull()

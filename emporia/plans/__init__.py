@@ -5,6 +5,6 @@ DuckDB oracles (``ORACLES``).
 """
 
 from emporia.plans.registry import ORACLES, QUERIES  # noqa: F401
-from emporia.plans import traffic, dwd, ods, dws, profile  # noqa: F401
+from emporia.plans import traffic, dwd, ods, dws, profile, lookups  # noqa: F401
 
 __all__ = ["QUERIES", "ORACLES"]
