@@ -15,10 +15,20 @@ from emporia.functions.scalars import DATETIME, first_token, ms_to_ts, time_slot
 
 # ------------------------------------------------------------------ P1
 
+def table_col(cdc: DataFrame) -> Column:
+    """Source table of a change record: the partition column when the log is
+    stored partitioned by table, else ``source['table']``."""
+    return F.col("table_name") if "table_name" in cdc.columns else F.col("source")["table"]
+
+
 def fact_source(cdc: DataFrame, table: str, cols: list[str], ops: list[str] | None = None,
                 keep_ts: bool = True) -> DataFrame:
-    """Rows of one source table, ``after`` fields promoted to columns."""
-    out = cdc.where(F.col("source")["table"] == table)
+    """Rows of one source table, ``after`` fields promoted to columns.
+
+    When the log is stored partitioned by ``table_name`` the filter is a
+    partition filter and the other tables are never read.
+    """
+    out = cdc.where(table_col(cdc) == table)
     if ops:
         out = out.where(F.col("op").isin(*ops))
     sel = [F.col("after")[c].alias(c) for c in cols]
@@ -86,7 +96,7 @@ def route_facts(cdc: DataFrame, config: DataFrame) -> DataFrame:
     ``config``: ``source_table, source_type, sink_table, sink_columns``.
     """
     op = F.when(F.col("op") == "r", F.lit("c")).otherwise(F.col("op"))
-    rows = cdc.select(F.col("source")["table"].alias("source_table"), op.alias("source_type"),
+    rows = cdc.select(table_col(cdc).alias("source_table"), op.alias("source_type"),
                       F.coalesce("after", "before").alias("data"), "ts_ms")
     cfg = F.broadcast(config.select("source_table", "source_type", "sink_table", "sink_columns"))
     out = rows.join(cfg, ["source_table", "source_type"])
@@ -97,7 +107,7 @@ def route_facts(cdc: DataFrame, config: DataFrame) -> DataFrame:
 def route_dims(cdc: DataFrame, config: DataFrame) -> DataFrame:
     """Keep change rows of configured dimension tables, prune the
     columns, attach ``op`` and the target (row key column, family)."""
-    rows = cdc.select(F.col("source")["table"].alias("source_table"), "op",
+    rows = cdc.select(table_col(cdc).alias("source_table"), "op",
                       F.coalesce("after", "before").alias("data"), "ts_ms")
     cfg = F.broadcast(config.select("source_table", "sink_table", "sink_columns", "sink_family", "sink_row_key"))
     out = rows.join(cfg, "source_table")
@@ -201,7 +211,7 @@ def change_flat(cdc: DataFrame) -> DataFrame:
     """``after`` unless empty, else ``before``; op and ts kept."""
     after_empty = F.col("after").isNull() | (F.size("after") == 0)
     data = F.when(after_empty, F.col("before")).otherwise(F.col("after"))
-    return cdc.select(F.col("source")["table"].alias("table_name"), "op", "ts_ms", data.alias("data"))
+    return cdc.select(table_col(cdc).alias("table_name"), "op", "ts_ms", data.alias("data"))
 
 
 def with_ds(df: DataFrame, ms_col: str = "ts_ms") -> DataFrame:

@@ -181,7 +181,7 @@ def province_enrich(spark, sf):
     """Orders enriched from the province dimension as the dimension sink
     holds it (deleted provinces are gone, their orders keep null names)."""
     c = common.cdc(spark, sf)
-    rows = c.where(F.col("source")["table"] == "base_province").select(
+    rows = c.where(routing.table_col(c) == "base_province").select(
         F.coalesce(F.col("after"), F.col("before")).alias("data"), "op", "ts_ms")
     rows = rows.select(F.col("data")["province_id"].alias("province_id"), "data", "op", "ts_ms")
     prov = routing.latest_by_key(rows, "province_id", "ts_ms").where(F.col("op") != "d")

@@ -45,7 +45,7 @@ from idx group by table_name, op""", *CDC_VIEWS)
 
 def _counts(c: DataFrame) -> DataFrame:
     data = F.coalesce(F.col("after"), F.col("before"))
-    return (c.groupBy(F.col("source")["table"].alias("table_name"), "op")
+    return (c.groupBy(routing.table_col(c).alias("table_name"), "op")
             .agg(F.count(F.lit(1)).alias("n_rows"), F.min("ts_ms").alias("min_ts"), F.max("ts_ms").alias("max_ts"),
                  F.sum(F.size(data)).cast("bigint").alias("n_fields")))
 
@@ -68,7 +68,7 @@ def bootstrap_filter(spark, sf):
 def dim_etl_filter(spark, sf):
     """The change log plus foreign-db, bad-op and bad-ts records; filter keeps the shop's."""
     c = common.cdc(spark, sf)
-    tbl = F.col("source")["table"]
+    tbl = routing.table_col(c)
     other_db = c.where(tbl == "base_dic").withColumn(
         "source", F.create_map(F.lit("db"), F.lit("archive"), F.lit("table"), F.lit("base_dic")))
     bad_ts = c.where(tbl == "base_province").withColumn("ts_ms", F.lit(7).cast("bigint"))
