@@ -58,14 +58,14 @@ def start(df: DataFrame, checkpoint: str, sink: str = "parquet", path: str | Non
 
 # ------------------------------------------------------------------ A1
 
-def traffic_stream(log: DataFrame, size: str = "10 seconds", ttl_ms: int | None = None) -> DataFrame:
+def traffic_stream(log: DataFrame, size: str = "10 seconds", expire_ms: int | None = 86_400_000) -> DataFrame:
     """A1 on a stream: F1 + F2 in one processor keyed by device, then the
     event-time window aggregate. ``log``: flat page-log stream with ``et``
     watermarked (``with_event_time``)."""
     cols = ["mid", "event_id", "ts_ms", "et", "is_new", "has_start", "last_page_id", "vc", "ch", "ar",
             "during_time"]
     marked = (log.select(*cols).groupBy("mid")
-              .transformWithStateInPandas(P.TrafficMarker(ttl_ms), P.TrafficMarker.OUTPUT, "append", "EventTime",
+              .transformWithStateInPandas(P.TrafficMarker(expire_ms), P.TrafficMarker.OUTPUT, "append", "EventTime",
                                           eventTimeColumnName="et"))
     agg = (marked.groupBy(F.window("et", size).alias("window"), *windows.TRAFFIC_DIMS)
            .agg(F.sum("uv_ct").alias("uv_ct"), F.sum("sv_ct").alias("sv_ct"),
@@ -76,11 +76,11 @@ def traffic_stream(log: DataFrame, size: str = "10 seconds", ttl_ms: int | None
 
 # ------------------------------------------------------------------ A4 / A6
 
-def cart_uu_stream(cart: DataFrame, size: str = "10 seconds", ttl_ms: int | None = 86_400_000) -> DataFrame:
+def cart_uu_stream(cart: DataFrame, size: str = "10 seconds", expire_ms: int | None = 86_400_000) -> DataFrame:
     """A4 on a stream: F3 (first cart add of the day per user), global window count."""
     cols = ["user_id", "event_id", "ts_ms", "et"]
     firsts = (cart.select(*cols).groupBy("user_id")
-              .transformWithStateInPandas(P.FirstOfDay(cols, ttl_ms=ttl_ms),
+              .transformWithStateInPandas(P.FirstOfDay(cols, expire_ms=expire_ms),
                                           "user_id string, event_id long, ts_ms long, et timestamp",
                                           "append", "EventTime", eventTimeColumnName="et"))
     agg = firsts.groupBy(F.window("et", size).alias("window")).agg(F.count(F.lit(1)).alias("cart_add_uu_ct"))

@@ -7,7 +7,10 @@ micro-batch in no particular order, so every processor sorts its batch
 by ``(ts_ms, tie)`` first -- the same order the batch closed forms use,
 which is what makes stream and batch results equal.
 
-State time-to-live (F10) is the ``ttl_ms`` argument of each processor.
+State time-to-live (F10): Spark allows state TTL only in processing-time
+mode, so the event-time processors expire state with an event-time timer
+instead (``expire_ms`` after the key's latest record); the processing-time
+ones take ``ttl_ms``.
 """
 
 from __future__ import annotations
@@ -31,7 +34,27 @@ def _sorted(rows: Iterator[pd.DataFrame], ts: str, tie: str) -> pd.DataFrame:
     return pdf.sort_values([ts, tie], kind="stable").reset_index(drop=True)
 
 
-class TrafficMarker(StatefulProcessor):
+class _Expiring(StatefulProcessor):
+    """Clears the states in ``self.expiring`` once event time passes the
+    key's latest record by ``expire_ms`` (one timer per key)."""
+
+    expire_ms: int | None = None
+    expiring: tuple = ()
+
+    def _rearm(self, latest_ms: int) -> None:
+        if not self.expire_ms:
+            return
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        self.handle.registerTimer(int(latest_ms) + int(self.expire_ms))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        for st in self.expiring:
+            st.clear()
+        return iter([])
+
+
+class TrafficMarker(_Expiring):
     """F1 + F2 per device: repair ``is_new`` (state: the first record's
     visit date) and mark the first page record of each day (state: the
     last page visit day); start records update F1 only and are not emitted.
@@ -44,12 +67,14 @@ class TrafficMarker(StatefulProcessor):
     OUTPUT = ("mid string, event_id long, ts_ms long, et timestamp, vc string, ch string, ar string, "
               "is_new string, uv_ct long, sv_ct long, during_time long")
 
-    def __init__(self, ttl_ms: int | None = None):
-        self.ttl_ms = ttl_ms
+    def __init__(self, expire_ms: int | None = None):
+        self.expire_ms = expire_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.first = handle.getValueState("first_visit_day", "day long", self.ttl_ms)
-        self.last = handle.getValueState("last_page_day", "day long", self.ttl_ms)
+        self.handle = handle
+        self.first = handle.getValueState("first_visit_day", "day long")
+        self.last = handle.getValueState("last_page_day", "day long")
+        self.expiring = (self.last,)  # the first-visit day is kept for good (Q14)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows, "ts_ms", "event_id")
@@ -71,6 +96,7 @@ class TrafficMarker(StatefulProcessor):
         lp = pages["last_page_id"]
         pages["sv_ct"] = (lp.isna() | (lp == "")).astype("int64")
         self.last.update((int(pday.iloc[-1]),))
+        self._rearm(pages["ts_ms"].max())
         yield pages[["mid", "event_id", "ts_ms", "et", "vc", "ch", "ar", "is_new", "uv_ct", "sv_ct",
                      "during_time"]]
 
@@ -78,15 +104,17 @@ class TrafficMarker(StatefulProcessor):
         pass
 
 
-class FirstOfDay(StatefulProcessor):
+class FirstOfDay(_Expiring):
     """F3 (and each half of F4): emit a key's first record of each day;
     state: the last day emitted (TTL one day in the source job)."""
 
-    def __init__(self, columns: list[str], ts: str = "ts_ms", tie: str = "event_id", ttl_ms: int | None = None):
-        self.columns, self.ts, self.tie, self.ttl_ms = columns, ts, tie, ttl_ms
+    def __init__(self, columns: list[str], ts: str = "ts_ms", tie: str = "event_id", expire_ms: int | None = None):
+        self.columns, self.ts, self.tie, self.expire_ms = columns, ts, tie, expire_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last_day", "day long", self.ttl_ms)
+        self.handle = handle
+        self.last = handle.getValueState("last_day", "day long")
+        self.expiring = (self.last,)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows, self.ts, self.tie)
@@ -96,6 +124,7 @@ class FirstOfDay(StatefulProcessor):
             prev.iloc[0] = self.last.get()[0]
         out = pdf[prev.isna() | (prev != day)]
         self.last.update((int(day.iloc[-1]),))
+        self._rearm(pdf[self.ts].max())
         if not out.empty:
             yield out[self.columns]
 
