@@ -24,12 +24,16 @@ def _stamp_sql(ws: str, size: str) -> str:
             f"strftime({ws}, '%Y-%m-%d') as cur_date")
 
 
-def _detail_versions_typed(spark, sf):
-    """Order-detail versions from the change log with typed amounts and the order's province."""
+def _detail_versions_typed(spark, sf, with_province: bool = False):
+    """Order-detail versions from the change log with typed amounts (and the
+    order's province, which costs a join on the order id, only when asked)."""
     c = common.cdc(spark, sf)
     v = common.detail_versions(c)
-    info = common.order_info(c).select(F.col("id").alias("order_id"), "province_id")
-    v = v.join(info, "order_id")
+    if with_province:
+        info = common.order_info(c).select(F.col("id").alias("order_id"), "province_id")
+        v = v.join(info, "order_id")
+    else:
+        v = v.withColumn("province_id", F.lit(None).cast("string"))
     return v.select(
         "id", "order_id", "province_id", "sku_id", "ts_ms",
         F.col("split_total_amount").cast(D).alias("split_total_amount"),
@@ -43,11 +47,16 @@ VERSIONS_SQL = """
     cast(cast(d.sku_num as decimal(16,2)) * d.order_price as decimal(20,2)) as split_original_amount
   from v_order_detail d join v_order_info o on d.order_id = o.id"""
 
+DETAIL_VERSIONS_SQL = """
+  select d.*, epoch_us(d.create_time) // 1000 + d.seq as ts_ms,
+    cast(cast(d.sku_num as decimal(16,2)) * d.order_price as decimal(20,2)) as split_original_amount
+  from v_order_detail d"""
+
 
 # ------------------------------------------------------------------ F5
 
 @register("dedup_retract", with_views(f"""
-with v as ({VERSIONS_SQL})
+with v as ({DETAIL_VERSIONS_SQL})
 select cast(id as varchar) as id, ts_ms, cast(split_total_amount as double) as split_total_amount,
   false as is_retraction from v
 union all
@@ -74,7 +83,8 @@ from w left join v_province p on p.province_id = w.province_id""", "v_order_deta
 def province_order_window(spark, sf):
     """A2: F5 over detail versions, 10 s windows by province: amount (with
     retractions) and distinct orders, then the province name (J7, left)."""
-    v = _detail_versions_typed(spark, sf).select("id", "order_id", "province_id", "ts_ms", "split_total_amount")
+    v = _detail_versions_typed(spark, sf, with_province=True).select("id", "order_id", "province_id", "ts_ms",
+                                                                     "split_total_amount")
     d = state.dedup_retract(v, "id", ["split_total_amount"], "ts_ms")
     agg = (d.groupBy(F.window(ms_to_ts("ts_ms"), "10 seconds").alias("window"), "province_id")
            .agg(F.sum("split_total_amount").alias("amt"), F.countDistinct("order_id").alias("order_count")))
@@ -130,7 +140,7 @@ SKU_CHAIN_COLS = """s.sku_name, cast(s.spu_id as varchar) as spu_id, 'spu-' || c
 
 
 @register("sku_order_window", with_views(f"""
-with v as ({VERSIONS_SQL}),
+with v as ({DETAIL_VERSIONS_SQL}),
 x as (select {_win_sql('5 seconds')} as ws, cast(sku_id as varchar) as sku_id,
         sum(case when seq = n then split_original_amount else 0 end) as original_amount,
         sum(case when seq = n then split_activity_amount else 0 end) as activity_amount,
