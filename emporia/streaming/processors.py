@@ -15,7 +15,6 @@ ones take ``ttl_ms``.
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Iterator
 
 import pandas as pd
@@ -219,7 +218,3 @@ class KeepNewer(StatefulProcessor):
 
     def close(self) -> None:
         pass
-
-
-def epoch_day_to_iso(day: int) -> str:
-    return (_dt.date(1970, 1, 1) + _dt.timedelta(days=int(day))).isoformat()
