@@ -77,9 +77,11 @@ def check_last_word(df: DataFrame, words: DataFrame, text: str = "msg", id_col:
 def find_words(df: DataFrame, words: DataFrame, text: str = "msg", id_col: str = "id") -> DataFrame:
     """Distinct listed words occurring as tokens of each record's text:
     ``id_col, found`` (sorted, joined by ``", "``); records without any are absent."""
-    toks = df.select(id_col, F.explode(tokens(F.col(text), WORD_SPLIT)).alias("_t")).distinct()
+    toks = df.select(id_col, F.explode(tokens(F.col(text), WORD_SPLIT)).alias("_t"))
     w = words.select(F.col("word").alias("_t")).distinct()
-    hits = toks.join(w, "_t")
+    # join first: with a list small enough to broadcast the tokens are never
+    # shuffled; only the (much smaller) matches are de-duplicated and grouped
+    hits = toks.join(w, "_t").distinct()
     return hits.groupBy(id_col).agg(F.array_join(F.array_sort(F.collect_list("_t")), ", ").alias("found"))
 
 

@@ -59,6 +59,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="emporia-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # core configs may be read-only at run time; the context dir still applies
+            pass
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(path)
     return path
