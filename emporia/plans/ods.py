@@ -194,11 +194,12 @@ def base_dic_scan(spark, sf):
 def category_tables(spark: SparkSession, sf: str):
     """Three-level category tables derived from the part catalogue."""
     p = table(spark, sf, "part")
+    length = F.length("p_type").cast("bigint")
     c3 = p.select(F.col("p_type").alias("id"), F.lower("p_type").alias("name"),
-                  F.length("p_type").alias("category2_id")).distinct()
-    c2 = p.select(F.length("p_type").alias("id")).distinct().select(
+                  length.alias("category2_id")).distinct()
+    c2 = p.select(length.alias("id")).distinct().select(
         "id", F.concat(F.lit("c2-"), F.col("id").cast("string")).alias("name"), (F.col("id") % 2).alias("category1_id"))
-    c1 = p.select((F.length("p_type") % 2).alias("id")).distinct().select(
+    c1 = p.select((length % 2).alias("id")).distinct().select(
         "id", F.concat(F.lit("c1-"), F.col("id").cast("string")).alias("name"))
     return c3, c2, c1
 
