@@ -198,3 +198,17 @@ def lookup_sink(dim_loader, key: str, out_path: str, how: str = "inner"):
         batch.join(dim_loader(), key, how).write.mode("overwrite").parquet(
             os.path.join(out_path, f"batch={batch_id}"))
     return write
+
+
+# ------------------------------------------------------------------ W5 / A9
+
+def last_in_processing_window(df: DataFrame, key: str, cols: list[str], size: str = "2 minutes",
+                              order: str = "ts_ms") -> DataFrame:
+    """A9 on a stream: the last record per key in each tumbling processing-time
+    window (W5). Arrival time is stamped per micro-batch and used as the
+    window's time; the window is emitted once arrival time has passed it
+    (run with ``trigger(processingTime=size)``)."""
+    stamped = df.withColumn("_arrival", F.current_timestamp()).withWatermark("_arrival", "0 seconds")
+    agg = stamped.groupBy(key, F.window("_arrival", size).alias("window")).agg(
+        F.max_by(F.struct(*cols), F.col(order)).alias("_last"))
+    return windows.stamp_window(agg.select(key, "window", *[F.col("_last")[c].alias(c) for c in cols]))
