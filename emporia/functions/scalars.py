@@ -140,10 +140,18 @@ def md5_key(s) -> Column:
     return F.md5(_c(s).cast("string"))
 
 
-def hash_bucket(s, buckets: int) -> Column:
-    """bucket = (last 3 hex digits of md5) mod n, rendered with 4 digits."""
+def hash_bucket(s, buckets: int, fixed: dict[str, str] | None = None) -> Column:
+    """bucket = (last 3 hex digits of md5) mod n, rendered with 4 digits.
+
+    ``fixed`` pins known hot keys (lower-cased) to their own buckets, so a
+    salt never sends a hot key to a shared bucket.
+    """
     n = F.conv(F.substring(F.md5(_c(s).cast("string")), -3, 3), 16, 10).cast("int")
-    return F.lpad((n % buckets).cast("string"), 4, "0")
+    out = F.lpad((n % buckets).cast("string"), 4, "0")
+    if fixed:
+        pinned = F.create_map(*[F.lit(x) for kv in fixed.items() for x in kv])
+        out = F.coalesce(F.element_at(pinned, F.lower(_c(s).cast("string"))), out)
+    return out
 
 
 def snake_case(name: str) -> str:
