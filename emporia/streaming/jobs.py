@@ -74,6 +74,34 @@ def traffic_stream(log: DataFrame, size: str = "10 seconds", expire_ms: int | No
                                             "pv_ct", "dur_sum")
 
 
+# ------------------------------------------------------------------ A2
+
+DETAIL_STATE = "id string, order_id string, province_id string, ts_ms long, seq long, amount decimal(16,2)"
+
+
+def province_order_stream(details: DataFrame, provinces: DataFrame, size: str = "10 seconds") -> DataFrame:
+    """A2 on a stream: F5 per order-detail id (the Retractor keeps the last
+    version), 10 s windows by province with the amount and the number of
+    distinct orders (size of the order-id set: count-distinct is not allowed
+    on streams), then the province name from a static dimension
+    (stream-static left join). A retraction carries its old time and is
+    dropped like any late row once its window has closed (Q6).
+
+    ``details``: ``id, order_id, province_id, ts_ms, seq, amount`` with a
+    watermark on ``et``.
+    """
+    cols = ["id", "order_id", "province_id", "ts_ms", "seq", "amount"]
+    retracted = (details.select(*cols, "et").groupBy("id")
+                 .transformWithStateInPandas(P.Retractor(cols, ["amount"], state_schema=DETAIL_STATE, event_time="et"),
+                                             DETAIL_STATE + ", is_retraction boolean, et timestamp", "append",
+                                             "EventTime", eventTimeColumnName="et"))
+    agg = (retracted.groupBy(F.window("et", size).alias("window"), "province_id")
+           .agg(F.sum("amount").alias("amt"), F.size(F.collect_set("order_id")).cast("bigint").alias("order_count")))
+    out = windows.stamp_window(agg).join(provinces.select("province_id", "province_name"), "province_id", "left")
+    return out.select(*windows.WINDOW_COLS, "province_id", "province_name",
+                      F.col("amt").cast("double").alias("order_amount"), "order_count")
+
+
 # ------------------------------------------------------------------ A4 / A6
 
 def cart_uu_stream(cart: DataFrame, size: str = "10 seconds", expire_ms: int | None = 86_400_000) -> DataFrame:

@@ -167,9 +167,9 @@ class Retractor(StatefulProcessor):
     stored one with negated measures, then itself (TTL in the source job: 10 s)."""
 
     def __init__(self, columns: list[str], measures: list[str], ts: str = "ts_ms", tie: str = "seq",
-                 state_schema: str = "", ttl_ms: int | None = None):
+                 state_schema: str = "", ttl_ms: int | None = None, event_time: str | None = None):
         self.columns, self.measures, self.ts, self.tie = columns, measures, ts, tie
-        self.state_schema, self.ttl_ms = state_schema, ttl_ms
+        self.state_schema, self.ttl_ms, self.event_time = state_schema, ttl_ms, event_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last_version", self.state_schema, self.ttl_ms)
@@ -187,7 +187,14 @@ class Retractor(StatefulProcessor):
         cur["is_retraction"] = False
         last = pdf.iloc[-1]
         self.last.update(tuple(last[c].item() if hasattr(last[c], "item") else last[c] for c in self.columns))
-        yield pd.concat([neg, cur], ignore_index=True)
+        if self.event_time:
+            # a retraction keeps the old version's time; once the watermark has
+            # passed it, it is late and dropped like any late row (Q6)
+            neg = neg[neg[self.ts] >= timerValues.getCurrentWatermarkInMs()]
+        out = pd.concat([neg, cur], ignore_index=True)
+        if self.event_time:  # each row keeps its own time (a retraction: the old version's)
+            out[self.event_time] = pd.to_datetime(out[self.ts], unit="ms")
+        yield out
 
     def close(self) -> None:
         pass
