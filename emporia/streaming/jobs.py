@@ -139,6 +139,29 @@ def interval_join_stream(left: DataFrame, right: DataFrame, key: str, left_et: s
     return left.join(right, cond, "inner").drop(right[key])
 
 
+def order_detail_stream(details: DataFrame, orders: DataFrame, activity: DataFrame, coupon: DataFrame,
+                        bound: str = "10 seconds") -> DataFrame:
+    """J1 on streams: detail JOIN order, LEFT activity, LEFT coupon.
+
+    The source keeps join state for an idle time; a stream-stream join
+    bounds state by event time instead: each side must lie within
+    ``bound`` of the detail's time. Each stream carries its own watermarked
+    time column (``d_et``, ``o_et``, ``a_et``, ``c_et``); the joined side's
+    column is dropped before the next join (one event-time column per
+    stateful step). Left-join misses are emitted once the watermark passes
+    the bound. Every detail version is emitted; an upsert sink (K3) keeps
+    the latest per id, which is the batch fact table.
+    """
+    def within(other: str):
+        return (F.col(other) >= F.col("d_et") - F.expr(f"interval {bound}")) & \
+            (F.col(other) <= F.col("d_et") + F.expr(f"interval {bound}"))
+
+    x = details.join(orders, (details["order_id"] == orders["oi_id"]) & within("o_et"), "inner").drop("o_et", "oi_id")
+    x = x.join(activity, (x["id"] == activity["a_detail_id"]) & within("a_et"), "left").drop("a_et", "a_detail_id")
+    x = x.join(coupon, (x["id"] == coupon["c_detail_id"]) & within("c_et"), "left").drop("c_et", "c_detail_id")
+    return x
+
+
 def dedup_stream(df: DataFrame, cols: list[str]) -> DataFrame:
     """F9 on a stream: exact de-duplication, state kept until the watermark passes."""
     return df.dropDuplicatesWithinWatermark(cols)
