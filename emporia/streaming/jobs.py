@@ -102,6 +102,26 @@ def province_order_stream(details: DataFrame, provinces: DataFrame, size: str =
                       F.col("amt").cast("double").alias("order_amount"), "order_count")
 
 
+SKU_STATE = ("id string, sku_id string, ts_ms long, seq long, split_original_amount decimal(20,2), "
+             "split_activity_amount decimal(18,4), split_coupon_amount decimal(18,4), "
+             "split_total_amount decimal(16,2)")
+SKU_MEASURES = ["split_original_amount", "split_activity_amount", "split_coupon_amount", "split_total_amount"]
+
+
+def sku_order_stream(details: DataFrame, enrich, size: str = "5 seconds") -> DataFrame:
+    """A3 on a stream: F5 per order-detail id over the four amounts, 5 s
+    windows by sku, then ``enrich`` (the J8 chain as stream-static left
+    joins, e.g. ``lambda df: enrich_sku_chain(df, spark, sf)``)."""
+    cols = ["id", "sku_id", "ts_ms", "seq"] + SKU_MEASURES
+    retracted = (details.select(*cols, "et").groupBy("id")
+                 .transformWithStateInPandas(P.Retractor(cols, SKU_MEASURES, state_schema=SKU_STATE, event_time="et"),
+                                             SKU_STATE + ", is_retraction boolean, et timestamp", "append",
+                                             "EventTime", eventTimeColumnName="et"))
+    agg = (retracted.groupBy(F.window("et", size).alias("window"), "sku_id")
+           .agg(*[F.sum(c).alias(c) for c in SKU_MEASURES]))
+    return enrich(windows.stamp_window(agg))
+
+
 # ------------------------------------------------------------------ A4 / A6
 
 def cart_uu_stream(cart: DataFrame, size: str = "10 seconds", expire_ms: int | None = 86_400_000) -> DataFrame:
