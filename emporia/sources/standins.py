@@ -298,8 +298,8 @@ CDC_COLUMNS = {
 }
 
 
-def cdc(spark: SparkSession, sf: str) -> DataFrame:
-    """The shop's change log: every table's rows as insert/update/delete records.
+def cdc_parts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The shop's change log per source table: insert/update/delete records.
 
     * order_detail: the first version of an id is ``c``, later ones ``u``
       (``before`` holds nothing, as with an update that only sends ``after``).
@@ -327,22 +327,27 @@ def cdc(spark: SparkSession, sf: str) -> DataFrame:
             (null_map if before else m).alias("after"),
             _source(tbl).alias("source"), op.alias("op"), ts_ms.cast("bigint").alias("ts_ms"))
 
-    parts = [
-        rows(oi, "order_info", F.lit("c"), _ms(F.col("create_time"))),
-        rows(det, "order_detail", F.when(F.col("seq") == 1, "c").otherwise("u"),
-             _ms(F.col("create_time")) + F.col("seq")),
-        rows(activity(spark, sf, latest), "order_detail_activity", F.lit("c"), base_ts),
-        rows(coupon(spark, sf, latest), "order_detail_coupon", F.lit("c"), base_ts),
-        rows(refunds, "order_refund_info", F.lit("c"), _ms(F.col("create_time"))),
-        rows(rpay, "refund_payment", F.lit("c"), _ms(F.col("callback_time"))),
-        rows(base_dic(spark, sf), "base_dic", F.lit("r"), base_ts),
-        rows(prov, "base_province", F.lit("r"), base_ts),
-        rows(prov.where(F.col("province_id") % 10 == 9), "base_province", F.lit("d"), base_ts + 1000, before=True),
-        rows(sku(spark, sf), "sku_info", F.lit("r"), base_ts),
-        rows(cart, "cart_info", F.lit("c"), _ms(F.col("ts"))),
-        rows(com, "comment_info", F.lit("c"), F.col("ts_ms")),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return {
+        "order_info": rows(oi, "order_info", F.lit("c"), _ms(F.col("create_time"))),
+        "order_detail": rows(det, "order_detail", F.when(F.col("seq") == 1, "c").otherwise("u"),
+                             _ms(F.col("create_time")) + F.col("seq")),
+        "order_detail_activity": rows(activity(spark, sf, latest), "order_detail_activity", F.lit("c"), base_ts),
+        "order_detail_coupon": rows(coupon(spark, sf, latest), "order_detail_coupon", F.lit("c"), base_ts),
+        "order_refund_info": rows(refunds, "order_refund_info", F.lit("c"), _ms(F.col("create_time"))),
+        "refund_payment": rows(rpay, "refund_payment", F.lit("c"), _ms(F.col("callback_time"))),
+        "base_dic": rows(base_dic(spark, sf), "base_dic", F.lit("r"), base_ts),
+        "base_province": rows(prov, "base_province", F.lit("r"), base_ts).unionByName(
+            rows(prov.where(F.col("province_id") % 10 == 9), "base_province", F.lit("d"), base_ts + 1000,
+                 before=True)),
+        "sku_info": rows(sku(spark, sf), "sku_info", F.lit("r"), base_ts),
+        "cart_info": rows(cart, "cart_info", F.lit("c"), _ms(F.col("ts"))),
+        "comment_info": rows(com, "comment_info", F.lit("c"), F.col("ts_ms")),
+    }
+
+
+def cdc(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole change log as one stream (all tables)."""
+    return reduce(DataFrame.unionByName, cdc_parts(spark, sf).values())
 
 
 def cdc_json(spark: SparkSession, sf: str) -> DataFrame:
