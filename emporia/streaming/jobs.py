@@ -182,6 +182,47 @@ def order_detail_stream(details: DataFrame, orders: DataFrame, activity: DataFra
     return x
 
 
+def bounded_join(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], left_et: str, right_et: str,
+                 bound: str, how: str = "inner") -> DataFrame:
+    """Stream-stream equi-join whose state is bounded by event time: the right
+    row's time within ``bound`` of the left row's; the right side's key and
+    time columns are dropped (one event-time column per stateful step)."""
+    cond = (F.col(right_et) >= F.col(left_et) - F.expr(f"interval {bound}")) & \
+        (F.col(right_et) <= F.col(left_et) + F.expr(f"interval {bound}"))
+    for lk, rk in keys:
+        cond = cond & (left[lk] == right[rk])
+    out = left.join(right, cond, how).drop(right_et)
+    return out.drop(*[rk for lk, rk in keys if rk != lk])
+
+
+def order_cancel_stream(fact: DataFrame, changes: DataFrame, bound: str = "30 minutes") -> DataFrame:
+    """J2 on streams: order-detail fact (``d_et``) JOIN order changes
+    (``cancel_order_id``, ``c_et``) within ``bound`` (the source's 30 min
+    state retention)."""
+    return bounded_join(fact, changes, [("order_id", "cancel_order_id")], "d_et", "c_et", bound)
+
+
+def refund_stream(refunds: DataFrame, orders: DataFrame, dic: DataFrame, bound: str = "5 seconds") -> DataFrame:
+    """J4 on streams: refund (``r_et``) JOIN order (``oi_id``, ``o_et``) within
+    ``bound``, then two look-ups into the same dictionary (stream-static
+    inner joins: unknown codes drop, as in the look-up join)."""
+    x = bounded_join(refunds, orders, [("order_id", "oi_id")], "r_et", "o_et", bound)
+    t = dic.select(F.col("dic_code").alias("refund_type"), F.col("dic_name").alias("refund_type_name"))
+    rr = dic.select(F.col("dic_code").alias("refund_reason_type"), F.col("dic_name").alias("refund_reason_type_name"))
+    return x.join(t, "refund_type").join(rr, "refund_reason_type")
+
+
+def refund_payment_stream(payments: DataFrame, refunds: DataFrame, orders: DataFrame, dic: DataFrame,
+                          bound: str = "5 seconds") -> DataFrame:
+    """J5 on streams: refund payment (``p_et``) JOIN refund on (order, sku)
+    (``r_order_id``, ``r_sku_id``, ``r_et``) JOIN order (``oi_id``, ``o_et``),
+    each within ``bound``, then the payment-type dictionary (stream-static)."""
+    x = bounded_join(payments, refunds, [("order_id", "r_order_id"), ("sku_id", "r_sku_id")], "p_et", "r_et", bound)
+    x = bounded_join(x, orders, [("order_id", "oi_id")], "p_et", "o_et", bound)
+    d = dic.select(F.col("dic_code").alias("payment_type"), F.col("dic_name").alias("payment_type_name"))
+    return x.join(d, "payment_type")
+
+
 def dedup_stream(df: DataFrame, cols: list[str]) -> DataFrame:
     """F9 on a stream: exact de-duplication, state kept until the watermark passes."""
     return df.dropDuplicatesWithinWatermark(cols)
