@@ -39,11 +39,18 @@ def with_event_time(df: DataFrame, ms_col: str = "ts_ms", delay: str = "0 second
     return df.withColumn(name, F.timestamp_millis(ms)).withWatermark(name, delay)
 
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def start(df: DataFrame, checkpoint: str, sink: str = "parquet", path: str | None = None,
           mode: str = "append", trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery:
     """Start a checkpointed query (exactly-once for file sinks and
     idempotent ``foreachBatch`` writers); ``trigger`` e.g.
     ``{"processingTime": "5 seconds"}`` or ``{"availableNow": True}``."""
+    conf = df.sparkSession.conf
+    if "RocksDB" not in (conf.get(_PROVIDER, None) or ""):
+        conf.set(_PROVIDER, _ROCKSDB)  # stateful processors need it; state lives on local disk + checkpoint
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
