@@ -202,6 +202,16 @@ def order_base(orders: DataFrame) -> DataFrame:
                          time_slot(ts).alias("pay_time_slot"), "ts_ms")
 
 
+def detail_base(details: DataFrame) -> DataFrame:
+    """Order-detail projection: keys and counts as numbers, amounts as
+    given, creation time in epoch ms."""
+    return details.select(
+        "id", "order_id", F.col("sku_id").cast("bigint").alias("sku_id"), "sku_name",
+        F.col("sku_num").cast("bigint").alias("sku_num"), "order_price", "split_activity_amount",
+        "split_coupon_amount", "split_total_amount",
+        F.unix_millis(F.to_timestamp(F.col("create_time"), DATETIME)).alias("create_ms"), "ts_ms")
+
+
 def comment_base(comments: DataFrame, db: str, table: str) -> DataFrame:
     """Comment projection with its origin."""
     return comments.select(F.lit(db).alias("db"), F.lit(table).alias("table_name"), *comments.columns)

@@ -187,9 +187,9 @@ def order_detail_interval(spark, sf):
     """Order JOIN its details created within +-2 min (coupon amount copied as is)."""
     c = common.cdc(spark, sf)
     o = _orders(c)
-    d = common.detail_latest(c).select(F.col("order_id").alias("id"), F.col("id").alias("detail_id"), "sku_id",
-                                       "split_total_amount", "split_coupon_amount",
-                                       common.ms_of("create_time").alias("detail_ms"))
+    d = routing.detail_base(common.detail_latest(c)).select(
+        F.col("order_id").alias("id"), F.col("id").alias("detail_id"), F.col("sku_id").cast("string").alias("sku_id"),
+        "split_total_amount", "split_coupon_amount", F.col("create_ms").alias("detail_ms"))
     x = joins.interval_join(o, d, "id", "ts_ms", "detail_ms", -120000, 120000)
     return x.select(F.col("id").alias("order_id"), "detail_id", "sku_id", "user_id",
                     F.col("total_amount").cast("double").alias("total_amount"), "split_total_amount",
