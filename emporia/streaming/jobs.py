@@ -309,6 +309,19 @@ def dim_sink(config_loader, path: str):
     return write
 
 
+def log_split_sink(out_path: str):
+    """P8 on a stream: each micro-batch of parsed page-log records (nested,
+    ``read_page_log(..., nested=True)``) is split five ways -- err, start,
+    page, display, action -- and each output written as JSON under
+    ``<kind>/batch=<id>`` (a replayed batch overwrites its own folders)."""
+    from emporia.operators.routing import split_log
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        for kind, df in split_log(batch).items():
+            df.write.mode("overwrite").json(os.path.join(out_path, kind, f"batch={batch_id}"))
+    return write
+
+
 def lookup_sink(dim_loader, key: str, out_path: str, how: str = "inner"):
     """J6 on a stream: a processing-time look-up join against the dimension as
     it is when the micro-batch runs (re-read per batch, the equivalent of the
