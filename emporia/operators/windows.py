@@ -87,3 +87,35 @@ def last_in_window(df: DataFrame, key: str, ts: str, size: str, cols: list[str],
     agg = df.groupBy(key, F.window(ms_to_ts(ts), size).alias("window")).agg(
         F.max_by(F.struct(*cols), order).alias("_last"))
     return stamp_window(agg.select(key, "window", *[F.col("_last")[c].alias(c) for c in cols]))
+
+
+def running_state_per_window(df: DataFrame, key: str, ts: str, size: str, fields: list[str]) -> DataFrame:
+    """A8 + A9: for each key and each tumbling window holding its records, the
+    running state after the window's last record: ``pv`` = distinct payloads
+    ``(fields)`` seen so far and, per field, the sorted distinct values seen so
+    far joined by commas (nulls are not added).
+
+    Closed form without pairing a key's records: reduce the records to one
+    row per (key, payload) and per (key, field, value) with the window of
+    its first sighting, plus one row per (key, window) to report; a running
+    count / ``collect_set`` over each key's reduced rows in window order
+    gives the state (sizes bounded by distinct payloads and windows, not by
+    records).
+    """
+    win = F.window(ms_to_ts(ts), size).start
+    x = df.select(key, win.alias("_w"), *fields)
+    payloads = x.groupBy(key, *fields).agg(F.min("_w").alias("_t")).select(
+        key, "_t", F.lit(1).alias("_new"), *[F.col(f).alias(f"_v_{f}") for f in fields], F.lit(0).alias("_out"))
+    outs = x.select(key, "_w").distinct().select(
+        key, F.col("_w").alias("_t"), F.lit(0).alias("_new"),
+        *[F.lit(None).cast("string").alias(f"_v_{f}") for f in fields], F.lit(1).alias("_out"))
+    rows = payloads.unionByName(outs)
+    run = Window.partitionBy(key).orderBy("_t", "_out").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    state = rows.select(key, "_t", "_out", F.sum("_new").over(run).alias("pv"),
+                        *[F.array_join(F.array_sort(F.collect_set(f"_v_{f}").over(run)), ",").alias(f)
+                          for f in fields])
+    out = state.where(F.col("_out") == 1).select(
+        key, F.date_format("_t", DATETIME).alias("stt"),
+        F.date_format(F.col("_t") + F.expr(f"interval {size}"), DATETIME).alias("edt"),
+        F.date_format("_t", DATE).alias("cur_date"), F.col("pv").cast("bigint").alias("pv"), *fields)
+    return out

@@ -372,18 +372,26 @@ def user_device_running(spark, sf):
     return text.running_sets(d, "uid", PAYLOAD)
 
 
+def _cum_sql(f: str) -> str:
+    return (f"(select coalesce(string_agg(v, ',' order by v), '') from (select uid, {f} as v, min(w) as fw "
+            f"from dd where {f} is not null group by uid, {f}) s where s.uid = wins.uid and s.fw <= wins.w) as {f}")
+
+
 @register("user_device_last", with_views(f"""
-with d as ({DEVICE_SQL})
-select uid, {_stamp_sql(_win_sql('2 minutes'), '2 minutes')},
-  arg_max_null(os, ts_ms * 1000000 + event_id) as os, arg_max_null(ch, ts_ms * 1000000 + event_id) as ch,
-  arg_max_null(search_item, ts_ms * 1000000 + event_id) as search_item
-from d group by uid, {_win_sql('2 minutes')}""", "v_page_log"))
+with dd as (select *, {_win_sql('2 minutes')} as w from ({DEVICE_SQL}) t),
+wins as (select distinct uid, w from dd),
+pay as (select uid, min(w) as fw from dd group by uid, os, ch, md, ba, search_item)
+select wins.uid, {_stamp_sql('wins.w', '2 minutes')},
+  (select cast(count(*) as bigint) from pay p where p.uid = wins.uid and p.fw <= wins.w) as pv,
+  {", ".join(_cum_sql(f) for f in PAYLOAD)}
+from wins""", "v_page_log"))
 def user_device_last(spark, sf):
-    """The last record per user in each 2-minute window (batch form of the
-    processing-time window: event time stands in for arrival time)."""
-    d = routing.device_search(standins.page_log(spark, sf), keep=("event_id",))
-    last = windows.last_in_window(d, "uid", "ts_ms", "2 minutes", ["os", "ch", "search_item"], tie="event_id")
-    return last.select("uid", *windows.WINDOW_COLS, "os", "ch", "search_item")
+    """A9 over A8: per user and 2-minute window, the running device state
+    (distinct payloads, sorted value sets) as it stands after the window's
+    last record -- the batch form of keeping the last running state in a
+    processing-time window (event time stands in for arrival time)."""
+    d = routing.device_search(standins.page_log(spark, sf))
+    return windows.running_state_per_window(d, "uid", "ts_ms", "2 minutes", PAYLOAD)
 
 
 # ------------------------------------------------------------------ F7 / F9
