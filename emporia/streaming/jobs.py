@@ -332,6 +332,19 @@ def lookup_sink(dim_loader, key: str, out_path: str, how: str = "inner"):
     return write
 
 
+# ------------------------------------------------------------------ A8
+
+DEVICE_FIELDS = ["os", "ch", "md", "ba", "search_item"]
+
+
+def device_state_stream(devices: DataFrame, fields: list[str] = DEVICE_FIELDS) -> DataFrame:
+    """A8 on a stream (with F8): the running per-user device state, one row
+    per new payload; feed it to :func:`last_in_processing_window` for A9."""
+    schema = "uid string, ts_ms long, pv long, " + ", ".join(f"{f} string" for f in fields)
+    return (devices.select("uid", "ts_ms", *fields).groupBy("uid")
+            .transformWithStateInPandas(P.DeviceState(fields), schema, "append", "None"))
+
+
 # ------------------------------------------------------------------ W5 / A9
 
 def last_in_processing_window(df: DataFrame, key: str, cols: list[str], size: str = "2 minutes",

@@ -225,3 +225,42 @@ class KeepNewer(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class DeviceState(StatefulProcessor):
+    """A8 (after F8): per user the distinct payloads seen and the distinct
+    values of each device field; emits the running state after every new
+    payload (``pv`` and sorted, comma-joined sets). State: the seen payloads
+    and values as one JSON document per user."""
+
+    def __init__(self, fields: list[str], ts: str = "ts_ms"):
+        self.fields, self.ts = fields, ts
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("device_state", "doc string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        import json
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values(self.ts, kind="stable")
+        doc = json.loads(self.state.get()[0]) if self.state.exists() else {"payloads": [], "values": {}}
+        seen = {tuple(p) for p in doc["payloads"]}
+        values = {f: set(doc["values"].get(f, [])) for f in self.fields}
+        out = []
+        for rec in pdf[[self.ts] + self.fields].itertuples(index=False):
+            payload = tuple(getattr(rec, f) for f in self.fields)
+            if payload in seen:  # F8: an exact repeat is dropped
+                continue
+            seen.add(payload)
+            for f in self.fields:
+                v = getattr(rec, f)
+                if v is not None and v == v:
+                    values[f].add(v)
+            out.append((key[0], getattr(rec, self.ts), len(seen),
+                        *[",".join(sorted(values[f])) for f in self.fields]))
+        self.state.update((json.dumps({"payloads": [list(p) for p in seen],
+                                       "values": {f: sorted(v) for f, v in values.items()}}),))
+        if out:
+            yield pd.DataFrame(out, columns=["uid", self.ts, "pv"] + self.fields)
+
+    def close(self) -> None:
+        pass
