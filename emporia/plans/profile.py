@@ -336,9 +336,10 @@ def page_labels(spark, sf):
 
 def order_labels(spark, sf):
     """Order label per purchase record: pay-time, amount, brand and category scores."""
-    p = standins.page_log(spark, sf).where(F.col("page_id") == "order")
-    e = standins.table(spark, sf, "events").select("event_id", "value")
-    o = p.select("event_id", "uid", "ts_ms").join(e, "event_id")
+    # purchase records of the page log are the purchase events themselves
+    e = standins.table(spark, sf, "events").where(F.col("event_type") == "purchase")
+    o = e.select("event_id", F.col("user_id").cast("string").alias("uid"), "value",
+                 F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"))
     o = o.select(F.col("event_id").cast("string").alias("order_id"), "uid", F.col("ts_ms").alias("order_ts"),
                  (F.col("value").cast("decimal(10,2)") * 10).alias("total_amount"),
                  (F.col("event_id") % standins.ITEM_PARTS).cast("string").alias("sku_id"),
