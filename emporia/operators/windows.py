@@ -63,7 +63,10 @@ def traffic_window(log: DataFrame, size: str = "10 seconds", key: str = "mid",
                   F.sum(F.when(lp.isNull() | (lp == ""), 1).otherwise(0)).cast("bigint").alias("sv_ct"),
                   F.sum("during_time").cast("bigint").alias("dur_sum"),
                   F.min(order).alias("_first")))
-    by_key = Window.partitionBy("_key")
+    # ordered by day with a whole-partition frame: one sort of the cells by
+    # (device, day) serves this window and the per-day one below
+    by_key = (Window.partitionBy("_key").orderBy("_day")
+              .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     state = F.when(F.col("is_new") == "1", F.col("_day")).otherwise(F.date_sub("_day", 1))
     cells = cells.withColumn("_visit_date", F.min_by(state, F.col("_first")).over(by_key))
     pages = cells.where(~F.col("_start"))
