@@ -141,7 +141,9 @@ def order_detail(spark: SparkSession, sf: str) -> DataFrame:
         (price * F.col("l_tax").cast("decimal(4,2)")).cast("decimal(18,4)").alias("split_coupon_amount"),
         F.col("l_suppkey").alias("supp_id"), "l_discount", "l_tax", "l_returnflag",
         F.row_number().over(Window.partitionBy(*key).orderBy(*order)).alias("seq"),
-        F.count(F.lit(1)).over(Window.partitionBy(*key)).alias("n"),
+        # same order, whole frame: both numbers come from one sort
+        F.count(F.lit(1)).over(Window.partitionBy(*key).orderBy(*order)
+                               .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("n"),
     )
 
 
