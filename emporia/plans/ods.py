@@ -93,7 +93,7 @@ def change_flat(spark, sf):
 
 @register("cdc_audit", with_views(f"""
 with idx as ({CDC_INDEX_SQL})
-select pk || '_' || cast(ts_ms as varchar) as id, any_value(op) as op, 'gmall' as db, table_name,
+select pk || '_' || cast(ts_ms as varchar) as id, any_value(op) as op, 'shop' as db, table_name,
   max(ts_ms) as ts_ms, cast(count(*) as bigint) as n_writes
 from idx group by table_name, pk || '_' || cast(ts_ms as varchar)""", *CDC_VIEWS))
 def cdc_audit(spark, sf):

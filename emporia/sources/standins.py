@@ -28,7 +28,7 @@ PAGE_OF_EVENT = {"view": "home", "click": "good_detail", "purchase": "order", "s
 PAGE_DEFAULT = "search"
 ITEM_PARTS = 200  # events pick their item among the first 200 part keys
 USER_EPOCH_MS = 1704067200000  # 2024-01-01 00:00:00 UTC
-CDC_DB = "gmall"
+CDC_DB = "shop"
 
 
 def _ms(ts: Column) -> Column:
