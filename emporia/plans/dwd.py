@@ -78,6 +78,7 @@ DETAIL_FACT_SQL = f"""
 @register("order_detail_fact", with_views(DETAIL_FACT_SQL, "v_order_detail_latest", "v_order_info",
                                           "v_activity", "v_coupon"))
 def order_detail_fact(spark, sf):
+    """The order-detail fact table (17 columns) from the change log."""
     return order_detail_fact_df(common.cdc(spark, sf))
 
 
@@ -102,6 +103,7 @@ def order_cancel_fact(spark, sf):
 
 
 def order_cancel(fact, changes, predicate=None):
+    """Fact rows JOIN the order changes (optionally narrowed by ``predicate``)."""
     ch = changes if predicate is None else changes.where(predicate)
     ch = ch.select(F.col("id").alias("cancel_order_id"), F.col("create_time").alias("cancel_time"),
                    F.col("ts_ms").alias("cancel_ts"))

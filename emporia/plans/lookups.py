@@ -106,6 +106,7 @@ def comment_order(spark, sf):
 select id, order_id, user_id, appraise, ts_ms, info_id, info_user_id, info_province_id, info_total_amount,
   info_create_time from ({COMMENT_ORDER_SQL}) j""", "v_comment", "v_order_info"))
 def comment_order_interval(spark, sf):
+    """Comments JOIN their order within +-1 min, order fields prefixed ``info_``."""
     return comment_order(spark, sf).select("id", "order_id", "user_id", "appraise", "ts_ms", "info_id",
                                            "info_user_id", "info_province_id", "info_total_amount",
                                            "info_create_time")

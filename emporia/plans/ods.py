@@ -221,6 +221,7 @@ select c3.id as c3id, c3.name as c3name, c2.id as c2id, 'c2-' || cast(c2.id as v
   c1.id as c1id, 'c1-' || cast(c1.id as varchar) as c1name
 from c3 join c2 on c3.category2_id = c2.id join c1 on c2.id % 2 = c1.id""")
 def dim_category_flat(spark, sf):
+    """The three-level category tables flattened into one row per level-3 category."""
     return category_dim(*category_tables(spark, sf))
 
 
@@ -234,6 +235,7 @@ def sku_dim(sku: DataFrame, spu: DataFrame, tm: DataFrame) -> DataFrame:
 select p_partkey as sku_id, p_partkey % 50 as spu_id, 'spu-' || cast(p_partkey % 50 as varchar) as spu_name,
   p_type as category3_id, p_brand as tm_name from part""")
 def dim_sku_flat(spark, sf):
+    """Sku JOIN spu JOIN trademark (all derived from the part catalogue)."""
     p = table(spark, sf, "part")
     tm_id = F.regexp_extract("p_brand", "([0-9]+)", 1).cast("int")
     sku = p.select(F.col("p_partkey").alias("sku_id"), (F.col("p_partkey") % 50).alias("spu_id"),
