@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emporia.llm import cdc
+from emporia.llm import bpe, cdc, quality, secrets, simple8b
 from emporia.llm.common import with_batches
 from emporia.sources.tables import table
 
@@ -28,3 +28,34 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Content-defined chunking of all documents; repeated passages of 128 bytes or more lose their later copies."""
     return cdc.substring_dedup(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+@query
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blob ledger over all documents, starting empty; findings joined back to every document."""
+    found, _ = secrets.scan(table(spark, sf_dir, "documents"))
+    return secrets.report(found)
+
+
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and minimum-covariance-determinant outliers per language and source."""
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Simple-8b store of all documents' ids, written and read back."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return simple8b.token_output(docs, public_tokenizers.path("word_bpe_49k.json")).drop("ids")
+
+
+@query
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded by the transducer and decoded again."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json"), outputs=False)
