@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from emporia.llm.common import ragged, steps, text_column
+from emporia.llm.hashing import U, Prefix, mix
 from emporia.llm.simple8b import Memo, Rows
 
 # The split pattern of this tokenizer family.
@@ -113,6 +114,106 @@ class Merges:
         return known
 
 
+class Table:
+    """Open-addressing table of 64-bit keys (not 0) with small numbers, looked up for whole arrays."""
+
+    def __init__(self, bits: int):
+        self.bits, self.keys, self.values, self.n = bits, np.zeros(1 << bits, U), np.zeros(1 << bits, np.int32), 0
+
+    def _slots(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of every key its slot or the empty one where its search ends, and whether it is there."""
+        slot = (mix(keys, 3) >> U(64 - self.bits)).astype(np.int64)
+        there = self.keys[slot] == keys
+        open_ = np.flatnonzero(~there & (self.keys[slot] != 0))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & ((1 << self.bits) - 1)
+            k = self.keys[slot[open_]]
+            there[open_] = k == keys[open_]
+            open_ = open_[(k != 0) & (k != keys[open_])]
+        return slot, there
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The keys' numbers, -1 for those not there."""
+        slot, there = self._slots(keys)
+        return np.where(there, self.values[slot], -1)
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Distinct keys that are not there yet; beyond half its room the table starts afresh."""
+        if self.n + len(keys) > len(self.keys) // 2:
+            self.keys[:] = 0
+            self.n = 0
+        self.n += len(keys)
+        while len(keys):
+            slot, _ = self._slots(keys)
+            _, first = np.unique(slot, return_index=True)
+            self.keys[slot[first]], self.values[slot[first]] = keys[first], values[first]
+            rest = np.ones(len(keys), bool)
+            rest[first] = False
+            keys, values = keys[rest], values[rest]
+
+
+class Lockstep:
+    """The transducer over many short pre-tokens at once: all advance by one byte per round."""
+
+    MOST = 32  # bytes of a pre-token
+
+    def __init__(self, merges: Merges):
+        self.m = merges
+        tokens = [(b, i) for b, i in merges.ids.items() if len(b) <= self.MOST]
+        flat = np.frombuffer(b"".join(b for b, _ in tokens), np.uint8)
+        ends = np.cumsum([len(b) for b, _ in tokens])
+        starts = np.concatenate([[0], ends[:-1]])
+        self.ids, self.pairs = Table(18), Table(20)
+        self.ids.add(Prefix(flat).of(starts, ends), np.array([i for _, i in tokens]))
+        self.length = np.fromiter(map(len, merges.bytes), np.int64, len(merges.bytes))
+
+    def stay(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        keys = (a.astype(U) << U(32)) + b.astype(U) + U(1)
+        out = self.pairs.find(keys)
+        if (out < 0).any():
+            new = np.unique(keys[out < 0])
+            left, right = (new - U(1)) >> U(32), (new - U(1)) & U(0xFFFFFFFF)
+            self.pairs.add(new, np.fromiter((self.m.stays(x, y) for x, y in zip(left.tolist(), right.tolist())),
+                                            np.int32, len(new)))
+            out = self.pairs.find(keys)
+        return out == 1
+
+    def encode(self, pretokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens of all pre-tokens one after the other, end of each)."""
+        n = len(pretokens)
+        lens = np.fromiter(map(len, pretokens), np.int64, n)
+        flat = np.frombuffer(b"".join(pretokens), np.uint8)
+        order = np.argsort(-lens, kind="stable")  # those still running come first
+        size, start = lens[order], (np.cumsum(lens) - lens)[order]
+        longest = int(size[0])
+        prefix = Prefix(flat)
+        last = np.full((n, longest + 1), -1, np.int32)
+        for i in range(1, longest + 1):
+            todo = np.arange(np.searchsorted(-size, -i, "right"))
+            for j in range(i - 1, -1, -1):
+                token = self.ids.find(prefix.of(start[todo] + j, start[todo] + i))
+                hit = np.flatnonzero(token >= 0)
+                if j:
+                    hit = hit[self.stay(last[todo[hit], j], token[hit])]
+                last[todo[hit], i] = token[hit]
+                todo = np.delete(todo, hit)
+                if not len(todo):
+                    break
+            if len(todo):
+                raise ValueError("a byte is not in the vocabulary")
+        # Back along the borders, all pre-tokens together; then each one's tokens in reading order.
+        at, row, rows, tokens = size.copy(), np.arange(n), [], []
+        while len(row):
+            token = last[row, at]
+            rows.append(row)
+            tokens.append(token)
+            at = at - self.length[token]
+            row, at = row[at > 0], at[at > 0]
+        row, token = np.concatenate(rows), np.concatenate(tokens)
+        back = np.argsort(order[row[::-1]], kind="stable")
+        return token[::-1][back].astype(np.uint32), np.cumsum(np.bincount(order[row], minlength=n))
+
+
 class Transducer:
     """Bytes of one pre-token in, tokens out as soon as they are final."""
 
@@ -189,8 +290,8 @@ class Decoder:
 class TextEncoder:
     """Whole texts through the transducer; pieces between blanks are remembered up to a bound."""
 
-    MOST = 400_000
-    LONG = 200  # a longer piece is not remembered
+    MOST = 700_000
+    LONG = 1000  # letters of a piece
 
     def __init__(self, path: str):
         import regex
@@ -200,29 +301,40 @@ class TextEncoder:
         self.special = re.compile("|".join(map(re.escape, sorted(self.m.special, key=len, reverse=True))) or r"(?!)")
         # Blanks and line ends with nothing blank beside them: only there the text may be cut without the pattern.
         self.odd = re.compile(r"[ \n]\s|[^\S \n]|\x00").search
-        self.flow = Transducer(self.m)
+        self.flow, self.many = Transducer(self.m), Lockstep(self.m)
         lens = np.fromiter(map(len, self.m.bytes), np.int64, len(self.m.bytes))
         self.byte_flat, self.byte_len = np.frombuffer(b"".join(self.m.bytes), np.uint8), lens
         self.byte_start = np.cumsum(lens) - lens
         self._fresh()
 
     def _fresh(self) -> None:
-        self.memo, self.rows = Memo(), Rows()
-        self.tokens: dict[str, list[int]] = {}
-
-    def _pretoken(self, p: str) -> list[int]:
-        known = self.tokens.get(p)
-        if known is None:
-            known = self.flow.feed(p.encode()) + self.flow.finish()
-            if len(p) <= self.LONG:
-                self.tokens[p] = known
-        return known
-
-    def _piece(self, piece: str) -> list[int]:
-        out: list[int] = []
-        for p in self.split(piece):
-            out += self._pretoken(p)
-        return out
+        self.memo, self.rows = Memo(), Rows()         # pieces
+        self.tokens, self.token_rows = Memo(), Rows()  # pre-tokens
+
+    def _learn(self) -> None:
+        """Tokens of the new pieces, by their pre-tokens."""
+        pre, count = [], []
+        for piece in self.memo.new:
+            p = [piece] if piece in self.m.special else self.split(piece)
+            pre += p
+            count.append(len(p))
+        self.memo.new.clear()
+        numbers = np.fromiter(map(self.tokens.__getitem__, pre), np.int64, len(pre))
+        if self.tokens.new:
+            new, self.tokens.new = [p.encode() for p in self.tokens.new], []
+            special = {k.encode(): v for k, v in self.m.special.items()}
+            short = np.fromiter((len(p) <= Lockstep.MOST and p not in special for p in new), bool, len(new))
+            found, place = Rows(), np.empty(len(new), np.int64)
+            if short.any():
+                found.append(*self.many.encode([p for p, s in zip(new, short.tolist()) if s]))
+            found.add([[special[p]] if p in special else self.flow.feed(p) + self.flow.finish()
+                       for p, s in zip(new, short.tolist()) if not s])
+            place[short] = np.arange(int(short.sum()))
+            place[~short] = int(short.sum()) + np.arange(int((~short).sum()))
+            ids, lens = found.take(place)
+            self.token_rows.append(ids, np.cumsum(lens))
+        ids, lens = self.token_rows.take(numbers)
+        self.rows.append(ids, np.concatenate([[0], np.cumsum(lens)])[np.cumsum(count)])
 
     def _pieces(self, text: str) -> list[str]:
         """Pieces whose tokens do not depend on each other; the joined pieces are the text."""
@@ -232,7 +344,7 @@ class TextEncoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number per text)."""
-        if len(self.memo) > self.MOST or self.rows.used > 8 * self.MOST or len(self.tokens) > self.MOST:
+        if len(self.memo) + len(self.tokens) > self.MOST or self.rows.used > 8 * self.MOST:
             self._fresh()
         pieces: list[str] = []
         count = np.zeros(len(texts), np.int64)
@@ -250,11 +362,9 @@ class TextEncoder:
             count[i] = len(pieces) - at
         numbers = np.fromiter(map(self.memo.__getitem__, pieces), np.int64, len(pieces))
         if self.memo.new:
-            special = self.m.special
-            self.rows.add([[special[p]] if p in special else self._piece(p) for p in self.memo.new])
-            long = [p for p in self.memo.new if len(p) > self.LONG]
-            self.memo.new.clear()
-            if long:
+            long = max(map(len, self.memo.new)) > self.LONG
+            self._learn()
+            if long:  # whole lines or files without a blank are not worth keeping
                 ids, lens = self.rows.take(numbers)
                 self._fresh()
                 return ids, _per_text(lens, count)

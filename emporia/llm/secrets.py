@@ -138,10 +138,11 @@ def listed(found: Column) -> Column:
 
 def report(found: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """doc_id, n_<kind> per rule, base_sha256 and spans of ``findings``."""
-    base = F.filter("found", lambda s: s["kind"].isin([r.kind for r in RULES]))
-    return found.select("doc_id", *(
-        F.size(F.filter("found", lambda s, k=r.kind: s["kind"] == k)).cast("long").alias(f"n_{r.kind}")
-        for r in rules),
+    def of(*kinds: str) -> Column:
+        return F.filter("found", lambda s: s["kind"].isin(*kinds))
+
+    base = of(*(r.kind for r in RULES))
+    return found.select("doc_id", *(F.size(of(r.kind)).cast("long").alias(f"n_{r.kind}") for r in rules),
         F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("found")).alias("spans"))
 
 

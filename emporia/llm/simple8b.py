@@ -41,13 +41,50 @@ BLOCK = 128
 U = np.uint64
 
 
+_SMALL = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
+
+
 def _widths(ids: np.ndarray) -> np.ndarray:
     """Bits of every id (0 for 0), exact for 64 bits."""
+    if ids.size and ids.max() < len(_SMALL):
+        return _SMALL[ids.astype(np.int64)]
     high = (ids >> U(32)).astype(np.float64)
     low = (ids & U(0xFFFFFFFF)).astype(np.float64)
     return np.where(high > 0, np.frexp(high)[1] + 32, np.frexp(low)[1]).astype(np.uint8)
 
 
+def _first_fit(bits: np.ndarray) -> np.ndarray:
+    """For every place in a block the selector that takes the most ids from there on.
+
+    A place that fits a selector fits all later ones (fewer, wider
+    ids), so every step looks only at places that fitted the one before.
+    """
+    blocks, wide = bits.shape
+    best = np.full((blocks, BLOCK), ESCAPE, np.uint8)
+    most, reach, s = bits.copy(), 1, ESCAPE - 1
+    while s >= 0:
+        while reach < COUNT[s]:
+            np.maximum(most[:, :wide - reach], bits[:, reach:], out=most[:, :wide - reach])
+            reach += 1
+        fits = most[:, :BLOCK] <= WIDTH[s]
+        best[fits] = s
+        s -= 1
+        if np.count_nonzero(fits) < fits.size // 16:
+            break
+    at = np.flatnonzero(best == s + 1)
+    at = at // BLOCK * wide + at % BLOCK
+    flat, top = bits.ravel(), most.ravel()[at]
+    while s >= 0 and len(at):
+        while reach < COUNT[s]:
+            top = np.maximum(top, flat[at + reach])
+            reach += 1
+        fits = top <= WIDTH[s]
+        at, top = at[fits], top[fits]
+        best[at // wide, at % wide] = s
+        s -= 1
+    return best
+
+
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words, first word of every block, escaped ids)."""
     ids = ids.astype(U)
@@ -59,15 +96,9 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     flat = np.zeros(blocks * BLOCK, U)
     flat[:len(ids)] = ids
     grid[:, :BLOCK] = flat.reshape(blocks, BLOCK)
-    bits = _widths(grid)
-    # best[b, i]: the first selector whose ids from i on all fit; counts fall, so later ones take fewer ids.
-    best = np.full((blocks, BLOCK), ESCAPE, np.uint8)
-    most, reach = bits.copy(), 1
-    for s in range(ESCAPE - 1, -1, -1):
-        while reach < COUNT[s]:
-            most[:, :wide - reach] = np.maximum(most[:, :wide - reach], bits[:, reach:])
-            reach += 1
-        best[most[:, :BLOCK] <= WIDTH[s]] = s
+    bits = np.zeros((blocks, wide), np.uint8)
+    bits[:, :BLOCK] = _widths(grid[:, :BLOCK])
+    best = _first_fit(bits)
     # All blocks advance together, one word per round.
     at, row = np.zeros(blocks, np.int64), np.arange(blocks)
     rows, places, chosen = [], [], []
@@ -137,15 +168,18 @@ class Rows:
 
     def add(self, runs: list) -> None:
         lens = np.fromiter(map(len, runs), np.int64, len(runs))
-        total = int(lens.sum())
-        while self.used + total > len(self.flat):
+        self.append(np.fromiter((x for r in runs for x in r), np.uint32, int(lens.sum())), np.cumsum(lens))
+
+    def append(self, ids: np.ndarray, ends: np.ndarray) -> None:
+        """Add the runs of ``ids`` that end at ``ends``."""
+        while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while self.n + len(runs) > len(self.ends):
+        while self.n + len(ends) > len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.flat[self.used:self.used + total] = np.fromiter((x for r in runs for x in r), np.uint32, total)
-        self.ends[self.n:self.n + len(runs)] = self.used + np.cumsum(lens)
-        self.n += len(runs)
-        self.used += total
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.ends[self.n:self.n + len(ends)] = self.used + ends
+        self.n += len(ends)
+        self.used += len(ids)
 
     def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of the runs one after the other, length of each)."""
@@ -157,12 +191,13 @@ class Rows:
 class WordEncoder:
     """Ids of whole texts as the tokenizers library gives them, from the ids of their words.
 
-    Right for tokenizers that drop white space and never join across
-    it: the text is split at blanks and line ends only, every piece
-    goes through the library once, and repeated pieces are looked up.
+    Right for tokenizers that drop white space, never join across it
+    and mark the last token of a word: the text is split at blanks and
+    line ends only, every piece goes through the library once, and
+    repeated pieces are looked up.
     """
 
-    MOST = 400_000  # remembered pieces; then memory starts afresh
+    MOST = 700_000  # remembered pieces; then memory starts afresh
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -171,36 +206,57 @@ class WordEncoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
+        vocab = self.tok.get_vocab()
+        self.closes = np.zeros(max(vocab.values()) + 1, bool)
+        self.closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self._fresh()
 
     def _fresh(self) -> None:
-        self.memo, self.rows = Memo(), Rows()
-        self.parts: dict[str, list[int]] = {}
-
-    def _library(self, pieces: list[str]) -> None:
-        unknown = [p for p in dict.fromkeys(pieces) if p not in self.parts]
-        for p, e in zip(unknown, self.tok.encode_batch_fast(unknown, add_special_tokens=False)):
-            self.parts[p] = e.ids
+        self.memo, self.rows = Memo(), Rows()       # pieces
+        self.cores, self.core_rows = Memo(), Rows()  # letters, or what else the library got at once
+
+    def _library(self) -> None:
+        """Ids of the new cores. Plain words go in one text: each ends with its first closing token."""
+        new, self.cores.new = self.cores.new, []
+        plain = np.fromiter((c.isalpha() and max(c) <= "\xff" for c in new), bool, len(new))
+        rest = [c for c, p in zip(new, plain.tolist()) if not p]
+        runs = [e.ids for e in self.tok.encode_batch_fast(rest, add_special_tokens=False)]
+        other = Rows()
+        other.add(runs)
+        words = [c for c, p in zip(new, plain.tolist()) if p]
+        for k in range(0, len(words), 2000):
+            ids = np.array(self.tok.encode(" ".join(words[k:k + 2000]), add_special_tokens=False).ids, np.uint32)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != len(words[k:k + 2000]):
+                raise ValueError("the tokenizer does not close every word once")
+            other.append(ids, ends)
+        place = np.empty(len(new), np.int64)
+        place[~plain] = np.arange(len(rest))
+        place[plain] = len(rest) + np.arange(len(words))
+        ids, lens = other.take(place)
+        self.core_rows.append(ids, np.cumsum(lens))
 
     def _learn(self) -> None:
         """Ids of new pieces. Letters and the punctuation after them are separate for the tokenizer."""
-        cores, tails = [], []
+        parts = []
         for w in self.memo.new:
             core = w.rstrip(".,;:!?*$%&#")
-            if core != w and core.isalpha():
-                tails.append(w[len(core):])
+            if core.isalpha():
+                parts.append(core.lower() if core.isascii() else core)
+                parts.append(w[len(core):])
             else:
-                core = w
-                tails.append("")
-            cores.append(core.lower() if core.isascii() and core.isalpha() else core)
-        self._library(cores + tails)
-        parts = self.parts
-        self.rows.add([parts[c] + parts[t] if t else parts[c] for c, t in zip(cores, tails)])
+                parts.append(w)
+                parts.append("")
         self.memo.new.clear()
+        numbers = np.fromiter(map(self.cores.__getitem__, parts), np.int64, len(parts))
+        if self.cores.new:
+            self._library()
+        ids, lens = self.core_rows.take(numbers)
+        self.rows.append(ids, np.cumsum(lens)[1::2])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number per text)."""
-        if len(self.memo) > self.MOST or self.rows.used > 8 * self.MOST or len(self.parts) > self.MOST:
+        if len(self.memo) + len(self.cores) > self.MOST or self.rows.used > 8 * self.MOST:
             self._fresh()
         pieces: list[str] = []
         count = np.zeros(len(texts), np.int64)
