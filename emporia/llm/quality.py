@@ -65,8 +65,8 @@ def base_failed() -> Column:
 def vector() -> list[Column]:
     """The transformed statistics as fixed-point integers (n_words > 0)."""
     n = F.col("n_words")
-    parts = [F.log1p(n) / 2, 2 * F.log(F.col("word_chars") / n), F.log1p(20 * F.col("n_symbols") / F.col("word_chars")),
-             F.log1p(100 * F.col("n_dup_lines") / n), F.log1p(10 * F.col("n_repeat_words") / n)]
+    parts = [F.log1p(n) / 2, 2 * F.log(F.col("word_chars") / n), F.log1p(50 * F.col("n_symbols") / F.col("word_chars")),
+             F.log1p(100 * F.col("n_dup_lines") / n) / 2, F.log1p(10 * F.col("n_repeat_words") / n)]
     return [F.round(p * SCALE).cast("long").alias(f"x{i}") for i, p in enumerate(parts)]
 
 
@@ -137,7 +137,7 @@ def robust_fit(rows: DataFrame, support: float = 0.75, steps: int = 3, least_row
     return estimate
 
 
-def quality(docs: DataFrame, cutoff: float = 40.0, support: float = 0.75, steps: int = 3,
+def quality(docs: DataFrame, cutoff: float = 30.0, support: float = 0.75, steps: int = 3,
             least_rows: int = 50) -> DataFrame:
     """Per row: doc_id, the five statistics, base_failed, kept, d2 (squared distance, null where none applies)."""
     from emporia.llm.common import saved
