@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emporia.llm import bpe, cdc, quality, secrets, simple8b
+from emporia.llm import (
+    backoff, bpe, cdc, decontaminate, quality, runindex, secrets, simple8b, superminhash, toxicity,
+)
 from emporia.llm.common import with_batches
 from emporia.sources.tables import table
 
@@ -59,3 +61,34 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json"), outputs=False)
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classifier chain fitted on at most 8,192 labelled rows; all documents scored."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents."""
+    return superminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes covered by 400-byte strings that start more than once, removed from all documents."""
+    return runindex.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+@query
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items within a fifth of their words of a stretch of any document."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.report(found)
+
+
+@query
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bigram stupid backoff of every document against all others."""
+    return backoff.backoff_scores(table(spark, sf_dir, "documents"))

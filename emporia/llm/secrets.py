@@ -21,6 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from emporia.llm.common import saved
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -118,6 +120,8 @@ def findings(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = R
                     s["start"].alias("start"), number[F.col("rule")].alias("kind_no"), s["end"].alias("end"),
                     kind[F.col("rule")].alias("kind"))).alias("part"))
                 .groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("part"))).alias("found")))
+    # A stored table: the join below then deals out both sides itself and can split a blob with many paths.
+    per_blob = saved(per_blob)
     none = F.array().cast("array<struct<start:int,kind_no:int,end:int,kind:string>>")
     return (versions.select(*keep, blob_id(F.col(text)).alias("blob")).join(per_blob, "blob", "left")
             .withColumn("found", F.coalesce("found", none)))
