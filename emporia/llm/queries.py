@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from emporia.llm import (
     backoff, bpe, cdc, decontaminate, quality, runindex, secrets, simple8b, superminhash, toxicity,
 )
@@ -92,3 +93,13 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bigram stupid backoff of every document against all others."""
     return backoff.backoff_scores(table(spark, sf_dir, "documents"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of ``corpus_pipeline`` over all documents."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

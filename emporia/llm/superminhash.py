@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.llm.common import cut, saved, steps
+from emporia.llm.common import cut, row_key, saved, steps
 from emporia.llm.graph import components
 from emporia.llm.hashing import U, mix, shingles
 
@@ -104,7 +104,7 @@ def bands(sig: np.ndarray, band: int = BAND) -> np.ndarray:
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_shingles, set_a, set_b (128-bit digest of the set), bands."""
+    """Per row: doc_id, _h, n_shingles, set_a, set_b (128-bit digest of the set), bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,14 +117,14 @@ def sketch(docs: DataFrame) -> DataFrame:
                     np.add.at(total[k], row, mix(h, 51 + k))
                 b = bands(signatures(h, row, rows)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(i, rows), pa.array(count), pa.array(total[0].view(np.int64)),
+                    [batch.column("doc_id").slice(i, rows), batch.column("_h").slice(i, rows), pa.array(count), pa.array(total[0].view(np.int64)),
                      pa.array(total[1].view(np.int64)),
                      pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * b.shape[1]),
                                               pa.array(b.ravel()))],
-                    names=["doc_id", "n_shingles", "set_a", "set_b", "bands"])
+                    names=["doc_id", "_h", "n_shingles", "set_a", "set_b", "bands"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>")
+    return docs.select(*row_key(), "text").mapInArrow(
+        run, "doc_id bigint, _h bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -163,6 +163,10 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Dat
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept."""
+    return _grouped(docs).drop("_h")
+
+
+def _grouped(docs: DataFrame) -> DataFrame:
     sketches = saved(sketch(docs))
     # Texts with the same set are one node, named by their smallest id; hot groups of copies shrink before the shuffle.
     nodes = saved(sketches.filter("n_shingles > 0 and doc_id is not null")
@@ -201,5 +205,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = nodes.join(group, "node", "left").select("set_a", "set_b", F.coalesce("component", "node").alias("_c"))
     out = sketches.drop("bands").join(named, ["set_a", "set_b"], "left")
     own = F.when(F.col("n_shingles") > 0, F.col("_c")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"),
+    return out.select("doc_id", "_h", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"),
                       F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are kept, all columns; of rows with equal doc_id and text one, the smallest.
+
+    Rows without doc_id stay. Columns must have an order (no maps).
+    """
+    cols = docs.columns
+    rows = docs.withColumn("_h", F.xxhash64(F.coalesce("text", F.lit(""))))
+    gone = (_grouped(docs).filter("not kept").select(F.col("doc_id").alias("_d"), F.col("_h").alias("_g"))
+            .distinct().repartition("_g", "_d"))
+    kept = rows.join(gone, (F.col("doc_id") == F.col("_d")) & (F.col("_h") == F.col("_g")), "left_anti")
+    # Only ids and hashes are counted; repeated rows are rare and only they meet in an aggregate with their text.
+    twice = saved(rows.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_d"), F.col("_h").alias("_g"))
+                  .agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n"))
+    if twice.isEmpty():
+        return kept.select(*cols)
+    same = (F.col("doc_id") == F.col("_d")) & (F.col("_h") == F.col("_g"))
+    single = kept.join(twice, same, "left_anti").select(*cols)
+    one = (kept.join(twice, same).groupBy("doc_id", "_h").agg(F.min(F.struct(*cols)).alias("_r")).select("_r.*"))
+    return single.unionByName(one)
