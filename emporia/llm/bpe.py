@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from emporia.llm.common import ragged, steps, text_column
-from emporia.llm.hashing import U, Prefix, mix
+from emporia.llm.hashing import U, Prefix, Table
 from emporia.llm.simple8b import Memo, Rows
 
 # The split pattern of this tokenizer family.
@@ -114,44 +114,6 @@ class Merges:
         return known
 
 
-class Table:
-    """Open-addressing table of 64-bit keys (not 0) with small numbers, looked up for whole arrays."""
-
-    def __init__(self, bits: int):
-        self.bits, self.keys, self.values, self.n = bits, np.zeros(1 << bits, U), np.zeros(1 << bits, np.int32), 0
-
-    def _slots(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of every key its slot or the empty one where its search ends, and whether it is there."""
-        slot = (mix(keys, 3) >> U(64 - self.bits)).astype(np.int64)
-        there = self.keys[slot] == keys
-        open_ = np.flatnonzero(~there & (self.keys[slot] != 0))
-        while len(open_):
-            slot[open_] = (slot[open_] + 1) & ((1 << self.bits) - 1)
-            k = self.keys[slot[open_]]
-            there[open_] = k == keys[open_]
-            open_ = open_[(k != 0) & (k != keys[open_])]
-        return slot, there
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """The keys' numbers, -1 for those not there."""
-        slot, there = self._slots(keys)
-        return np.where(there, self.values[slot], -1)
-
-    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
-        """Distinct keys that are not there yet; beyond half its room the table starts afresh."""
-        if self.n + len(keys) > len(self.keys) // 2:
-            self.keys[:] = 0
-            self.n = 0
-        self.n += len(keys)
-        while len(keys):
-            slot, _ = self._slots(keys)
-            _, first = np.unique(slot, return_index=True)
-            self.keys[slot[first]], self.values[slot[first]] = keys[first], values[first]
-            rest = np.ones(len(keys), bool)
-            rest[first] = False
-            keys, values = keys[rest], values[rest]
-
-
 class Lockstep:
     """The transducer over many short pre-tokens at once: all advance by one byte per round."""
 

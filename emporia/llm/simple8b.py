@@ -30,7 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from emporia.llm.common import lists, ragged, steps, text_column
+from emporia.llm.common import lists, ragged, steps
+from emporia.llm.hashing import Prefix, Table, words
 from emporia.session import checkpoint_dir
 
 # Fixed values of the format: ids per word and their width, by selector.
@@ -192,12 +193,12 @@ class WordEncoder:
     """Ids of whole texts as the tokenizers library gives them, from the ids of their words.
 
     Right for tokenizers that drop white space, never join across it
-    and mark the last token of a word: the text is split at blanks and
-    line ends only, every piece goes through the library once, and
-    repeated pieces are looked up.
+    and mark the last token of a word: the text is split at ASCII white
+    space, every piece goes through the library once, and repeated
+    pieces are looked up by a 64-bit hash.
     """
 
-    MOST = 700_000  # remembered pieces; then memory starts afresh
+    MOST_PIECES, MOST_CORES = 900_000, 700_000  # remembered; then the memory starts afresh
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -212,9 +213,18 @@ class WordEncoder:
         self._fresh()
 
     def _fresh(self) -> None:
-        self.memo, self.rows = Memo(), Rows()       # pieces
+        self._forget_pieces()
         self.cores, self.core_rows = Memo(), Rows()  # letters, or what else the library got at once
 
+    def _forget_pieces(self) -> None:
+        self.seen, self.rows = Table(21), Rows()  # pieces by their hash
+
+    def _bounded(self) -> None:
+        if len(self.cores) > self.MOST_CORES or self.core_rows.used > 8 * self.MOST_CORES:
+            self._fresh()
+        elif self.rows.n > self.MOST_PIECES or self.rows.used > 8 * self.MOST_PIECES:
+            self._forget_pieces()  # learnt again from the cores, without the library
+
     def _library(self) -> None:
         """Ids of the new cores. Plain words go in one text: each ends with its first closing token."""
         new, self.cores.new = self.cores.new, []
@@ -236,10 +246,10 @@ class WordEncoder:
         ids, lens = other.take(place)
         self.core_rows.append(ids, np.cumsum(lens))
 
-    def _learn(self) -> None:
+    def _learn(self, pieces: list[str]) -> None:
         """Ids of new pieces. Letters and the punctuation after them are separate for the tokenizer."""
         parts = []
-        for w in self.memo.new:
+        for w in pieces:
             core = w.rstrip(".,;:!?*$%&#")
             if core.isalpha():
                 parts.append(core.lower() if core.isascii() else core)
@@ -247,29 +257,31 @@ class WordEncoder:
             else:
                 parts.append(w)
                 parts.append("")
-        self.memo.new.clear()
         numbers = np.fromiter(map(self.cores.__getitem__, parts), np.int64, len(parts))
         if self.cores.new:
             self._library()
         ids, lens = self.core_rows.take(numbers)
         self.rows.append(ids, np.cumsum(lens)[1::2])
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts one after the other, number per text)."""
-        if len(self.memo) + len(self.cores) > self.MOST or self.rows.used > 8 * self.MOST:
-            self._fresh()
-        pieces: list[str] = []
-        count = np.zeros(len(texts), np.int64)
-        for i, t in enumerate(texts):
-            p = t.replace("\n", " ").split(" ")
-            count[i] = len(p)
-            pieces += p
-        numbers = np.fromiter(map(self.memo.__getitem__, pieces), np.int64, len(pieces))
-        if self.memo.new:
-            self._learn()
+    def encode(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, number per text) of UTF-8 texts and their offsets."""
+        self._bounded()
+        start, end, row = words(buf, offs)
+        if not len(start):
+            return np.zeros(0, np.uint32), np.zeros(len(offs) - 1, np.int64)
+        h = Prefix(buf).of(start, end)
+        numbers = self.seen.find(h)
+        miss = np.flatnonzero(numbers < 0)
+        if len(miss):
+            keys, first, of = np.unique(h[miss], return_index=True, return_inverse=True)
+            raw, at = buf.tobytes(), miss[first]
+            known = self.rows.n
+            self._learn([raw[a:b].decode() for a, b in zip(start[at].tolist(), end[at].tolist())])
+            self.seen.add(keys, known + np.arange(len(keys)))
+            numbers[miss] = known + of
         ids, lens = self.rows.take(numbers)
-        ends = np.concatenate([[0], np.cumsum(lens)])[np.cumsum(count)]
-        return ids, np.diff(ends, prepend=0)
+        total = np.concatenate([[0], np.cumsum(lens)])
+        return ids, np.diff(total[np.searchsorted(row, np.arange(len(offs)))])
 
 
 @lru_cache(maxsize=2)
@@ -288,9 +300,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) ->
         enc = encoder(tokenizer)
         shard, seq, before = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
-            texts = text_column(batch)
-            for i, j, _, _ in steps(batch):
-                ids, lens = enc.encode(texts.slice(i, j - i).to_pylist())
+            for i, j, buf, offs in steps(batch):
+                ids, lens = enc.encode(buf, offs)
                 full = np.full(len(ids) + (j - i), end_id, np.uint32)
                 ends = np.cumsum(lens)
                 full[ragged(np.concatenate([[0], ends[:-1]]) + np.arange(j - i), lens)] = ids
@@ -318,7 +329,8 @@ def segments(spark: SparkSession, path: str) -> DataFrame:
     stored = spark.read.schema(_SEGMENT).parquet(path)
     totals = stored.groupBy("shard").agg(F.sum("n_ids").alias("_n"))
     ahead = totals.select("shard", (F.sum("_n").over(Window.orderBy("shard")) - F.col("_n")).alias("_ahead"))
-    return stored.join(ahead, "shard").withColumn("base", F.col("_ahead") + F.col("ids_before")).drop("_ahead")
+    # One row per task that wrote: bounded by the number of range partitions, and broadcast so that no payload is shuffled.
+    return stored.join(F.broadcast(ahead), "shard").withColumn("base", F.col("_ahead") + F.col("ids_before")).drop("_ahead")
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
