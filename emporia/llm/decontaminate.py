@@ -229,8 +229,8 @@ _HITS = "array<struct<item_id:bigint,edits:int,first_word:int,end_word:int>>"
 
 def contamination(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, recall: float = RECALL,
                   block_items: int = 5000) -> DataFrame:
-    """All columns of ``docs`` with ``hits``: item_id, edits and place of every benchmark item found in the text."""
-    cols = docs.columns
+    """All columns of ``docs`` (but for one named hits) with ``hits``: item_id, edits and place of every benchmark item found in the text."""
+    cols = [c for c in docs.columns if c != "hits"]
     out = docs.withColumn("hits", F.array().cast(_HITS))
     items = benchmark.select("item_id", "text").filter("text is not null")
     blocks = max(1, math.ceil(items.count() / block_items))
@@ -265,4 +265,5 @@ def report(found: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFrame:
     """``docs`` without the contaminated rows; all columns stay."""
-    return contamination(docs, benchmark, edits).filter(F.size("hits") == 0).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "text")  # as one column: no name can clash
+    return contamination(rows, benchmark, edits).filter(F.size("hits") == 0).select("_row.*")

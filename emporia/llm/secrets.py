@@ -157,7 +157,8 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     blob has findings; rows without findings pass unchanged.
     """
     cols = docs.columns
-    found, _ = scan(docs, keep=tuple(cols))
+    # The row as one column: no name can clash.
+    found, _ = scan(docs.select(F.struct(*cols).alias("_row"), "text"), keep=("_row", "text"))
     # Overlapping spans of different kinds are merged, then the text is rebuilt from the stretches outside of them.
     merged = F.aggregate(
         "found", F.struct(F.lit(0).alias("pos"), F.array().cast("array<string>").alias("out")),
@@ -167,9 +168,8 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
                    F.concat(acc["out"], F.array(F.substring(F.col("text"), acc["pos"] + 1, s["start"] - acc["pos"]),
                                                 F.lit(mark)))).otherwise(acc["out"]).alias("out")),
         lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col("text"), acc["pos"] + 1, F.length("text"))))
-    clean = F.when(F.size("found") > 0, merged).otherwise(F.col("text"))
-    out = found.withColumn("text", clean)
-    if "n_chars" in cols:
-        out = out.withColumn("n_chars", F.when(F.size("found") > 0, F.length("text").cast("long"))
-                             .otherwise(F.col("n_chars")))
-    return out.select(*cols)
+    hit = F.size("found") > 0
+    out = found.select("_row", hit.alias("_hit"), merged.alias("_clean"))
+    own = {"text": F.col("_clean"), "n_chars": F.length("_clean").cast("long")}
+    return out.select(*(F.when(F.col("_hit"), own[c]).otherwise(F.col("_row")[c]).alias(c) if c in own
+                        else F.col("_row")[c].alias(c) for c in cols))

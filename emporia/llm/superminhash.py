@@ -214,17 +214,16 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
 
     Rows without doc_id stay. Columns must have an order (no maps).
     """
-    cols = docs.columns
-    rows = docs.withColumn("_h", F.xxhash64(F.coalesce("text", F.lit(""))))
+    # The row as one column: no name can clash.
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), *row_key())
     gone = (_grouped(docs).filter("not kept").select(F.col("doc_id").alias("_d"), F.col("_h").alias("_g"))
             .distinct().repartition("_g", "_d"))
-    kept = rows.join(gone, (F.col("doc_id") == F.col("_d")) & (F.col("_h") == F.col("_g")), "left_anti")
+    same = (F.col("doc_id") == F.col("_d")) & (F.col("_h") == F.col("_g"))
+    kept = rows.join(gone, same, "left_anti")
     # Only ids and hashes are counted; repeated rows are rare and only they meet in an aggregate with their text.
     twice = saved(rows.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_d"), F.col("_h").alias("_g"))
                   .agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n"))
     if twice.isEmpty():
-        return kept.select(*cols)
-    same = (F.col("doc_id") == F.col("_d")) & (F.col("_h") == F.col("_g"))
-    single = kept.join(twice, same, "left_anti").select(*cols)
-    one = (kept.join(twice, same).groupBy("doc_id", "_h").agg(F.min(F.struct(*cols)).alias("_r")).select("_r.*"))
-    return single.unionByName(one)
+        return kept.select("_row.*")
+    one = kept.join(twice, same).groupBy("doc_id", "_h").agg(F.min("_row").alias("_row"))
+    return kept.join(twice, same, "left_anti").select("_row.*").unionByName(one.select("_row.*"))
