@@ -25,6 +25,15 @@ def enrich(df: DataFrame, dim: DataFrame, on: str | list[str] | Column, how: str
     return df.join(dim, on, how)
 
 
+def enrich_sparse(df: DataFrame, dim: DataFrame, key: str, spread: str) -> DataFrame:
+    """J7 for a string key that is null in many rows: null rows match nothing, so
+    each gets a key of its own making (from the column ``spread``) instead of
+    meeting in one task."""
+    k = F.coalesce(F.col(key), F.concat(F.lit("\u0000"), F.col(spread).cast("string")))
+    d = dim.withColumnRenamed(key, "_lk")
+    return df.withColumn("_key", k).join(d, F.col("_key") == F.col("_lk"), "left").drop("_key", "_lk")
+
+
 def lookup_or_default(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str, value: str,
                       alias: str, default: str = "N/A") -> DataFrame:
     """Look a code up, ``default`` when the code is not in the dictionary."""

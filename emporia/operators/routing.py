@@ -1,9 +1,9 @@
 """Projections, filters and routing over the change log and the page log.
 
 Every function is a narrow transformation (no shuffle) except the
-config-driven routers, which join against the current routing config.
-The config is a handful of rows per source table, so it is broadcast
-(J16); its size is bounded by the number of shop tables.
+config-driven routers, which join against the current routing config (J16).
+The config carries no hint: a routing config of a handful of rows is
+broadcast from its measured size, a large one is joined by shuffle.
 """
 
 from __future__ import annotations
@@ -50,10 +50,16 @@ def latest_by_key(df: DataFrame, keys: list[str] | str, order: list[str] | str =
 
 # ------------------------------------------------------------------ P2 / P3 / P4
 
+def is_object(value: Column) -> Column:
+    """Whether a line is a JSON object (not a number, string, list or broken text); null is not."""
+    kind = F.schema_of_variant(F.try_parse_json(value))
+    return F.coalesce(kind.startswith("OBJECT"), F.lit(False))
+
+
 def split_dirty(raw: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """(good, dirty) -- a record is dirty when it is not valid JSON."""
-    ok = F.try_parse_json(F.col(col)).isNotNull()
-    return raw.where(ok), raw.where(~ok | F.col(col).isNull())
+    """(good, dirty) -- a record is dirty when it is not a JSON object."""
+    ok = is_object(F.col(col))
+    return raw.where(ok), raw.where(~ok)
 
 
 def drop_bootstrap(cdc: DataFrame) -> DataFrame:
@@ -98,7 +104,7 @@ def route_facts(cdc: DataFrame, config: DataFrame) -> DataFrame:
     op = F.when(F.col("op") == "r", F.lit("c")).otherwise(F.col("op"))
     rows = cdc.select(table_col(cdc).alias("source_table"), op.alias("source_type"),
                       F.coalesce("after", "before").alias("data"), "ts_ms")
-    cfg = F.broadcast(config.select("source_table", "source_type", "sink_table", "sink_columns"))
+    cfg = config.select("source_table", "source_type", "sink_table", "sink_columns")
     out = rows.join(cfg, ["source_table", "source_type"])
     return out.select("sink_table", "source_table", "source_type",
                       _prune(F.col("data"), F.col("sink_columns")).alias("data"), "ts_ms")
@@ -109,7 +115,7 @@ def route_dims(cdc: DataFrame, config: DataFrame) -> DataFrame:
     columns, attach ``op`` and the target (row key column, family)."""
     rows = cdc.select(table_col(cdc).alias("source_table"), "op",
                       F.coalesce("after", "before").alias("data"), "ts_ms")
-    cfg = F.broadcast(config.select("source_table", "sink_table", "sink_columns", "sink_family", "sink_row_key"))
+    cfg = config.select("source_table", "sink_table", "sink_columns", "sink_family", "sink_row_key")
     out = rows.join(cfg, "source_table")
     return out.select("sink_table", "sink_family", "sink_row_key", "op",
                       _prune(F.col("data"), F.col("sink_columns")).alias("data"), "ts_ms")
@@ -212,9 +218,15 @@ def detail_base(details: DataFrame) -> DataFrame:
         F.unix_millis(F.to_timestamp(F.col("create_time"), DATETIME)).alias("create_ms"), "ts_ms")
 
 
-def comment_base(comments: DataFrame, db: str, table: str) -> DataFrame:
-    """Comment projection with its origin."""
-    return comments.select(F.lit(db).alias("db"), F.lit(table).alias("table_name"), *comments.columns)
+COMMENT_FIELDS = ["id", "user_id", "sku_id", "order_id", "appraise", "comment_txt"]
+
+
+def comment_base(cdc: DataFrame, table: str) -> DataFrame:
+    """Comment changes that carry a new row: origin (db, table, server id), op, time, comment fields."""
+    rows = cdc.where((table_col(cdc) == table) & F.col("after").isNotNull())
+    return rows.select(*[F.col("source")[k].alias(n) for k, n in
+                         (("db", "db"), ("table", "table_name"), ("server_id", "server_id"))],
+                       "op", "ts_ms", *[F.col("after")[c].alias(c) for c in COMMENT_FIELDS])
 
 
 def change_flat(cdc: DataFrame) -> DataFrame:

@@ -14,6 +14,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emporia.functions.scalars import round3
+
 # The six age bands, in order.
 BANDS = ["18_24", "25_29", "30_34", "35_39", "40_49", "50"]
 
@@ -23,45 +25,45 @@ COEFFICIENTS = {"device": "0.1", "search": "0.15", "pay_time": "0.1", "amount":
 
 # Weights before the coefficient, in band order.
 WEIGHTS = [
-    ("device", "iOS", ".7 .6 .5 .4 .3 .2"),
-    ("device", "Android", ".8 .7 .6 .5 .4 .3"),
-    ("search", "时尚与潮流", ".9 .7 .5 .3 .2 .1"),
-    ("search", "性价比", ".2 .4 .6 .7 .8 .8"),
-    ("search", "健康与养生", ".2 .4 .6 .7 .8 .8"),
-    ("search", "家庭与育儿", ".1 .2 .4 .6 .8 .7"),
-    ("search", "科技与数码", ".8 .6 .4 .3 .2 .1"),
-    ("search", "学习与发展", ".4 .5 .6 .7 .8 .7"),
-    ("pay_time", "凌晨", ".2 .1 .1 .1 .1 .1"),
-    ("pay_time", "早晨", ".1 .1 .1 .1 .2 .3"),
-    ("pay_time", "上午", ".2 .2 .2 .2 .3 .4"),
-    ("pay_time", "中午", ".4 .4 .4 .4 .4 .3"),
-    ("pay_time", "下午", ".4 .5 .5 .5 .5 .4"),
-    ("pay_time", "晚上", ".8 .7 .6 .5 .4 .3"),
-    ("pay_time", "夜间", ".9 .7 .5 .3 .2 .1"),
-    ("amount", "lt_1000", ".8 .6 .4 .3 .2 .1"),
-    ("amount", "1000_4000", ".2 .4 .6 .7 .8 .7"),
-    ("amount", "other", ".1 .2 .3 .4 .5 .6"),
-    ("brand", "TCL", ".2 .3 .4 .5 .6 .7"),
-    ("brand", "苹果", ".9 .8 .7 .7 .7 .5"),
-    ("brand", "联想", ".9 .8 .7 .7 .7 .5"),
-    ("brand", "小米", ".9 .8 .7 .7 .7 .5"),
-    ("brand", "欧莱雅", ".5 .6 .8 .8 .9 .2"),
-    ("brand", "香奈儿", ".3 .4 .6 .8 .9 .2"),
-    ("brand", "other", ".1 .2 .3 .4 .5 .6"),
-    ("category", "数码", ".9 .8 .6 .4 .2 .1"),
-    ("category", "手机", ".9 .8 .6 .4 .2 .1"),
-    ("category", "电脑办公", ".9 .8 .6 .4 .2 .1"),
-    ("category", "个护化妆", ".9 .8 .6 .4 .2 .1"),
-    ("category", "服饰内衣", ".9 .8 .6 .4 .2 .1"),
-    ("category", "家居家装", ".2 .4 .6 .8 .9 .7"),
-    ("category", "图书、音像、电子书刊", ".2 .4 .6 .8 .9 .7"),
-    ("category", "厨具", ".2 .4 .6 .8 .9 .7"),
-    ("category", "鞋靴", ".2 .4 .6 .8 .9 .7"),
-    ("category", "母婴", ".2 .4 .6 .8 .9 .7"),
-    ("category", "汽车用品", ".2 .4 .6 .8 .9 .7"),
-    ("category", "珠宝", ".2 .4 .6 .8 .9 .7"),
-    ("category", "家用电器", ".2 .4 .6 .8 .9 .7"),
-    ("category", "other", ".1 .2 .4 .5 .8 .9"),
+    ("device", "iOS", "0.7", "0.6", "0.5", "0.4", "0.3", "0.2"),
+    ("device", "Android", "0.8", "0.7", "0.6", "0.5", "0.4", "0.3"),
+    ("search", "时尚与潮流", "0.9", "0.7", "0.5", "0.3", "0.2", "0.1"),
+    ("search", "性价比", "0.2", "0.4", "0.6", "0.7", "0.8", "0.8"),
+    ("search", "健康与养生", "0.2", "0.4", "0.6", "0.7", "0.8", "0.8"),
+    ("search", "家庭与育儿", "0.1", "0.2", "0.4", "0.6", "0.8", "0.7"),
+    ("search", "科技与数码", "0.8", "0.6", "0.4", "0.3", "0.2", "0.1"),
+    ("search", "学习与发展", "0.4", "0.5", "0.6", "0.7", "0.8", "0.7"),
+    ("pay_time", "凌晨", "0.2", "0.1", "0.1", "0.1", "0.1", "0.1"),
+    ("pay_time", "早晨", "0.1", "0.1", "0.1", "0.1", "0.2", "0.3"),
+    ("pay_time", "上午", "0.2", "0.2", "0.2", "0.2", "0.3", "0.4"),
+    ("pay_time", "中午", "0.4", "0.4", "0.4", "0.4", "0.4", "0.3"),
+    ("pay_time", "下午", "0.4", "0.5", "0.5", "0.5", "0.5", "0.4"),
+    ("pay_time", "晚上", "0.8", "0.7", "0.6", "0.5", "0.4", "0.3"),
+    ("pay_time", "夜间", "0.9", "0.7", "0.5", "0.3", "0.2", "0.1"),
+    ("amount", "lt_1000", "0.8", "0.6", "0.4", "0.3", "0.2", "0.1"),
+    ("amount", "1000_4000", "0.2", "0.4", "0.6", "0.7", "0.8", "0.7"),
+    ("amount", "other", "0.1", "0.2", "0.3", "0.4", "0.5", "0.6"),
+    ("brand", "TCL", "0.2", "0.3", "0.4", "0.5", "0.6", "0.7"),
+    ("brand", "苹果", "0.9", "0.8", "0.7", "0.7", "0.7", "0.5"),
+    ("brand", "联想", "0.9", "0.8", "0.7", "0.7", "0.7", "0.5"),
+    ("brand", "小米", "0.9", "0.8", "0.7", "0.7", "0.7", "0.5"),
+    ("brand", "欧莱雅", "0.5", "0.6", "0.8", "0.8", "0.9", "0.2"),
+    ("brand", "香奈儿", "0.3", "0.4", "0.6", "0.8", "0.9", "0.2"),
+    ("brand", "other", "0.1", "0.2", "0.3", "0.4", "0.5", "0.6"),
+    ("category", "数码", "0.9", "0.8", "0.6", "0.4", "0.2", "0.1"),
+    ("category", "手机", "0.9", "0.8", "0.6", "0.4", "0.2", "0.1"),
+    ("category", "电脑办公", "0.9", "0.8", "0.6", "0.4", "0.2", "0.1"),
+    ("category", "个护化妆", "0.9", "0.8", "0.6", "0.4", "0.2", "0.1"),
+    ("category", "服饰内衣", "0.9", "0.8", "0.6", "0.4", "0.2", "0.1"),
+    ("category", "家居家装", "0.2", "0.4", "0.6", "0.8", "0.9", "0.7"),
+    ("category", "图书、音像、电子书刊", "0.2", "0.4", "0.6", "0.8", "0.9", "0.7"),
+    ("category", "厨具", "0.2", "0.4", "0.6", "0.8", "0.9", "0.7"),
+    ("category", "鞋靴", "0.2", "0.4", "0.6", "0.8", "0.9", "0.7"),
+    ("category", "母婴", "0.2", "0.4", "0.6", "0.8", "0.9", "0.7"),
+    ("category", "汽车用品", "0.2", "0.4", "0.6", "0.8", "0.9", "0.7"),
+    ("category", "珠宝", "0.2", "0.4", "0.6", "0.8", "0.9", "0.7"),
+    ("category", "家用电器", "0.2", "0.4", "0.6", "0.8", "0.9", "0.7"),
+    ("category", "other", "0.1", "0.2", "0.4", "0.5", "0.8", "0.9"),
 ]
 
 # Scores that fall back to their "other" row for an unknown value (an
@@ -71,7 +73,7 @@ WITH_DEFAULT = {"amount", "brand", "category"}
 
 def weight_table(spark: SparkSession) -> DataFrame:
     """Wide weight table: ``score, value, w_<band>...`` (decimal(4,2))."""
-    rows = [(s, v, *[Decimal(x) for x in w.split()]) for s, v, w in WEIGHTS]
+    rows = [(s, v, *[Decimal(x) for x in w]) for s, v, *w in WEIGHTS]
     schema = "score string, value string, " + ", ".join(f"w_{b} decimal(4,2)" for b in BANDS)
     return spark.createDataFrame(rows, schema)
 
@@ -95,13 +97,13 @@ def score(df: DataFrame, name: str, value: Column, spark: SparkSession | None =
     prefix = prefix or name
     coef = F.lit(Decimal(COEFFICIENTS[name])).cast("decimal(4,2)")
     w = weight_table(spark).where(F.col("score") == name).drop("score")
-    known = [v for s, v, _ in WEIGHTS if s == name]
+    known = [v for s, v, *_ in WEIGHTS if s == name]
     val = value
     if name in WITH_DEFAULT:
         val = F.when(value.isNull(), F.lit(None)).when(value.isin(*known), value).otherwise(F.lit("other"))
     x = df.withColumn("_sv", val).join(F.broadcast(w.withColumnRenamed("value", "_sv")), "_sv", "left")
     for b in BANDS:
-        s = F.round(F.col(f"w_{b}") * coef, 3)
+        s = round3(F.col(f"w_{b}") * coef)
         if name == "search":
             s = F.coalesce(s, F.lit(0).cast("decimal(4,2)"))
         x = x.withColumn(f"{prefix}_{b}", s.cast("double"))

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emporia.functions.scalars import ms_to_day
+from emporia.functions.scalars import ms_to_day, negate
 
 
 def _order(ts: str, tie: str) -> Column:
@@ -99,11 +99,10 @@ def dedup_retract(df: DataFrame, key: str, measures: list[str], order: list[str]
     order = [order] if isinstance(order, str) else list(order)
     pos = F.struct(*[F.col(c) for c in order])
     last = df.groupBy(key).agg(F.max(pos).alias("_last"))
-    tagged = df.join(last, key)
-    rows = tagged.drop("_last").withColumn("is_retraction", F.lit(False))
-    neg = [(-F.col(c)).alias(c) if c in measures else F.col(c) for c in df.columns]
-    retracts = tagged.where(pos < F.col("_last")).select(*neg).withColumn("is_retraction", F.lit(True))
-    return rows.unionByName(retracts)
+    signs = F.when(pos < F.col("_last"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    signed = df.join(last, key).withColumn("is_retraction", F.explode(signs))
+    return signed.select(*[F.when(F.col("is_retraction"), negate(c)).otherwise(F.col(c)).alias(c) if c in measures
+                           else F.col(c) for c in df.columns], "is_retraction")
 
 
 # ------------------------------------------------------------------ F6
@@ -129,26 +128,38 @@ def mark_login(df: DataFrame, key: str = "user_id", ts: str = "ts_ms", tie: str
 
 # ------------------------------------------------------------------ F7
 
-def keep_newer(df: DataFrame, key: str, ts: str, tie: str) -> DataFrame:
-    """keep a record only when its time is later than the stored one.
+def keep_newer(df: DataFrame, key: str, ts: str, arrival: list[str] | str) -> DataFrame:
+    """keep a record only when its ``ts`` is later than the stored one.
 
     The stored value is the largest time kept so far, so a record passes
-    exactly when its time exceeds every earlier record's. With records
-    arriving in ``(ts, tie)`` order that is the first record of each
-    distinct ``(key, ts)`` -- one partial aggregate, no per-key sort.
+    exactly when its time exceeds every record's that arrived before it;
+    ``arrival`` orders the arrivals and is not the compared time. Records
+    without key are dropped (P12). Versions of one record meet in one
+    task: the key is a record id, not a dimension.
     """
-    first = df.groupBy(key, ts).agg(F.min_by(F.struct(*df.columns), F.col(tie)).alias("_r"))
-    return first.select("_r.*")
+    arrival = [arrival] if isinstance(arrival, str) else list(arrival)
+    before = (Window.partitionBy(key).orderBy(*arrival)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    out = df.where(F.col(key).isNotNull()).withColumn("_seen", F.max(ts).over(before))
+    return out.where(F.col("_seen").isNull() | (F.col(ts) > F.col("_seen"))).drop("_seen")
 
 
 # ------------------------------------------------------------------ F8 / F9
 
-def dedup_payload(df: DataFrame, key: str, payload: list[str]) -> DataFrame:
-    """F8: drop exact repeats of ``(key, payload)``; first arrival kept."""
-    return df.dropDuplicates([key] + list(payload))
+def dedup_first(df: DataFrame, cols: list[str], order: list[str] | str) -> DataFrame:
+    """The first record (smallest ``order``) of every distinct ``cols``; a partial aggregate."""
+    order = [order] if isinstance(order, str) else list(order)
+    rest = [c for c in df.columns if c not in cols]
+    first = df.groupBy(*cols).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_r"))
+    return first.select(*[F.col(c) if c in cols else F.col("_r")[c].alias(c) for c in df.columns])
+
+
+def dedup_payload(df: DataFrame, key: str, payload: list[str], order: list[str] | str = "ts_ms") -> DataFrame:
+    """F8: drop exact repeats of ``(key, payload)``; the first arrival is kept."""
+    return dedup_first(df, [key, *payload], order)
 
 
-def dedup_exact(df: DataFrame, cols: list[str]) -> DataFrame:
+def dedup_exact(df: DataFrame, cols: list[str], order: list[str] | str) -> DataFrame:
     """the Bloom-filter de-duplication on ``order_id_ts_ms``, made exact
-    (no false drops): one row per distinct key tuple."""
-    return df.dropDuplicates(list(cols))
+    (no false drops): the first row per distinct key tuple."""
+    return dedup_first(df, list(cols), order)

@@ -3,9 +3,10 @@
 The keyword function is a column expression (``explode(split(...))``),
 so it runs inside whole-stage codegen; a Python ``@udtf`` twin is
 registered for SQL ``LATERAL`` use. Word-list screening is an equi-join
-of distinct (record, token) pairs with the word list -- never a cross
-join of texts and words -- so it scales with the number of distinct
-tokens and lets AQE broadcast the list when its measured size is small.
+of the distinct short strings of each record with the first letters of
+the listed words -- never a cross join of texts and words -- so it scales
+with the texts and lets AQE broadcast the list when its measured size is
+small.
 """
 
 from __future__ import annotations
@@ -16,9 +17,10 @@ from pyspark.sql import functions as F
 from emporia.functions.scalars import last_token
 
 # Token pattern of the keyword function (letters and digits
-# of any script), and of the word screen (ASCII letter runs).
+# of any script), and of word lists (letters of any script).
 KEYWORD_SPLIT = r"[^\p{L}\p{N}]+"
-WORD_SPLIT = "[^a-z]+"
+WORD_SPLIT = r"[^\p{L}]+"
+SEED = 3  # letters that propose a listed word
 
 
 def tokens(text: Column, pattern: str = KEYWORD_SPLIT) -> Column:
@@ -33,10 +35,11 @@ def explode_tokens(df: DataFrame, col: str, alias: str = "keyword", pattern: str
 
 def register_keyword_udtf(spark) -> None:
     """T1 (SQL form): ``SELECT ... FROM t, LATERAL ik_analyze(text)``."""
-    import regex
+    import re
+
     from pyspark.sql.functions import udtf
 
-    splitter = regex.compile(r"[^\p{L}\p{N}]+")
+    splitter = re.compile(r"[\W_]+")  # all but letters and numbers of any script
 
     @udtf(returnType="keyword: string")
     class KeywordUDTF:
@@ -74,15 +77,34 @@ def check_last_word(df: DataFrame, words: DataFrame, text: str = "msg", id_col:
             .drop("_last", "_w"))
 
 
+def _seeds_of(letters: str) -> Column:
+    """The distinct strings of one to ``SEED`` letters in a column of letters."""
+    def runs(n: int) -> Column:
+        at = F.sequence(F.lit(0), F.size(letters) - n)
+        return F.when(F.size(letters) >= n, F.transform(at, lambda i: F.concat(
+            *[F.get(F.col(letters), i + k) for k in range(n)]))).otherwise(F.array().cast("array<string>"))
+
+    return F.array_distinct(F.concat(*[runs(n) for n in range(1, SEED + 1)]))
+
+
 def find_words(df: DataFrame, words: DataFrame, text: str = "msg", id_col: str = "id") -> DataFrame:
-    """Distinct listed words occurring as tokens of each record's text:
-    ``id_col, found`` (sorted, joined by ``", "``); records without any are absent."""
-    toks = df.select(id_col, F.explode(tokens(F.col(text), WORD_SPLIT)).alias("_t"))
-    w = words.select(F.col("word").alias("_t")).distinct()
-    # join first: with a list small enough to broadcast the tokens are never
-    # shuffled; only the (much smaller) matches are de-duplicated and grouped
-    hits = toks.join(w, "_t").distinct()
-    return hits.groupBy(id_col).agg(F.array_join(F.array_sort(F.collect_list("_t")), ", ").alias("found"))
+    """Distinct listed words contained anywhere in each record's lower-cased
+    text, in any script and inside longer words too: ``id_col, found``
+    (sorted, joined by ``", "``); records without any are absent.
+
+    A word is proposed by its first ``SEED`` letters (equi-join with the
+    text's distinct strings of that length) and then looked for in the
+    text; the words proposed for a record are at most the list.
+    """
+    low = df.select(id_col, F.lower(F.col(text)).alias("_text"))
+    letters = low.select(id_col, F.filter(F.split("_text", ""), lambda c: c != "").alias("_letters"))
+    seeds = letters.select(id_col, F.explode(_seeds_of("_letters")).alias("_seed"))
+    w = words.select(F.col("word").alias("_w")).where(F.col("_w") != "").distinct()
+    w = w.withColumn("_seed", F.substring("_w", 1, SEED))
+    proposed = seeds.join(w, "_seed").groupBy(id_col).agg(F.collect_set("_w").alias("_ws"))
+    found = low.join(proposed, id_col).select(
+        id_col, F.filter("_ws", lambda x: F.contains(F.col("_text"), x)).alias("_f"))
+    return found.where(F.size("_f") > 0).select(id_col, F.array_join(F.array_sort("_f"), ", ").alias("found"))
 
 
 def check_all_words(df: DataFrame, words: DataFrame, text: str = "msg", id_col: str = "id") -> DataFrame:

@@ -9,6 +9,8 @@ watermark is set (``with_event_time``).
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,35 +46,35 @@ def traffic_window(log: DataFrame, size: str = "10 seconds", key: str = "mid",
     ``has_start``): F1's stored date is set by a device's first record of
     any kind, while only page records (P8: no ``start``) are counted.
 
-    Plan, built for a device that may hold a third of all records:
-    1. pre-aggregate records into cells ``(device, day, window, dims,
-       is_start)`` -- partial aggregation spreads a hot device over many
-       cells and shrinks the shuffle to one row per cell;
-    2. one exchange on the device over the cells: F1 (first record's
-       date) and F2 (first page record of the day) are window functions
-       over cells, not over records;
-    3. the final aggregate over ``(window, dims)`` with repaired ``is_new``.
+    Plan, built for a device that may hold a third of all records: no
+    record and no cell of a device is ever sorted or gathered; every step
+    is an aggregate that is combined before its shuffle, or a join whose
+    hot partitions Spark can split.
+    1. per (device, day): the first record with its flag, and the first
+       page record (one row per device and day);
+    2. per device: F1's date from the first of those rows;
+    3. page records as cells ``(device, day, window, dims)``, joined to
+       their day; F2 is the cell that holds the day's first page record;
+    4. the final aggregate over ``(window, dims)`` with repaired ``is_new``.
     """
-    order = F.struct(F.col(ts), F.col(tie))
+    # Arrival order as one fixed-width number, so the aggregates are hash aggregates.
+    order = (F.col(ts).cast("decimal(19,0)") * F.lit(Decimal(10**19))
+             + F.col(tie).cast("decimal(19,0)")).cast("decimal(38,0)")
+    start = F.coalesce(F.col("has_start"), F.lit(False))
     lp = F.col("last_page_id")
-    cells = (log
-             .groupBy(F.col(key).alias("_key"), ms_to_day(ts).alias("_day"),
-                      F.window(ms_to_ts(ts), size).alias("window"),
-                      *TRAFFIC_DIMS, F.coalesce(F.col("has_start"), F.lit(False)).alias("_start"))
-             .agg(F.count(F.lit(1)).alias("pv_ct"),
-                  F.sum(F.when(lp.isNull() | (lp == ""), 1).otherwise(0)).cast("bigint").alias("sv_ct"),
-                  F.sum("during_time").cast("bigint").alias("dur_sum"),
-                  F.min(order).alias("_first")))
-    # ordered by day with a whole-partition frame: one sort of the cells by
-    # (device, day) serves this window and the per-day one below
-    by_key = (Window.partitionBy("_key").orderBy("_day")
-              .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    rows = log.select(F.col(key).alias("_key"), ms_to_day(ts).alias("_day"), ts, *TRAFFIC_DIMS, start.alias("_start"),
+                      order.alias("_order"), "during_time", (lp.isNull() | (lp == "")).alias("_opens"))
     state = F.when(F.col("is_new") == "1", F.col("_day")).otherwise(F.date_sub("_day", 1))
-    cells = cells.withColumn("_visit_date", F.min_by(state, F.col("_first")).over(by_key))
-    pages = cells.where(~F.col("_start"))
-    day_first = F.min("_first").over(Window.partitionBy("_key", "_day"))
-    pages = (pages
-             .withColumn("uv_ct", (F.col("_first") == day_first).cast("bigint"))
+    days = rows.groupBy("_key", "_day").agg(F.min("_order").alias("_first"), F.min_by(state, "_order").alias("_state"),
+                                            F.min(F.when(~F.col("_start"), F.col("_order"))).alias("_first_page"))
+    visit = days.groupBy("_key").agg(F.min_by("_state", "_first").alias("_visit_date"))
+    days = days.select("_key", "_day", "_first_page").join(visit, "_key")
+    cells = (rows.where(~F.col("_start"))
+             .groupBy("_key", "_day", F.window(ms_to_ts(ts), size).alias("window"), *TRAFFIC_DIMS)
+             .agg(F.count(F.lit(1)).alias("pv_ct"), F.sum(F.col("_opens").cast("bigint")).alias("sv_ct"),
+                  F.sum("during_time").cast("bigint").alias("dur_sum"), F.min("_order").alias("_order")))
+    pages = (cells.join(days, ["_key", "_day"])
+             .withColumn("uv_ct", (F.col("_order") == F.col("_first_page")).cast("bigint"))
              .withColumn("is_new", F.when((F.col("is_new") == "1") & (F.col("_visit_date") != F.col("_day")),
                                           F.lit("0")).otherwise(F.col("is_new"))))
     out = (pages.groupBy("window", *TRAFFIC_DIMS)

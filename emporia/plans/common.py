@@ -6,33 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporia.operators import routing
-from emporia.sources import logs, sinks, standins
+from emporia.sources import logs, standins
 
 
 def cdc(spark: SparkSession, sf: str) -> DataFrame:
-    """The ODS change log in parsed form, stored once per input and read by every job.
+    """The ODS change log in parsed form (lazy: a fact job plans only the branches of its tables)."""
+    return standins.cdc(spark, sf)
 
-    The stand-in change log is derived from the driver's tables by one
-    Spark job and written as Parquet partitioned by source table into the
-    shared checkpoint folder (``spark.checkpoint.dir``); a fact job then
-    reads only its table's partition (partition pruning), as DWD jobs read
-    an ODS table. A written table also cuts the lineage, so a lost
-    executor costs a re-read, not a re-derivation.
-    """
-    return sinks.stored(spark, f"ods_cdc/{_tag(sf)}",
-                        lambda: standins.cdc(spark, sf).withColumn("table_name", F.col("source")["table"]),
-                        partition_by="table_name")
 
-
-def _tag(sf: str) -> str:
-    import hashlib
-    return hashlib.md5(sf.rstrip("/").encode()).hexdigest()[:12] + "_" + sf.rstrip("/").split("/")[-1]
-
-
-def cdc_raw(spark: SparkSession, sf: str) -> DataFrame:
-    """The change log as a topic would carry it (JSON lines), parsed by S1."""
-    raw = cdc(spark, sf).select(F.to_json(F.struct("before", "after", "source", "op", "ts_ms")).alias("value"))
-    return logs.read_cdc(spark, raw)
+def cdc_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The change log as a topic would carry it: JSON lines, column ``value``."""
+    return cdc(spark, sf).select(F.to_json(F.struct("before", "after", "source", "op", "ts_ms")).alias("value"))
 
 
 def page_log(spark: SparkSession, sf: str, nested: bool = False) -> DataFrame:

@@ -21,7 +21,7 @@ def _dt(c: str) -> str:
 # ------------------------------------------------------------------ P1 cart fact
 
 @register("cart_add_fact", with_views(f"""
-select cast(event_id as {S}) as id, cast(user_id as {S}) as user_id, cast(event_id % 200 as {S}) as sku_id,
+select cast(event_id as {S}) as id, cast(user_id as {S}) as user_id, cast(event_id % (select count(*) from part) as {S}) as sku_id,
   cast(1 + event_id % 3 as {S}) as sku_num, epoch_us(ts) // 1000 as ts
 from v_detail_event""", "v_detail_event"))
 def cart_add_fact(spark, sf):
@@ -120,32 +120,35 @@ PAY_AFTER_MS = 5 * 1000          # ... or follow it by 5 s
 
 
 @register("payment_interval_join", with_views(f"""
-select cast(d.event_id as {S}) as order_detail_id, cast(p.user_id as {S}) as user_id,
-  cast(p.event_id as {S}) as payment_id, dic.dic_code as payment_type_code, dic.dic_name as payment_type_name,
-  {_dt('p.ts')} as callback_time, epoch_us(p.ts) // 1000 as ts_ms
-from v_payment_event p join v_detail_event d on d.user_id = p.user_id
-  and epoch_us(d.ts) // 1000 between epoch_us(p.ts) // 1000 - {PAY_BEFORE_MS} and epoch_us(p.ts) // 1000 + {PAY_AFTER_MS}
-join v_base_dic dic on dic.dic_code = cast(1 + p.event_id % 5 as {S})""",
-    "v_payment_event", "v_detail_event", "v_base_dic"))
+with od as ({DETAIL_FACT_SQL}),
+oe as (select od.*, epoch_us(d.create_time) // 1000 as detail_ms
+       from od join v_order_detail_latest d on cast(d.id as {S}) = od.id)
+select od.id as order_detail_id, od.order_id, od.user_id, od.sku_id, od.sku_name, od.province_id, od.activity_id,
+  od.activity_rule_id, od.coupon_id, p.payment_type as payment_type_code, dic.dic_name as payment_type_name,
+  {_dt('p.callback_time')} as callback_time, od.sku_num, od.split_original_amount, od.split_activity_amount,
+  od.split_coupon_amount, od.split_total_amount as split_payment_amount, epoch_us(p.callback_time) // 1000 as ts_ms
+from v_payment p join oe od on od.order_id = cast(p.order_id as {S})
+  and od.detail_ms between epoch_us(p.callback_time) // 1000 - {PAY_BEFORE_MS}
+                       and epoch_us(p.callback_time) // 1000 + {PAY_AFTER_MS}
+join v_base_dic dic on dic.dic_code = p.payment_type""",
+    "v_payment", "v_order_detail_latest", "v_order_info", "v_activity", "v_coupon", "v_base_dic"))
 def payment_interval_join(spark, sf):
-    """Payments JOIN order details of the same key with the detail time in
+    """Payments JOIN the order-detail fact on the order id with the detail time in
     [pay - 30 min, pay + 5 s], then the payment-type dictionary (inner lookup)."""
-    pay = standins.payment_event(spark, sf).select(
-        "user_id", F.col("event_id").alias("payment_id"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("pay_ms"),
-        (1 + F.col("event_id") % 5).cast("string").alias("payment_type_code"))
-    det = standins.detail_event(spark, sf).select(
-        "user_id", F.col("event_id").alias("order_detail_id"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("detail_ms"))
-    x = joins.interval_join(pay, det, "user_id", "pay_ms", "detail_ms", -PAY_BEFORE_MS, PAY_AFTER_MS)
-    dic = standins.base_dic(spark, sf).select(F.col("dic_code").alias("payment_type_code"),
-                                               F.col("dic_name").alias("payment_type_name"))
+    c = common.cdc(spark, sf)
+    pay = routing.fact_source(c, "payment_info", ["order_id", "payment_type", "callback_time"]).where(
+        routing.has_key("order_id"))
+    pay = pay.select("order_id", F.col("payment_type").alias("payment_type_code"), "callback_time",
+                     F.col("ts_ms").alias("pay_ms"))
+    fact = order_detail_fact_df(c).withColumn("detail_ms", common.ms_of("create_time")).drop("date_id", "create_time")
+    x = joins.interval_join(pay, fact, "order_id", "pay_ms", "detail_ms", -PAY_BEFORE_MS, PAY_AFTER_MS)
+    dic = common.base_dic(c).select(F.col("dic_code").alias("payment_type_code"),
+                                    F.col("dic_name").alias("payment_type_name"))
     x = x.join(dic, "payment_type_code")
-    return x.select(F.col("order_detail_id").cast("string").alias("order_detail_id"),
-                    F.col("user_id").cast("string").alias("user_id"),
-                    F.col("payment_id").cast("string").alias("payment_id"),
-                    "payment_type_code", "payment_type_name",
-                    F.date_format(F.timestamp_millis("pay_ms"), "yyyy-MM-dd HH:mm:ss").alias("callback_time"),
+    return x.select(F.col("id").alias("order_detail_id"), "order_id", "user_id", "sku_id", "sku_name", "province_id",
+                    "activity_id", "activity_rule_id", "coupon_id", "payment_type_code", "payment_type_name",
+                    "callback_time", "sku_num", "split_original_amount", "split_activity_amount",
+                    "split_coupon_amount", F.col("split_total_amount").alias("split_payment_amount"),
                     F.col("pay_ms").alias("ts_ms"))
 
 
@@ -156,7 +159,7 @@ select cast(r.id as {S}) as id, cast(o.user_id as {S}) as user_id, cast(r.order_
   cast(r.sku_id as {S}) as sku_id, cast(o.province_id as {S}) as province_id,
   strftime(r.create_time, '%Y-%m-%d') as date_id, {_dt('r.create_time')} as create_time,
   r.refund_type as refund_type_code, t.dic_name as refund_type_name,
-  r.refund_reason_type as refund_reason_type_code, rr.dic_name as refund_reason_type_name,
+  r.refund_reason_type as refund_reason_type_code, rr.dic_name as refund_reason_type_name, r.refund_reason_txt,
   cast(r.refund_num as {S}) as refund_num, cast(r.refund_amount as {S}) as refund_amount,
   epoch_us(r.create_time) // 1000 as ts_ms
 from v_refund r join v_order_info o on r.order_id = o.id
@@ -166,7 +169,8 @@ def refund_fact(spark, sf):
     """Refund JOIN order, two lookups into the same dictionary."""
     c = common.cdc(spark, sf)
     r = routing.fact_source(c, "order_refund_info", ["id", "order_id", "sku_id", "refund_num", "refund_amount",
-                                                     "create_time", "refund_type", "refund_reason_type"])
+                                                     "create_time", "refund_type", "refund_reason_type",
+                                                     "refund_reason_txt"])
     o = common.order_info(c).select(F.col("id").alias("oid"), "user_id", "province_id")
     dic = common.base_dic(c)
     t = dic.select(F.col("dic_code").alias("refund_type"), F.col("dic_name").alias("refund_type_name"))
@@ -177,7 +181,7 @@ def refund_fact(spark, sf):
                     reformat(F.col("create_time")).alias("date_id"), "create_time",
                     F.col("refund_type").alias("refund_type_code"), "refund_type_name",
                     F.col("refund_reason_type").alias("refund_reason_type_code"), "refund_reason_type_name",
-                    "refund_num", "refund_amount", "ts_ms")
+                    "refund_reason_txt", "refund_num", "refund_amount", "ts_ms")
 
 
 # ------------------------------------------------------------------ J5

@@ -114,17 +114,20 @@ def sku_dims(spark, sf):
 def enrich_sku_chain(df, spark, sf):
     """Sku -> spu -> trademark -> category3 -> category2 -> category1, each
     a left enrichment (a missing level leaves its columns null)."""
+    return joins.enrich(df, sku_chain(spark, sf), "sku_id")
+
+
+def sku_chain(spark, sf):
+    """The six dimension tables flattened to one row per sku, so facts are joined once."""
     sku, spu, tm, c3, c2, c1 = sku_dims(spark, sf)
-    x = joins.enrich(df, sku, "sku_id")
-    x = joins.enrich(x, spu, "spu_id")
+    x = joins.enrich(sku, spu, "spu_id")
     x = joins.enrich(x, tm, "tm_id")
     x = joins.enrich(x, c3.select(F.col("id").alias("category3_id"), F.col("name").alias("category3_name"),
                                   "category2_id"), "category3_id")
     x = joins.enrich(x, c2.select(F.col("id").alias("category2_id"), F.col("name").alias("category2_name"),
                                   "category1_id"), "category2_id")
-    x = joins.enrich(x, c1.select(F.col("id").alias("category1_id"), F.col("name").alias("category1_name")),
-                     "category1_id")
-    return x
+    return joins.enrich(x, c1.select(F.col("id").alias("category1_id"), F.col("name").alias("category1_name")),
+                        "category1_id")
 
 
 SKU_CHAIN_SQL = """
@@ -349,11 +352,13 @@ PAYLOAD = ["os", "ch", "md", "ba", "search_item"]
 
 
 @register("dedup_payload", with_views(f"""
-select distinct uid, os, ch, md, ba, search_item from ({DEVICE_SQL}) t""", "v_page_log"))
+select uid, os, ch, md, ba, search_item, ts_ms, event_id from (
+  select *, row_number() over (partition by uid, os, ch, md, ba, search_item order by ts_ms, event_id) as rn
+  from ({DEVICE_SQL}) t) x where rn = 1""", "v_page_log"))
 def dedup_payload(spark, sf):
-    """F8: exact-payload de-duplication per user (time is not part of the payload)."""
-    d = routing.device_search(standins.page_log(spark, sf))
-    return state.dedup_payload(d, "uid", PAYLOAD).select("uid", *PAYLOAD)
+    """F8: exact-payload de-duplication per user (time is not part of the payload); the first arrival stays."""
+    d = routing.device_search(standins.page_log(spark, sf), keep=("event_id",))
+    return state.dedup_payload(d, "uid", PAYLOAD, ["ts_ms", "event_id"]).select("uid", *PAYLOAD, "ts_ms", "event_id")
 
 
 def _set_sql(c: str) -> str:
@@ -397,26 +402,28 @@ def user_device_last(spark, sf):
 # ------------------------------------------------------------------ F7 / F9
 
 @register("keep_newer", with_views("""
-select cast(order_id as varchar) as order_id, cast(id as varchar) as id, epoch_us(create_time) // 1000 as create_ms
-from (select *, row_number() over (partition by order_id, create_time order by epoch_us(create_time) // 1000 + seq, id)
-        as rn from v_order_detail) t where rn = 1""", "v_order_detail"))
+select order_id, id, create_ms from (
+  select cast(order_id as varchar) as order_id, cast(id as varchar) as id, epoch_us(create_time) // 1000 as create_ms,
+    max(epoch_us(create_time) // 1000) over (partition by order_id order by id, seq
+      rows between unbounded preceding and 1 preceding) as seen
+  from v_order_detail) t where seen is null or create_ms > seen""", "v_order_detail"))
 def keep_newer(spark, sf):
-    """per order, detail records whose create time is later than every
-    earlier record's."""
-    v = common.detail_versions(common.cdc(spark, sf))
-    v = v.select("order_id", "id", common.ms_of("create_time").alias("create_ms"), "ts_ms")
-    out = state.keep_newer(v.withColumn("_arrival", F.struct("ts_ms", F.col("id").cast("bigint"))),
-                           "order_id", "create_ms", "_arrival")
-    return out.select("order_id", "id", "create_ms")
+    """per order, detail records whose create time is later than that of every record that
+    arrived before; details arrive in line order (id, then version)."""
+    v = common.detail_versions(common.cdc(spark, sf)).where(routing.has_key("order_id"))
+    v = v.select("order_id", "id", common.ms_of("create_time").alias("create_ms"),
+                 F.col("id").cast("bigint").alias("_line"), F.col("ts_ms").alias("_version"))
+    return state.keep_newer(v, "order_id", "create_ms", ["_line", "_version"]).select("order_id", "id", "create_ms")
 
 
 @register("dedup_order_ts", with_views("""
-select cast(order_id as varchar) as order_id, ts_ms, cast(id as varchar) as id from v_comment""", "v_comment"))
+select cast(order_id as varchar) as order_id, ts_ms, cast(id as varchar) as id, cast(0 as bigint) as arrival
+from v_comment""", "v_comment"))
 def dedup_order_ts(spark, sf):
     """comments re-delivered (every seventh twice) de-duplicated exactly on
-    ``order_id_ts_ms``."""
+    ``order_id_ts_ms``; the first arrival stays."""
     c = common.cdc(spark, sf)
-    com = routing.fact_source(c, "comment_info", ["id", "order_id"])
-    again = com.where(F.col("id").cast("bigint") % 7 == 0)
-    out = state.dedup_exact(com.unionByName(again), ["order_id", "ts_ms"])
-    return out.select("order_id", "ts_ms", "id")
+    com = routing.fact_source(c, "comment_info", ["id", "order_id"]).withColumn("arrival", F.lit(0).cast("bigint"))
+    again = com.where(F.col("id").cast("bigint") % 7 == 0).withColumn("arrival", F.lit(1).cast("bigint"))
+    out = state.dedup_exact(com.unionByName(again), ["order_id", "ts_ms"], ["arrival", "id"])
+    return out.select("order_id", "ts_ms", "id", "arrival")

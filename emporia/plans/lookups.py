@@ -73,9 +73,17 @@ select e.empno, e.ename, e.deptno as emp_deptno, d.deptno as dept_deptno, d.dnam
 from e full outer join d on d.deptno = e.deptno""")
 def emp_dept_full(spark, sf):
     """Regular full outer join (staff-less departments appear too)."""
+    # Left join plus the departments without staff: a full outer join would deal all staff
+    # to one task per department, with no way to split or broadcast.
     e, d = _emp(spark, sf), _dept(spark, sf)
-    x = e.join(d, e["deptno"] == d["deptno"], "full")
-    return x.select("empno", "ename", e["deptno"].alias("emp_deptno"), d["deptno"].alias("dept_deptno"), "dname")
+    dept = d.select(F.col("deptno").alias("dept_deptno"), "dname")
+    staffed = e.select("empno", "ename", F.col("deptno").alias("emp_deptno")).join(
+        dept, F.col("emp_deptno") == F.col("dept_deptno"), "left")
+    used = e.select("deptno").distinct()
+    empty = d.join(used, "deptno", "left_anti").select(
+        F.lit(None).cast("bigint").alias("empno"), F.lit(None).cast("string").alias("ename"),
+        F.lit(None).cast("int").alias("emp_deptno"), F.col("deptno").alias("dept_deptno"), "dname")
+    return staffed.select("empno", "ename", "emp_deptno", "dept_deptno", "dname").unionByName(empty)
 
 
 # ------------------------------------------------------------------ J11
@@ -112,6 +120,16 @@ def comment_order_interval(spark, sf):
                                            "info_create_time")
 
 
+@register("comment_base", with_views("""
+select 'shop' as db, 'comment_info' as table_name, '1' as server_id, 'c' as op, ts_ms, cast(id as varchar) as id,
+  cast(user_id as varchar) as user_id, cast(sku_id as varchar) as sku_id, cast(order_id as varchar) as order_id,
+  appraise, comment_txt
+from v_comment""", "v_comment"))
+def comment_base(spark, sf):
+    """Comments with their origin (database, table, server) and comment fields."""
+    return routing.comment_base(common.cdc(spark, sf), "comment_info")
+
+
 # ------------------------------------------------------------------ H1-H3, H14, H16
 
 @register("scalar_dates", """
@@ -178,10 +196,8 @@ P0_SQL = """
     string_split(regexp_replace(c.comment_txt, ',+$', ''), ',')[-1], '^\\s+|\\s+$', '', 'g')"""
 
 FOUND_SQL = """
-  select id, string_agg(w, ', ' order by w) as found
-  from (select distinct t.id, t.w from (select cast(id as varchar) as id,
-          unnest(regexp_split_to_array(lower(msg), '[^a-z]+')) as w from p0 where hit is null) t
-        join v_words v on v.word = t.w) x group by id"""
+  select p.id, string_agg(v.word, ', ' order by v.word) as found
+  from p0 p join v_words v on contains(lower(p.msg), v.word) where p.hit is null group by p.id"""
 
 MODERATION_SQL = f"""
 with p0 as ({P0_SQL}), found as ({FOUND_SQL})
@@ -227,7 +243,7 @@ def moderation_report(spark, sf):
     last-word check (T2) -> whole-text check (T3) -> result columns (K4)."""
     words = standins.words(spark, sf)
     j = comment_order(spark, sf)
-    j = state.dedup_exact(j, ["order_id", "ts_ms"])
+    j = state.dedup_exact(j, ["order_id", "ts_ms"], "id")
     j = j.select("id", "user_id", F.col("info_user_id").alias("consignee"), "ts_ms",
                  F.col("comment_txt").alias("msg"))
     j = routing.with_ds(j)
@@ -238,7 +254,7 @@ def moderation_report(spark, sf):
 
 @register("word_membership", with_views("""
 select t.word, v.word is not null as is_member
-from (select distinct w as word from (select unnest(regexp_split_to_array(lower(text), '[^a-z]+')) as w
+from (select distinct w as word from (select unnest(regexp_split_to_array(lower(text), '[^\\p{L}]+')) as w
                                       from documents) x where w <> '') t
 left join v_words v on v.word = t.word""", "v_words"))
 def word_membership(spark, sf):

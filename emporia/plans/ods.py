@@ -15,56 +15,83 @@ from emporia.sources.tables import table
 
 E0 = standins.USER_EPOCH_MS
 
-# The change log indexed per record, as SQL (one branch per shop table).
-CDC_INDEX_SQL = f"""
-  select 'order_info' as table_name, 'c' as op, epoch_us(create_time) // 1000 as ts_ms, cast(id as varchar) as pk,
-    7 as n_fields from v_order_info
-  union all select 'order_detail', case when seq = 1 then 'c' else 'u' end, epoch_us(create_time) // 1000 + seq,
-    cast(id as varchar), 10 from v_order_detail
-  union all select 'order_detail_activity', 'c', {E0}, cast(order_detail_id as varchar), 3 from v_activity
-  union all select 'order_detail_coupon', 'c', {E0}, cast(order_detail_id as varchar), 2 from v_coupon
-  union all select 'order_refund_info', 'c', epoch_us(create_time) // 1000, cast(id as varchar), 8 from v_refund
-  union all select 'refund_payment', 'c', epoch_us(callback_time) // 1000, cast(id as varchar), 6 from v_refund_payment
-  union all select 'base_dic', 'r', {E0}, dic_code, 2 from v_base_dic
-  union all select 'base_province', 'r', {E0}, cast(province_id as varchar), 3 from v_province
-  union all select 'base_province', 'd', {E0 + 1000}, cast(province_id as varchar), 3 from v_province
-    where province_id % 10 = 9
-  union all select 'sku_info', 'r', {E0}, cast(sku_id as varchar), 5 from v_sku
-  union all select 'cart_info', 'c', epoch_us(ts) // 1000, cast(event_id as varchar), 4 from v_detail_event
-  union all select 'comment_info', 'c', ts_ms, cast(id as varchar), 6 from v_comment"""
-
-CDC_VIEWS = ("v_order_info", "v_order_detail", "v_activity", "v_coupon", "v_refund", "v_refund_payment",
+def _kv_sql(cols: list[str], times: tuple[str, ...] = ()) -> str:
+    """Canonical text of the columns: ``k=v`` sorted by key, ``;``-joined, null as nothing."""
+    parts = []
+    for i, c in enumerate(sorted(cols)):
+        value = _ts_txt(c) if c in times else f"cast({c} as varchar)"
+        parts.append(f"'{';' if i else ''}{c}=' || coalesce({value}, '')")
+    return " || ".join(parts)
+
+
+def _ts_txt(col: str) -> str:
+    return f"strftime({col}, '%Y-%m-%d %H:%M:%S')"
+
+
+def _cdc_branch(table_name: str, view: str, op: str, ts: str, where: str = "") -> str:
+    cols = standins.CDC_COLUMNS[table_name]
+    data = _kv_sql(cols, ("create_time", "callback_time"))
+    return (f"select '{table_name}' as table_name, {op} as op, {ts} as ts_ms, "
+            f"cast({sinks.PRIMARY_KEYS[table_name]} as varchar) as pk, {data} as data from {view} {where}")
+
+
+# The change log per record, as SQL (one branch per shop table).
+_CREATED = "epoch_us(create_time) // 1000"
+_CART_SQL = """(select event_id as id, user_id, event_id % (select count(*) from part) as sku_id,
+    1 + event_id % 3 as sku_num, ts from v_detail_event) c"""
+CDC_ROWS_SQL = " union all ".join([
+    _cdc_branch("order_info", "v_order_info", "'c'", _CREATED),
+    _cdc_branch("order_detail", "v_order_detail", "case when seq = 1 then 'c' else 'u' end", f"{_CREATED} + seq"),
+    _cdc_branch("order_detail_activity", "v_activity", "'c'", str(E0)),
+    _cdc_branch("order_detail_coupon", "v_coupon", "'c'", str(E0)),
+    _cdc_branch("order_refund_info", "v_refund", "'c'", _CREATED),
+    _cdc_branch("payment_info", "v_payment", "'c'", "epoch_us(callback_time) // 1000"),
+    _cdc_branch("refund_payment", "v_refund_payment", "'c'", "epoch_us(callback_time) // 1000"),
+    _cdc_branch("base_dic", "v_base_dic", "'r'", str(E0)),
+    _cdc_branch("base_province", "v_province", "'r'", str(E0)),
+    _cdc_branch("base_province", "v_province", "'d'", str(E0 + 1000), "where province_id % 10 = 9"),
+    _cdc_branch("sku_info", "v_sku", "'r'", str(E0)),
+    _cdc_branch("cart_info", _CART_SQL, "'c'", "epoch_us(ts) // 1000"),
+    _cdc_branch("comment_info", "v_comment", "'c'", "ts_ms"),
+])
+
+CDC_VIEWS = ("v_order_info", "v_order_detail", "v_activity", "v_coupon", "v_refund", "v_payment", "v_refund_payment",
              "v_base_dic", "v_province", "v_sku", "v_detail_event", "v_comment")
 
-CDC_COUNTS_SQL = with_views(f"""
-with idx as ({CDC_INDEX_SQL})
-select table_name, op, cast(count(*) as bigint) as n_rows, min(ts_ms) as min_ts, max(ts_ms) as max_ts,
-  cast(sum(n_fields) as bigint) as n_fields
-from idx group by table_name, op""", *CDC_VIEWS)
+CDC_SQL = with_views(f"select table_name, op, ts_ms, pk, data from ({CDC_ROWS_SQL}) r", *CDC_VIEWS)
+
+
+def _rows(c: DataFrame) -> DataFrame:
+    """One row per change: table, op, time, key and the whole payload as text."""
+    flat = routing.change_flat(c)
+    pk = sinks.primary_key(F.col("table_name"), F.col("data"))
+    return flat.select("table_name", "op", "ts_ms", pk.alias("pk"), routing.sorted_kv(F.col("data")).alias("data"))
 
 
-def _counts(c: DataFrame) -> DataFrame:
-    data = F.coalesce(F.col("after"), F.col("before"))
-    return (c.groupBy(routing.table_col(c).alias("table_name"), "op")
-            .agg(F.count(F.lit(1)).alias("n_rows"), F.min("ts_ms").alias("min_ts"), F.max("ts_ms").alias("max_ts"),
-                 F.sum(F.size(data)).cast("bigint").alias("n_fields")))
+def _noise(lines: DataFrame) -> DataFrame:
+    """Lines that are no change record: cut short, a number, a string, a list."""
+    some = lines.where(F.xxhash64("value") % 50 == 0)
+    kinds = F.array(F.expr("substring(value, 1, length(value) - 3)"), F.lit("123"), F.lit('"a"'), F.lit("[1]"))
+    return some.select(F.explode(kinds).alias("value"))
 
 
-@register("cdc_scan", CDC_COUNTS_SQL)
+@register("cdc_scan", CDC_SQL)
 def cdc_scan(spark, sf):
-    """Parse the raw change-log lines; per table and op: rows, time range, fields."""
-    return _counts(common.cdc_raw(spark, sf))
+    """Raw change-log lines, null values and malformed lines among them, parsed into records."""
+    lines = common.cdc_lines(spark, sf)
+    tombstones = lines.where(F.xxhash64("value") % 50 == 1).select(F.lit(None).cast("string").alias("value"))
+    return _rows(logs.read_cdc(spark, lines.unionByName(_noise(lines)).unionByName(tombstones)))
 
 
-@register("bootstrap_filter", CDC_COUNTS_SQL)
+@register("bootstrap_filter", CDC_SQL)
 def bootstrap_filter(spark, sf):
     """The change log with bootstrap markers interleaved, markers dropped."""
     c = common.cdc(spark, sf)
     markers = c.where(F.col("op") == "r").withColumn("op", F.lit("bootstrap-insert"))
-    return _counts(routing.drop_bootstrap(c.unionByName(markers)))
+    return _rows(routing.drop_bootstrap(c.unionByName(markers)))
 
 
-@register("dim_etl_filter", CDC_COUNTS_SQL)
+@register("dim_etl_filter", CDC_SQL)
 def dim_etl_filter(spark, sf):
     """The change log plus foreign-db, bad-op and bad-ts records; filter keeps the shop's."""
     c = common.cdc(spark, sf)
@@ -74,32 +101,26 @@ def dim_etl_filter(spark, sf):
     bad_ts = c.where(tbl == "base_province").withColumn("ts_ms", F.lit(7).cast("bigint"))
     bad_op = c.where(tbl == "sku_info").withColumn("op", F.lit("x"))
     noisy = c.unionByName(other_db).unionByName(bad_ts).unionByName(bad_op)
-    return _counts(routing.dim_etl(noisy, standins.CDC_DB))
+    return _rows(routing.dim_etl(noisy, standins.CDC_DB))
 
 
-@register("change_flat", with_views(f"""
-with idx as ({CDC_INDEX_SQL})
-select table_name, op, cast(count(*) as bigint) as n_rows, cast(sum(n_fields) as bigint) as n_fields,
-  cast(count(distinct pk) as bigint) as n_keys
-from idx group by table_name, op""", *CDC_VIEWS))
+@register("change_flat", CDC_SQL)
 def change_flat(spark, sf):
-    """``after`` unless empty else ``before``; per table and op: rows, fields, keys."""
-    flat = routing.change_flat(common.cdc(spark, sf))
-    pk = sinks.primary_key(F.col("table_name"), F.col("data"))
-    return (flat.groupBy("table_name", "op")
-            .agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.size("data")).cast("bigint").alias("n_fields"),
-                 F.countDistinct(pk).alias("n_keys")))
+    """``after`` unless empty else ``before``, for every change."""
+    return _rows(common.cdc(spark, sf))
 
 
 @register("cdc_audit", with_views(f"""
-with idx as ({CDC_INDEX_SQL})
 select pk || '_' || cast(ts_ms as varchar) as id, any_value(op) as op, 'shop' as db, table_name,
-  max(ts_ms) as ts_ms, cast(count(*) as bigint) as n_writes
-from idx group by table_name, pk || '_' || cast(ts_ms as varchar)""", *CDC_VIEWS))
+  max(ts_ms) as ts_ms, cast(count(*) as bigint) as n_writes,
+  any_value(case when op = 'd' then data end) as before, any_value(case when op <> 'd' then data end) as after
+from ({CDC_ROWS_SQL}) r group by table_name, pk || '_' || cast(ts_ms as varchar)""", *CDC_VIEWS))
 def cdc_audit(spark, sf):
-    """K8: audit rows ``id=<pk>_<ts>`` with op, db, table; insert-or-update by id."""
-    audit = sinks.cdc_audit(common.cdc(spark, sf))
-    return sinks.upsert_counts(audit, ["table_name", "id"])
+    """K8: audit rows ``id=<pk>_<ts>`` with op, db, table, before and after (JSON, shown as sorted
+    pairs); insert-or-update by id."""
+    audit = sinks.upsert_counts(sinks.cdc_audit(common.cdc(spark, sf)), ["table_name", "id"])
+    kv = {c: routing.sorted_kv(F.from_json(c, "map<string,string>")) for c in ("before", "after")}
+    return audit.withColumns(kv)
 
 
 # ------------------------------------------------------------------ S2 / P2 / P8
@@ -113,16 +134,22 @@ def page_log_scan(spark, sf):
 
 
 @register("dirty_split", with_views("""
-select 'good' as kind, cast(count(*) as bigint) as n_rows from v_page_log
-union all select 'dirty', cast(count(*) as bigint) from v_page_log where event_id % 50 = 0""", "v_page_log"))
+select 'good' as kind, event_id, cast(null as varchar) as line from v_page_log
+union all select 'dirty', null, unnest([cast(event_id as varchar), '"' || mid || '"', '[' || cast(event_id as varchar) || ']',
+  '{"event_id":' || cast(event_id as varchar)]) from v_page_log where event_id % 50 = 0
+union all select 'dirty', null, null from v_page_log where event_id % 50 = 0""", "v_page_log"))
 def dirty_split(spark, sf):
-    """Raw lines with truncated copies mixed in; count good and dirty lines."""
+    """Raw lines mixed with cut-off objects, numbers, strings, lists and nulls; each line by its kind."""
     lines = standins.page_log_json(spark, sf)
-    broken = (lines.where(F.get_json_object("value", "$.event_id").cast("bigint") % 50 == 0)
-              .select(F.expr("substring(value, 1, length(value) - 3)").alias("value")))
-    good, dirty = routing.split_dirty(lines.unionByName(broken))
-    return (good.select(F.lit("good").alias("kind")).unionByName(dirty.select(F.lit("dirty").alias("kind")))
-            .groupBy("kind").agg(F.count(F.lit(1)).alias("n_rows")))
+    some = standins.page_log(spark, sf).where(F.col("event_id") % 50 == 0)
+    event = F.col("event_id").cast("string")
+    noise = F.array(event, F.concat(F.lit('"'), "mid", F.lit('"')), F.concat(F.lit("["), event, F.lit("]")),
+                    F.concat(F.lit('{"event_id":'), event), F.lit(None).cast("string"))
+    good, dirty = routing.split_dirty(lines.unionByName(some.select(F.explode(noise).alias("value"))))
+    return good.select(F.lit("good").alias("kind"), F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"),
+                       F.lit(None).cast("string").alias("line")).unionByName(
+        dirty.select(F.lit("dirty").alias("kind"), F.lit(None).cast("bigint").alias("event_id"),
+                     F.col("value").alias("line")))
 
 
 def _split(spark, sf):
@@ -258,33 +285,19 @@ def csv_lines_parse(spark, sf):
 # ------------------------------------------------------------------ P5-P7, K6, K7
 
 @register("config_latest", """
-select * from (values
-  ('cart_info', 'c', 'dwd_trade_cart_add', 'id,user_id,sku_id'),
-  ('comment_info', 'c', 'dwd_interaction_comment_info', 'id,user_id,sku_id,appraise'),
-  ('order_refund_info', 'c', 'dwd_trade_order_refund', 'id,order_id,sku_id,refund_num,refund_amount'),
-  ('order_detail', 'u', 'dwd_trade_order_detail_update', 'id,sku_num,split_total_amount')
-) t(source_table, source_type, sink_table, sink_columns)""")
+select p_brand as source_table, p_type as source_type, 'dwd_' || cast(p_partkey as varchar) as sink_table,
+  p_name as sink_columns
+from (select *, row_number() over (partition by p_brand, p_type order by p_partkey desc) as rn from part) t
+where rn = 1 and p_partkey % 11 <> 0""")
 def config_latest(spark, sf):
-    """The fact-routing config after its change feed (for tables present in the change log)."""
-    return sinks.fact_config(spark, common.cdc(spark, sf))
-
-
-def _kv_sql(cols: list[str], alias: str = "") -> str:
-    parts = []
-    for i, c in enumerate(sorted(cols)):
-        sep = "" if i == 0 else ";"
-        parts.append(f"'{sep}{c}=' || coalesce(cast({alias}{c} as varchar), '')")
-    return " || ".join(parts)
-
-
-def _ts_txt(col: str) -> str:
-    return f"strftime({col}, '%Y-%m-%d %H:%M:%S')"
+    """The routing config after a change feed of creates, updates and deletes."""
+    return sinks.fact_config(standins.config_feed(spark, sf))
 
 
 @register("routed_facts", with_views(f"""
 select 'dwd_trade_cart_add' as sink_table, 'c' as source_type, epoch_us(ts) // 1000 as ts_ms,
   {_kv_sql(['id', 'user_id', 'sku_id'])} as data
-from (select event_id as id, user_id, event_id % 200 as sku_id, ts from v_detail_event) a
+from (select event_id as id, user_id, event_id % (select count(*) from part) as sku_id, ts from v_detail_event) a
 union all
 select 'dwd_interaction_comment_info', 'c', ts_ms, {_kv_sql(['id', 'user_id', 'sku_id', 'appraise'])} from v_comment
 union all
@@ -297,7 +310,7 @@ select 'dwd_trade_order_detail_update', 'u', epoch_us(create_time) // 1000 + seq
 def routed_facts(spark, sf):
     """P5 (+P7, J16): config-driven fact routing of the change log."""
     c = common.cdc(spark, sf)
-    out = routing.route_facts(c, sinks.fact_config(spark, c))
+    out = routing.route_facts(c, sinks.fact_config(sinks.fact_feed(spark)))
     return out.select("sink_table", "source_type", "ts_ms", routing.sorted_kv(F.col("data")).alias("data"))
 
 
@@ -322,7 +335,7 @@ from v_sku"""
 def routed_dims(spark, sf):
     """P6 (+P7): config-driven dimension routing: target, row key, op, pruned columns."""
     c = common.cdc(spark, sf)
-    out = routing.route_dims(c, sinks.dim_config(spark, c))
+    out = routing.route_dims(c, sinks.dim_config(sinks.dim_feed(spark)))
     return out.select("sink_table", "op", F.col("data")[F.col("sink_row_key")].alias("row_key"),
                       routing.sorted_kv(F.col("data")).alias("data"))
 
@@ -333,7 +346,7 @@ select sink_table, row_key, md5(row_key) as row_md5, data from ({_dim_oracle_row
 def dim_apply(spark, sf):
     """K6: apply routed dimension changes: latest op per row key, deletes removed."""
     c = common.cdc(spark, sf)
-    routed = routing.route_dims(c, sinks.dim_config(spark, c))
+    routed = routing.route_dims(c, sinks.dim_config(sinks.dim_feed(spark)))
     state = sinks.apply_dim_changes(routed)
     return state.select("sink_table", "row_key", md5_key(F.col("row_key")).alias("row_md5"),
                         routing.sorted_kv(F.col("data")).alias("data"))
@@ -342,20 +355,16 @@ def dim_apply(spark, sf):
 # ------------------------------------------------------------------ K5
 
 @register("day_partition", """
-select strftime(ts, '%Y%m%d') as day, cast(count(*) as bigint) as n_rows from events where event_type = 'click'
-group by 1
-union all select 'error_bucket', cast(count(*) as bigint) from events where event_type = 'purchase' and event_id % 10 = 0
-having count(*) > 0""")
+select event_id, event_type, case when event_id % 10 = 3 then 'error_bucket' else strftime(ts, '%Y%m%d') end as day
+from events""")
 def day_partition(spark, sf):
     """K5: day partition of each record (seconds promoted to ms); rows without time -> ``error_bucket``.
 
-    Cart adds arrive with ms times for odd ids and second times for even
-    ids; a slice of payments arrives without a time.
+    Events arrive with second times for even ids, ms times for odd ids
+    and, every tenth, without a time.
     """
-    clicks = standins.detail_event(spark, sf).select(
-        F.when(F.col("event_id") % 2 == 0, F.unix_seconds(F.col("ts").cast("timestamp")))
-        .otherwise(F.unix_millis(F.col("ts").cast("timestamp"))).alias("ts"))
-    lost = standins.payment_event(spark, sf).where(F.col("event_id") % 10 == 0).select(
-        F.lit(None).cast("bigint").alias("ts"))
-    days = sinks.with_day_partition(clicks.unionByName(lost), "ts")
-    return days.groupBy("day").agg(F.count(F.lit(1)).alias("n_rows"))
+    ts = F.col("ts").cast("timestamp")
+    e = table(spark, sf, "events").select("event_id", "event_type", F.when(F.col("event_id") % 10 == 3, None)
+                                          .when(F.col("event_id") % 2 == 0, F.unix_seconds(ts))
+                                          .otherwise(F.unix_millis(ts)).alias("ts"))
+    return sinks.with_day_partition(e, "ts").drop("ts")

@@ -31,7 +31,7 @@ _view("v_page_log", """
   from (select e.*, p.p_name,
           case event_type when 'view' then 'home' when 'click' then 'good_detail' when 'purchase' then 'order'
                           when 'signup' then 'login' else 'search' end as page_id
-        from v_events_k e join part p on p.p_partkey = e.event_id % 200) x""", ["v_events_k"])
+        from v_events_k e left join part p on p.p_partkey = e.event_id % (select count(*) from part)) x""", ["v_events_k"])
 
 _view("v_order_info", """
   select o_orderkey as id, o_custkey as user_id, c_nationkey as province_id, o_orderdate as create_time,
@@ -63,9 +63,16 @@ _view("v_coupon", """
 
 _view("v_refund", """
   select id, order_id, sku_id, sku_num as refund_num, split_total_amount as refund_amount, create_time,
-    cast(id % 3 + 1 as varchar) as refund_type, cast(id % 5 + 1 as varchar) as refund_reason_type
+    cast(id % 3 + 1 as varchar) as refund_type, cast(id % 5 + 1 as varchar) as refund_reason_type,
+    'reason of ' || cast(id as varchar) as refund_reason_txt
   from v_order_detail_latest where l_returnflag = 'R'""", ["v_order_detail_latest"])
 
+_view("v_payment", """
+  select order_id as id, order_id, o_custkey as user_id, cast(order_id % 5 + 1 as varchar) as payment_type,
+    min(create_time) + to_seconds((order_id * 7919) % 2400) as callback_time
+  from v_order_detail_latest join orders on o_orderkey = order_id group by order_id, o_custkey""",
+      ["v_order_detail_latest"])
+
 _view("v_refund_payment", """
   select id, order_id, sku_id, refund_amount as total_amount, create_time as callback_time,
     cast(id % 4 + 1 as varchar) as payment_type
@@ -85,27 +92,32 @@ _view("v_province", """
 _view("v_payment_event", "select user_id, event_id, ts from events where event_type = 'purchase'")
 _view("v_detail_event", "select user_id, event_id, ts from events where event_type = 'click'")
 
-_view("v_login", """
-  select user_id, event_id, ts from v_events_k where event_type = 'signup' and k < 20""", ["v_events_k"])
+_view("v_login", "select user_id, event_id, ts from events where event_type = 'signup'")
+
+_view("v_customer_seen", """
+  select c.*, coalesce(epoch_us(f.first_ts) // 1000, 1704067200000 + c_custkey * 60000) as seen_ms
+  from customer c left join (select user_id, min(ts) as first_ts from events group by user_id) f on f.user_id = c_custkey""")
 
 _view("v_user", """
   select c_custkey as uid, c_name as uname, case when c_custkey % 3 = 0 then null else 'M' end as gender,
-    (c_custkey * 37) % 20000 as birthday_epoch_day, 1704067200000 + c_custkey * 60000 as ts_ms from customer""")
+    (c_custkey * 37) % 20000 as birthday_epoch_day, seen_ms as ts_ms from v_customer_seen""", ["v_customer_seen"])
 
 _view("v_user_sup", """
   select c_custkey as uid, 150 + c_custkey % 50 as height, 'cm' as unit_height, 45 + c_custkey % 60 as weight,
     'kg' as unit_weight,
-    1704067200000 + c_custkey * 60000 + ((c_custkey * 7919) % 900 - 450) * 1000 as ts_ms from customer""")
+    seen_ms + ((c_custkey * 7919) % 900 - 450) * 1000 as ts_ms from v_customer_seen""", ["v_customer_seen"])
 
 _view("v_comment", """
-  select doc_id as id, o_custkey as user_id, doc_id % 200 as sku_id, doc_id as order_id,
+  select doc_id as id, o_custkey as user_id, doc_id % (select count(*) from part) as sku_id, doc_id as order_id,
     cast(1 + doc_id % 5 as varchar) as appraise, text as comment_txt,
     (epoch_us(o_orderdate) // 1000) + ((doc_id * 7919) % 181 - 90) * 1000 as ts_ms
   from documents join orders on doc_id = o_orderkey""")
 
 _view("v_words", """
-  select distinct w as word from (select unnest(regexp_split_to_array(lower(text), '[^a-z]+')) as w from benchmark) t
-  where length(w) >= 9""")
+  select distinct w as word from (
+    select unnest(regexp_split_to_array(lower(text), '\\s+') || regexp_split_to_array(lower(text), '[^\\p{L}]+')) as w
+    from benchmark) t
+  where w <> ''""")
 
 
 def with_views(body: str, *names: str) -> str:

@@ -57,8 +57,8 @@ def search_category_dim(spark):
 
 def _weights_sql() -> str:
     rows = []
-    for s, v, w in scoring.WEIGHTS:
-        ws = ", ".join(f"cast({x} as decimal(4,2))" for x in w.split())
+    for s, v, *w in scoring.WEIGHTS:
+        ws = ", ".join(f"cast({x} as decimal(4,2))" for x in w)
         rows.append(f"('{s}', '{v}', {ws})")
     cols = ", ".join(f"w_{b}" for b in scoring.BANDS)
     return f"(select * from (values {', '.join(rows)}) t(score, value, {cols}))"
@@ -68,7 +68,7 @@ def _score_sql(name: str, value_expr: str, alias: str, prefix: str | None = None
     """(join clause, select list) scoring ``value_expr`` like :func:`scoring.score`."""
     prefix = prefix or name
     coef = scoring.COEFFICIENTS[name]
-    known = ", ".join(f"'{v}'" for s, v, _ in scoring.WEIGHTS if s == name)
+    known = ", ".join(f"'{v}'" for s, v, *_ in scoring.WEIGHTS if s == name)
     val = value_expr
     if name in scoring.WITH_DEFAULT:
         val = f"case when {value_expr} is null then null when {value_expr} in ({known}) then {value_expr} else 'other' end"
@@ -197,14 +197,25 @@ def order_detail_interval(spark, sf):
 
 
 @register("order_dim_lookup", with_views(f"""
-select cast(d.id as varchar) as id, cast(d.sku_id as varchar) as sku_id, k.c3id, k.tname, k.b1_name
-from v_order_detail_latest d left join ({SKU_CATALOG_SQL}) k on k.sku_id = cast(d.sku_id as varchar)""",
+select cast(d.id as varchar) as id, cast(d.sku_id as varchar) as sku_id, k.p_type as c3id,
+  coalesce({_case_sql(BRAND_NAMES, "regexp_extract(k.p_brand, '([0-9]+)', 1)")}, k.p_brand) as tname,
+  'c1-' || cast(length(k.p_type) % 2 as varchar) as b1_name
+from v_order_detail_latest d left join part k on k.p_partkey = d.sku_id""",
     "v_order_detail_latest"))
 def order_dim_lookup(spark, sf):
-    """Sku -> (category3, trademark) -> level-1 category, first match per key."""
+    """Two look-ups, first match per key each: sku -> (category3, trademark) in the sku
+    list, then category3 -> level-1 name in the flattened category list."""
+    from emporia.operators.state import dedup_first
+    from emporia.plans.ods import category_dim, category_tables
+
     det = common.detail_latest(common.cdc(spark, sf)).select("id", "sku_id")
-    cat = routing.latest_by_key(sku_catalog(spark, sf), "sku_id", "c3id")
-    return joins.enrich(det, cat, "sku_id").select("id", "sku_id", "c3id", "tname", "b1_name")
+    skus = sku_catalog(spark, sf).drop("b1_name")
+    skus = dedup_first(skus, ["sku_id"], ["c3id", "tname"])
+    names = dedup_first(category_dim(*category_tables(spark, sf)).select("c3id", F.col("c1name").alias("b1_name")),
+                        ["c3id"], "b1_name")
+    # The category list is joined to the sku list, not to the facts: one join on the fact side.
+    return joins.enrich(det, joins.enrich(skus, names, "c3id"), "sku_id").select("id", "sku_id", "c3id", "tname",
+                                                                                "b1_name")
 
 
 # ------------------------------------------------------------------ J18 / M1 / M2
@@ -216,7 +227,7 @@ def _search_lookup(spark, sf):
     by_name = p.groupBy(F.col("p_name").alias("search_item")).agg(F.min_by("p_type", "p_partkey").alias("p_type"))
     by_name = by_name.select("search_item", _map_col(LEVEL1_OF_TYPE, F.col("p_type")).alias("b1_category"))
     cmp = search_category_dim(spark).withColumnRenamed("category_name", "b1_category")
-    x = joins.enrich(d, by_name, "search_item")
+    x = joins.enrich_sparse(d, by_name, "search_item", "event_id")
     return joins.enrich(x, F.broadcast(cmp), "b1_category")
 
 
@@ -342,7 +353,7 @@ def order_labels(spark, sf):
                  F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"))
     o = o.select(F.col("event_id").cast("string").alias("order_id"), "uid", F.col("ts_ms").alias("order_ts"),
                  (F.col("value").cast("decimal(10,2)") * 10).alias("total_amount"),
-                 (F.col("event_id") % standins.ITEM_PARTS).cast("string").alias("sku_id"),
+                 standins.item_key(spark, sf, F.col("event_id")).cast("string").alias("sku_id"),
                  H.time_slot(H.ms_to_ts(F.col("ts_ms"))).alias("pay_time_slot"))
     o = joins.enrich(o, sku_catalog(spark, sf), "sku_id")
     o = scoring.score(o, "pay_time", F.col("pay_time_slot"))
@@ -352,12 +363,14 @@ def order_labels(spark, sf):
 
 
 def profile_join(spark, sf):
-    """Order label JOIN page label of the same user within +-24 h JOIN user label."""
-    orders = order_labels(spark, sf)
-    pages = page_labels(spark, sf)
-    x = joins.interval_join(orders, pages, "uid", "order_ts", "page_ts", -DAY_MS, DAY_MS)
-    users = _user_labels(spark, sf).select("uid", "age", "gender", F.col("ts_ms").alias("user_ts"))
-    return x.join(users, "uid")
+    """Page label JOIN user label of the same user within +-24 h, JOIN order label within
+    +-24 h of the page label; labels without a user id are dropped first (P12)."""
+    orders = order_labels(spark, sf).where(routing.has_key("uid"))
+    pages = page_labels(spark, sf).where(routing.has_key("uid"))
+    users = _user_labels(spark, sf).where(routing.has_key("uid")).select(
+        "uid", "age", "gender", F.col("ts_ms").alias("user_ts"))
+    x = joins.interval_join(pages, users, "uid", "page_ts", "user_ts", -DAY_MS, DAY_MS)
+    return joins.interval_join(orders, x, "uid", "order_ts", "page_ts", -DAY_MS, DAY_MS)
 
 
 PROFILE_SQL = f"""
@@ -368,7 +381,7 @@ pl as (select uid, strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d') as page_da
 pages as (select s.*, {_score_sql('device', 's.os', 'wd')[1]}, {_score_sql('search', 's.search_category', 'ws')[1]}
           from pl s {_score_sql('device', 's.os', 'wd')[0]} {_score_sql('search', 's.search_category', 'ws')[0]}),
 ob as (select cast(p.event_id as varchar) as order_id, p.uid, p.ts_ms as order_ts,
-         cast(e.value as decimal(10,2)) * 10 as total_amount, cast(p.event_id % 200 as varchar) as sku_id,
+         cast(e.value as decimal(10,2)) * 10 as total_amount, cast(p.event_id % (select count(*) from part) as varchar) as sku_id,
          {_slot_sql('make_timestamp(p.ts_ms * 1000)')} as pay_time_slot
        from v_page_log p join events e on e.event_id = p.event_id where p.page_id = 'order'),
 oc as (select ob.*, k.tname, k.b1_name from ob left join ({SKU_CATALOG_SQL}) k on k.sku_id = ob.sku_id),
@@ -381,7 +394,7 @@ users as (select uid, age, gender, ts_ms as user_ts from ({USER_SUP_SQL}) u)
 select o.*, p.page_day, p.page_ts, p.os, p.search_category, {", ".join(
     f"p.device_{b}, p.search_{b}" for b in scoring.BANDS)}, u.age, u.gender, u.user_ts
 from orders o join pages p on p.uid = o.uid and p.page_ts between o.order_ts - {DAY_MS} and o.order_ts + {DAY_MS}
-join users u on u.uid = o.uid"""
+join users u on u.uid = o.uid and u.user_ts between p.page_ts - {DAY_MS} and p.page_ts + {DAY_MS}"""
 
 PROFILE_VIEWS = ("v_page_log", "v_user", "v_user_sup")
 
@@ -389,7 +402,7 @@ PROFILE_VIEWS = ("v_page_log", "v_user", "v_user_sup")
 @register("user_profile_join", with_views(f"""
 select uid, order_id, page_day, order_ts, page_ts, age, gender from ({PROFILE_SQL}) j""", *PROFILE_VIEWS))
 def user_profile_join(spark, sf):
-    """The three labels joined (page and order within +-24 h, user by id)."""
+    """The three labels joined, user and order each within +-24 h of the page label."""
     return profile_join(spark, sf).select("uid", "order_id", "page_day", "order_ts", "page_ts", "age", "gender")
 
 

@@ -53,16 +53,15 @@ def get_session(master: str | None = None, app: str = "emporia",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used to cut lineage and keep streaming checkpoints.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it
-    is unset, as in local tests, a fresh scratch folder is created.
+    Read from ``spark.checkpoint.dir`` (set by the cluster). Where it is
+    unset a scratch folder serves sessions on one machine (``local`` master,
+    as in tests); on a cluster that would be lost work, so it is an error.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="emporia-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", path)
-        except Exception:  # core configs may be read-only at run time; the context dir still applies
-            pass
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path

@@ -26,9 +26,9 @@ from emporia.sources.tables import table
 # Fixed values of the stand-in mapping (shared with the SQL oracle).
 PAGE_OF_EVENT = {"view": "home", "click": "good_detail", "purchase": "order", "signup": "login"}
 PAGE_DEFAULT = "search"
-ITEM_PARTS = 200  # events pick their item among the first 200 part keys
 USER_EPOCH_MS = 1704067200000  # 2024-01-01 00:00:00 UTC
 CDC_DB = "shop"
+CDC_SERVER = "1"
 
 
 def _ms(ts: Column) -> Column:
@@ -41,19 +41,20 @@ def events_k(spark: SparkSession, sf: str) -> DataFrame:
     return e.withColumn("k", F.regexp_extract("props", "([0-9]+)", 1).cast("int"))
 
 
+def item_key(spark: SparkSession, sf: str, key: Column) -> Column:
+    """The part a record points at: its key spread over the whole part table (a scalar subquery for its size)."""
+    return key % table(spark, sf, "part").agg(F.count(F.lit(1))).scalar()
+
+
 def page_log(spark: SparkSession, sf: str) -> DataFrame:
     """Flat page log: one record per event."""
-    e = events_k(spark, sf)
-    # The item lookup only touches part keys below ITEM_PARTS: a bounded
-    # (<= 200 rows, p_partkey is the key) side that is safe to broadcast.
-    items = F.broadcast(table(spark, sf, "part").where(F.col("p_partkey") < ITEM_PARTS)
-                        .select("p_partkey", "p_name"))
+    e = events_k(spark, sf).withColumn("_item", item_key(spark, sf, F.col("event_id")))
+    items = table(spark, sf, "part").select("p_partkey", "p_name")
     page_id = F.coalesce(
         F.element_at(F.create_map(*[F.lit(x) for kv in PAGE_OF_EVENT.items() for x in kv]),
                      F.col("event_type")),
         F.lit(PAGE_DEFAULT))
-    x = (e.join(items, F.col("p_partkey") == F.col("event_id") % ITEM_PARTS)
-         .withColumn("page_id", page_id))
+    x = e.join(items, F.col("p_partkey") == F.col("_item"), "left").withColumn("page_id", page_id)
     w = Window.partitionBy("user_id", F.to_date("ts")).orderBy("ts", "event_id")
     k = F.col("k")
     return x.select(
@@ -79,11 +80,6 @@ def page_log(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def with_event_time(df: DataFrame, ms_col: str = "ts_ms", name: str = "et") -> DataFrame:
-    """Add the event-time column (TIMESTAMP, UTC) from epoch milliseconds."""
-    return df.withColumn(name, F.timestamp_millis(F.col(ms_col)))
-
-
 def page_log_json(spark: SparkSession, sf: str) -> DataFrame:
     """The page log as raw JSON lines (``value``), nested like the app's log."""
     p = page_log(spark, sf)
@@ -171,7 +167,20 @@ def refund(spark: SparkSession, sf: str, detail: DataFrame | None = None) -> Dat
         "id", "order_id", "sku_id", F.col("sku_num").alias("refund_num"),
         F.col("split_total_amount").alias("refund_amount"), "create_time",
         (F.col("id") % 3 + 1).cast("string").alias("refund_type"),
-        (F.col("id") % 5 + 1).cast("string").alias("refund_reason_type"))
+        (F.col("id") % 5 + 1).cast("string").alias("refund_reason_type"),
+        F.concat(F.lit("reason of "), F.col("id").cast("string")).alias("refund_reason_txt"))
+
+
+def payment(spark: SparkSession, sf: str, detail: DataFrame | None = None) -> DataFrame:
+    """One payment per order, within 40 min of its first detail: most fall into the half hour that J3 accepts."""
+    d = detail if detail is not None else order_detail_latest(spark, sf)
+    first = d.groupBy("order_id").agg(F.min("create_time").alias("first_time"))
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    delay = F.make_dt_interval(secs=((F.col("order_id") * 7919) % 2400).cast("decimal(18,6)"))
+    return first.join(o, F.col("order_id") == F.col("o_orderkey")).select(
+        F.col("order_id").alias("id"), "order_id", F.col("o_custkey").alias("user_id"),
+        (F.col("order_id") % 5 + 1).cast("string").alias("payment_type"),
+        (F.col("first_time") + delay).alias("callback_time"))
 
 
 def refund_payment(spark: SparkSession, sf: str, refunds: DataFrame | None = None) -> DataFrame:
@@ -218,28 +227,33 @@ def detail_event(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def login(spark: SparkSession, sf: str) -> DataFrame:
-    """Sparse login events, so that 8-day returns occur."""
-    return (events_k(spark, sf).where((F.col("event_type") == "signup") & (F.col("k") < 20))
-            .select("user_id", "event_id", "ts"))
+    """Login events: every sign-up event."""
+    return _events_of(spark, sf, "signup")
+
+
+def _customer_seen(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers with ``seen_ms``: their first event, or a time of their own when they have none."""
+    first = table(spark, sf, "events").groupBy("user_id").agg(_ms(F.min("ts")).alias("_first"))
+    c = table(spark, sf, "customer").join(first, F.col("c_custkey") == F.col("user_id"), "left")
+    return c.withColumn("seen_ms", F.coalesce("_first", F.lit(USER_EPOCH_MS) + F.col("c_custkey") * 60000))
 
 
 def user(spark: SparkSession, sf: str) -> DataFrame:
-    c = table(spark, sf, "customer")
+    c = _customer_seen(spark, sf)
     return c.select(
         F.col("c_custkey").alias("uid"), F.col("c_name").alias("uname"),
         F.when(F.col("c_custkey") % 3 != 0, F.lit("M")).alias("gender"),
         ((F.col("c_custkey") * 37) % 20000).alias("birthday_epoch_day"),
-        (F.lit(USER_EPOCH_MS) + F.col("c_custkey") * 60000).alias("ts_ms"))
+        F.col("seen_ms").alias("ts_ms"))
 
 
 def user_sup(spark: SparkSession, sf: str) -> DataFrame:
-    c = table(spark, sf, "customer")
+    c = _customer_seen(spark, sf)
     return c.select(
         F.col("c_custkey").alias("uid"), (150 + F.col("c_custkey") % 50).alias("height"),
         F.lit("cm").alias("unit_height"), (45 + F.col("c_custkey") % 60).alias("weight"),
         F.lit("kg").alias("unit_weight"),
-        (F.lit(USER_EPOCH_MS) + F.col("c_custkey") * 60000
-         + ((F.col("c_custkey") * 7919) % 900 - 450) * 1000).alias("ts_ms"))
+        (F.col("seen_ms") + ((F.col("c_custkey") * 7919) % 900 - 450) * 1000).alias("ts_ms"))
 
 
 def comments(spark: SparkSession, sf: str) -> DataFrame:
@@ -252,17 +266,17 @@ def comments(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return d.join(o, F.col("doc_id") == F.col("o_orderkey")).select(
         F.col("doc_id").alias("id"), F.col("o_custkey").alias("user_id"),
-        (F.col("doc_id") % ITEM_PARTS).alias("sku_id"), F.col("doc_id").alias("order_id"),
+        item_key(spark, sf, F.col("doc_id")).alias("sku_id"), F.col("doc_id").alias("order_id"),
         (1 + F.col("doc_id") % 5).cast("string").alias("appraise"),
         F.col("text").alias("comment_txt"),
         (_ms(F.col("o_orderdate")) + ((F.col("doc_id") * 7919) % 181 - 90) * 1000).alias("ts_ms"))
 
 
 def words(spark: SparkSession, sf: str) -> DataFrame:
-    """Word list: distinct lower-case letter runs of 9+ letters in ``benchmark``."""
-    b = table(spark, sf, "benchmark")
-    toks = F.explode(F.split(F.lower("text"), "[^a-z]+"))
-    return b.select(toks.alias("word")).where(F.length("word") >= 9).distinct()
+    """Word list: the distinct words of ``benchmark`` in any script, as written between blanks and as bare letters."""
+    b = table(spark, sf, "benchmark").select(F.lower("text").alias("t"))
+    toks = F.explode(F.concat(F.split("t", r"\s+"), F.split("t", r"[^\p{L}]+")))
+    return b.select(toks.alias("word")).where(F.col("word") != "").distinct()
 
 
 # ---------------------------------------------------------------- change log
@@ -280,7 +294,7 @@ def _smap(cols: list[str], df: DataFrame) -> Column:
 
 
 def _source(tbl: str) -> Column:
-    return F.create_map(F.lit("db"), F.lit(CDC_DB), F.lit("table"), F.lit(tbl))
+    return F.create_map(F.lit("db"), F.lit(CDC_DB), F.lit("table"), F.lit(tbl), F.lit("server_id"), F.lit(CDC_SERVER))
 
 
 CDC_COLUMNS = {
@@ -290,7 +304,8 @@ CDC_COLUMNS = {
     "order_detail_activity": ["order_detail_id", "activity_id", "activity_rule_id"],
     "order_detail_coupon": ["order_detail_id", "coupon_id"],
     "order_refund_info": ["id", "order_id", "sku_id", "refund_num", "refund_amount", "create_time",
-                          "refund_type", "refund_reason_type"],
+                          "refund_type", "refund_reason_type", "refund_reason_txt"],
+    "payment_info": ["id", "order_id", "user_id", "payment_type", "callback_time"],
     "refund_payment": ["id", "order_id", "sku_id", "total_amount", "callback_time", "payment_type"],
     "base_dic": ["dic_code", "dic_name"],
     "base_province": ["province_id", "province_name", "region_id"],
@@ -315,7 +330,7 @@ def cdc_parts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     refunds = refund(spark, sf, latest)
     rpay = refund_payment(spark, sf, refunds)
     cart = detail_event(spark, sf).select(F.col("event_id").alias("id"), "user_id",
-                                          (F.col("event_id") % ITEM_PARTS).alias("sku_id"),
+                                          item_key(spark, sf, F.col("event_id")).alias("sku_id"),
                                           (1 + F.col("event_id") % 3).alias("sku_num"), "ts")
     com = comments(spark, sf)
     prov = province(spark, sf)
@@ -336,6 +351,7 @@ def cdc_parts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         "order_detail_activity": rows(activity(spark, sf, latest), "order_detail_activity", F.lit("c"), base_ts),
         "order_detail_coupon": rows(coupon(spark, sf, latest), "order_detail_coupon", F.lit("c"), base_ts),
         "order_refund_info": rows(refunds, "order_refund_info", F.lit("c"), _ms(F.col("create_time"))),
+        "payment_info": rows(payment(spark, sf, latest), "payment_info", F.lit("c"), _ms(F.col("callback_time"))),
         "refund_payment": rows(rpay, "refund_payment", F.lit("c"), _ms(F.col("callback_time"))),
         "base_dic": rows(base_dic(spark, sf), "base_dic", F.lit("r"), base_ts),
         "base_province": rows(prov, "base_province", F.lit("r"), base_ts).unionByName(
@@ -348,14 +364,23 @@ def cdc_parts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 
 def cdc(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole change log as one stream (all tables)."""
-    return reduce(DataFrame.unionByName, cdc_parts(spark, sf).values())
+    """The whole change log as one stream. ``table_name`` is a literal per
+    branch: a filter on it removes the branches of the other tables from
+    the plan, so a job reads only the tables it needs."""
+    return reduce(DataFrame.unionByName, (df.withColumn("table_name", F.lit(t))
+                                          for t, df in cdc_parts(spark, sf).items()))
 
 
-def cdc_json(spark: SparkSession, sf: str) -> DataFrame:
-    """The change log as raw JSON lines (``value``), the form a topic carries."""
-    c = cdc(spark, sf)
-    return c.select(F.to_json(F.struct("before", "after", "source", "op", "ts_ms")).alias("value"))
+def config_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """A routing-config change feed: every part is a change of the route of its brand and type."""
+    p = table(spark, sf, "part")
+    op = F.when(F.col("p_partkey") % 11 == 0, "d").when(F.col("p_partkey") % 2 == 0, "c").otherwise("u")
+    payload = F.create_map(F.lit("source_table"), F.col("p_brand"), F.lit("source_type"), F.col("p_type"),
+                           F.lit("sink_table"), F.concat(F.lit("dwd_"), F.col("p_partkey").cast("string")),
+                           F.lit("sink_columns"), F.col("p_name"))
+    rows = p.select(op.alias("op"), payload.alias("m"), F.col("p_partkey").alias("ts_ms"))
+    return rows.select(F.when(F.col("op") == "d", F.col("m")).alias("before"),
+                       F.when(F.col("op") != "d", F.col("m")).alias("after"), "op", "ts_ms")
 
 
 # ---------------------------------------------------------------- CSV lines

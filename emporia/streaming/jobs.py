@@ -86,20 +86,24 @@ def traffic_stream(log: DataFrame, size: str = "10 seconds", expire_ms: int | No
 DETAIL_STATE = "id string, order_id string, province_id string, ts_ms long, seq long, amount decimal(16,2)"
 
 
-def province_order_stream(details: DataFrame, provinces: DataFrame, size: str = "10 seconds") -> DataFrame:
+def province_order_stream(details: DataFrame, provinces: DataFrame, size: str = "10 seconds",
+                          expire_ms: int | None = 10_000) -> DataFrame:
     """A2 on a stream: F5 per order-detail id (the Retractor keeps the last
     version), 10 s windows by province with the amount and the number of
     distinct orders (size of the order-id set: count-distinct is not allowed
     on streams), then the province name from a static dimension
     (stream-static left join). A retraction carries its old time and is
-    dropped like any late row once its window has closed (Q6).
+    dropped like any late row once its window has closed (Q6), so a stored
+    version may be forgotten ``expire_ms`` after its time without changing
+    a result.
 
     ``details``: ``id, order_id, province_id, ts_ms, seq, amount`` with a
     watermark on ``et``.
     """
     cols = ["id", "order_id", "province_id", "ts_ms", "seq", "amount"]
     retracted = (details.select(*cols, "et").groupBy("id")
-                 .transformWithStateInPandas(P.Retractor(cols, ["amount"], state_schema=DETAIL_STATE, event_time="et"),
+                 .transformWithStateInPandas(P.Retractor(cols, ["amount"], state_schema=DETAIL_STATE, event_time="et",
+                                                         expire_ms=expire_ms),
                                              DETAIL_STATE + ", is_retraction boolean, et timestamp", "append",
                                              "EventTime", eventTimeColumnName="et"))
     agg = (retracted.groupBy(F.window("et", size).alias("window"), "province_id")
@@ -115,13 +119,15 @@ SKU_STATE = ("id string, sku_id string, ts_ms long, seq long, split_original_amo
 SKU_MEASURES = ["split_original_amount", "split_activity_amount", "split_coupon_amount", "split_total_amount"]
 
 
-def sku_order_stream(details: DataFrame, enrich, size: str = "5 seconds") -> DataFrame:
+def sku_order_stream(details: DataFrame, enrich, size: str = "5 seconds",
+                     expire_ms: int | None = 10_000) -> DataFrame:
     """A3 on a stream: F5 per order-detail id over the four amounts, 5 s
     windows by sku, then ``enrich`` (the J8 chain as stream-static left
     joins, e.g. ``lambda df: enrich_sku_chain(df, spark, sf)``)."""
     cols = ["id", "sku_id", "ts_ms", "seq"] + SKU_MEASURES
     retracted = (details.select(*cols, "et").groupBy("id")
-                 .transformWithStateInPandas(P.Retractor(cols, SKU_MEASURES, state_schema=SKU_STATE, event_time="et"),
+                 .transformWithStateInPandas(P.Retractor(cols, SKU_MEASURES, state_schema=SKU_STATE, event_time="et",
+                                                         expire_ms=expire_ms),
                                              SKU_STATE + ", is_retraction boolean, et timestamp", "append",
                                              "EventTime", eventTimeColumnName="et"))
     agg = (retracted.groupBy(F.window("et", size).alias("window"), "sku_id")
@@ -142,10 +148,11 @@ def cart_uu_stream(cart: DataFrame, size: str = "10 seconds", expire_ms: int | N
     return windows.stamp_window(agg).select(*windows.WINDOW_COLS, "cart_add_uu_ct")
 
 
-def login_stream(logins: DataFrame, size: str = "10 seconds") -> DataFrame:
-    """A6 on a stream: F6 per user, global window sums."""
+def login_stream(logins: DataFrame, size: str = "10 seconds", expire_ms: int | None = 90 * 86_400_000) -> DataFrame:
+    """A6 on a stream: F6 per user, global window sums. A user's last login day is
+    forgotten ``expire_ms`` after it (a user who stays away longer counts as new)."""
     marked = (logins.select("uid", "event_id", "ts_ms", "et").groupBy("uid")
-              .transformWithStateInPandas(P.LoginMarker(), "uid string, event_id long, ts_ms long, et timestamp, "
+              .transformWithStateInPandas(P.LoginMarker(expire_ms=expire_ms), "uid string, event_id long, ts_ms long, et timestamp, "
                                           "uu_ct long, back_ct long", "append", "EventTime",
                                           eventTimeColumnName="et"))
     agg = marked.groupBy(F.window("et", size).alias("window")).agg(F.sum("back_ct").alias("back_ct"),
@@ -153,6 +160,55 @@ def login_stream(logins: DataFrame, size: str = "10 seconds") -> DataFrame:
     return windows.stamp_window(agg).select(*windows.WINDOW_COLS, "back_ct", "uu_ct")
 
 
+# ------------------------------------------------------------------ A5 / A7
+
+def home_detail_stream(pages: DataFrame, size: str = "10 seconds", expire_ms: int | None = 86_400_000) -> DataFrame:
+    """A5 on a stream: F4 (first home and first detail page of the day per device),
+    global window counts. ``pages``: page records (no start records) with ``et``."""
+    from emporia.operators.routing import home_or_detail
+    cols = ["mid", "page_id", "event_id", "ts_ms", "et"]
+    firsts = (pages.where(home_or_detail()).select(*cols).groupBy("mid", "page_id")
+              .transformWithStateInPandas(P.FirstOfDay(cols, expire_ms=expire_ms),
+                                          "mid string, page_id string, event_id long, ts_ms long, et timestamp",
+                                          "append", "EventTime", eventTimeColumnName="et"))
+    agg = firsts.groupBy(F.window("et", size).alias("window")).agg(
+        F.sum(F.when(F.col("page_id") == "home", 1).otherwise(0)).cast("bigint").alias("home_uv_ct"),
+        F.sum(F.when(F.col("page_id") == "good_detail", 1).otherwise(0)).cast("bigint").alias("good_detail_uv_ct"))
+    return windows.stamp_window(agg).select(*windows.WINDOW_COLS, "home_uv_ct", "good_detail_uv_ct")
+
+
+def keyword_stream(pages: DataFrame, size: str = "1 second") -> DataFrame:
+    """A7 on a stream: search keywords (P11 + T1) counted per window; no state but the open windows."""
+    from emporia.operators.routing import is_search
+    from emporia.operators.text import explode_tokens
+    kw = explode_tokens(pages.where(is_search()).select("et", "item"), "item", "keyword")
+    agg = kw.groupBy(F.window("et", size).alias("window"), "keyword").agg(F.count(F.lit(1)).alias("keyword_count"))
+    return windows.stamp_window(agg).select(*windows.WINDOW_COLS, "keyword", "keyword_count")
+
+
+# ------------------------------------------------------------------ T4
+
+def comment_order_stream(comments: DataFrame, orders: DataFrame, bound: str = "1 minute") -> DataFrame:
+    """T4, first half, on streams: comments (``c_et``) JOIN their order (``info_id``, ``o_et``) within
+    ``bound`` (J11), then exact de-duplication on order id and time (F9)."""
+    x = bounded_join(comments, orders, [("order_id", "info_id")], "c_et", "o_et", bound)
+    return x.dropDuplicatesWithinWatermark(["order_id", "ts_ms"])
+
+
+def moderation_sink(words_loader, path: str):
+    """T4, second half, per micro-batch: last-word check (T2), whole-text check (T3) with the word list
+    as it is now, result rows under ``batch=<id>`` (a replayed batch overwrites its own)."""
+    from emporia.operators import text
+    from emporia.operators.routing import with_ds
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        words = words_loader()
+        rows = with_ds(batch.select("id", "user_id", "consignee", "ts_ms", "msg"))
+        out = text.check_all_words(text.check_last_word(rows, words), words)
+        out.write.mode("overwrite").parquet(os.path.join(path, f"batch={batch_id}"))
+    return write
+
+
 # ------------------------------------------------------------------ J3 / J10-J14, F9
 
 def interval_join_stream(left: DataFrame, right: DataFrame, key: str, left_et: str, right_et: str,
@@ -238,16 +294,29 @@ def dedup_stream(df: DataFrame, cols: list[str]) -> DataFrame:
 # ------------------------------------------------------------------ foreachBatch sinks (K3, K4, K6)
 
 def upsert_sink(keys: list[str], path: str, order: str = "ts_ms"):
-    """K3 as a ``foreachBatch`` writer: batch ``n`` merges into version ``n``
-    (``v=n-1`` + changes -> ``v=n``); replaying a batch rewrites the same
-    version, so the sink is idempotent."""
+    """K3 as a ``foreachBatch`` writer: every batch is merged into the table;
+    replaying a batch gives the same table, so the sink is idempotent."""
     from emporia.sources.sinks import upsert
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch, keys, path, order=order, version=batch_id - 1 if batch_id > 0 else -1)
+        upsert(batch, keys, path, order=order)
     return write
 
 
+def snapshot_then_log(snapshot: DataFrame, log: DataFrame, write, checkpoint: str,
+                      trigger: dict | None = None) -> StreamingQuery:
+    """S10 ``initial``: the snapshot goes through ``write(df, 0)`` once (a marker under the checkpoint
+    tells that it has), then the log's micro-batches as 1, 2, ... into the same sink."""
+    from emporia.sources.sinks import written
+
+    spark = snapshot.sparkSession
+    done = os.path.join(checkpoint, "snapshot_done")
+    if not written(spark, done):
+        write(snapshot, 0)
+        spark.range(1).write.mode("overwrite").parquet(done)
+    return start(log, os.path.join(checkpoint, "log"), sink=lambda df, i: write(df, i + 1), trigger=trigger)
+
+
 def result_sink(path: str, table_name: str):
     """K4 as a ``foreachBatch`` writer: JSON lines, one directory per batch id."""
     from emporia.sources.sinks import write_result
@@ -257,14 +326,6 @@ def result_sink(path: str, table_name: str):
     return write
 
 
-def latest_version(path: str) -> str | None:
-    """Newest ``v=n`` directory of an upsert table (local paths)."""
-    if not os.path.isdir(path):
-        return None
-    vs = sorted((int(d.split("=")[1]) for d in os.listdir(path) if d.startswith("v=")), reverse=True)
-    return os.path.join(path, f"v={vs[0]}") if vs else None
-
-
 def read_page_stream(spark: SparkSession, directory: str, max_files: int = 1) -> DataFrame:
     """S2/S9 on a directory of JSON-line files: parsed, flat page-log stream."""
     from emporia.sources.logs import read_page_log
@@ -290,22 +351,16 @@ def routing_sink(config_loader, out_path: str):
 
 def dim_sink(config_loader, path: str):
     """P6 + K6 on a stream: route each micro-batch's dimension changes with the
-    current config and merge them into the dimension state (latest op per
-    ``(table, row key)``, deletes removed); batch ``n`` writes version ``n``
-    from version ``n-1``, so a replayed batch rewrites the same version."""
-    from emporia.operators.routing import latest_by_key, route_dims
+    current config and merge them into the dimension table (latest op per
+    ``(table, row key)``; deletes stay as tombstones for late changes). Read
+    it with ``sinks.read_upsert``."""
+    from emporia.operators.routing import route_dims
+    from emporia.sources.sinks import upsert
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         routed = route_dims(batch, config_loader())
-        changes = routed.select("sink_table", F.col("data")[F.col("sink_row_key")].alias("row_key"), "op", "data",
-                                "ts_ms")
-        prev = os.path.join(path, f"v={batch_id - 1}")
-        if batch_id > 0 and os.path.isdir(prev):
-            old = spark.read.parquet(prev).select("sink_table", "row_key", F.lit("r").alias("op"), "data", "ts_ms")
-            changes = old.unionByName(changes)
-        state = latest_by_key(changes, ["sink_table", "row_key"], "ts_ms").where(F.col("op") != "d").drop("op")
-        state.write.mode("overwrite").parquet(os.path.join(path, f"v={batch_id}"))
+        upsert(routed.select("sink_table", F.col("data")[F.col("sink_row_key")].alias("row_key"), "op", "data",
+                             "ts_ms"), ["sink_table", "row_key"], path)
     return write
 
 
@@ -313,12 +368,17 @@ def log_split_sink(out_path: str):
     """P8 on a stream: each micro-batch of parsed page-log records (nested,
     ``read_page_log(..., nested=True)``) is split five ways -- err, start,
     page, display, action -- and each output written as JSON under
-    ``<kind>/batch=<id>`` (a replayed batch overwrites its own folders)."""
+    ``<kind>/batch=<id>`` (a replayed batch overwrites its own folders). The
+    batch is parsed once and kept for the five writes."""
     from emporia.operators.routing import split_log
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        for kind, df in split_log(batch).items():
-            df.write.mode("overwrite").json(os.path.join(out_path, kind, f"batch={batch_id}"))
+        kept = batch.persist()
+        try:
+            for kind, df in split_log(kept).items():
+                df.write.mode("overwrite").json(os.path.join(out_path, kind, f"batch={batch_id}"))
+        finally:
+            kept.unpersist()
     return write
 
 
@@ -337,12 +397,13 @@ def lookup_sink(dim_loader, key: str, out_path: str, how: str = "inner"):
 DEVICE_FIELDS = ["os", "ch", "md", "ba", "search_item"]
 
 
-def device_state_stream(devices: DataFrame, fields: list[str] = DEVICE_FIELDS) -> DataFrame:
+def device_state_stream(devices: DataFrame, fields: list[str] = DEVICE_FIELDS, ttl_ms: int | None = None) -> DataFrame:
     """A8 on a stream (with F8): the running per-user device state, one row
     per new payload; feed it to :func:`last_in_processing_window` for A9."""
     schema = "uid string, ts_ms long, pv long, " + ", ".join(f"{f} string" for f in fields)
     return (devices.select("uid", "ts_ms", *fields).groupBy("uid")
-            .transformWithStateInPandas(P.DeviceState(fields), schema, "append", "None"))
+            .transformWithStateInPandas(P.DeviceState(fields, ttl_ms=ttl_ms), schema, "append",
+                                        "ProcessingTime" if ttl_ms else "None"))
 
 
 # ------------------------------------------------------------------ W5 / A9

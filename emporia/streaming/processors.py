@@ -131,30 +131,30 @@ class FirstOfDay(_Expiring):
         pass
 
 
-class LoginMarker(StatefulProcessor):
-    """state = last login day; emit ``uu_ct``/``back_ct`` rows."""
+class LoginMarker(_Expiring):
+    """state = last login day; emit ``uu_ct``/``back_ct`` rows. ``expire_ms`` must
+    exceed the return span, or returns are not seen."""
 
-    def __init__(self, return_days: int = 8, ttl_ms: int | None = None):
-        self.return_days, self.ttl_ms = return_days, ttl_ms
+    def __init__(self, return_days: int = 8, expire_ms: int | None = None):
+        self.return_days, self.expire_ms = return_days, expire_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last_login_day", "day long", self.ttl_ms)
+        self.handle = handle
+        self.last = handle.getValueState("last_login_day", "day long")
+        self.expiring = (self.last,)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows, "ts_ms", "event_id")
-        last = self.last.get()[0] if self.last.exists() else None
-        uu, back = [], []
-        for d in _days(pdf["ts_ms"]).tolist():
-            if last is None or d != last:
-                uu.append(1)
-                back.append(1 if last is not None and d - last >= self.return_days else 0)
-                last = d
-            else:
-                uu.append(0)
-                back.append(0)
-        self.last.update((int(last),))
-        pdf["uu_ct"], pdf["back_ct"] = uu, back
-        out = pdf[(pdf["uu_ct"] == 1) | (pdf["back_ct"] == 1)]
+        day = _days(pdf["ts_ms"])
+        prev = day.shift(1)
+        if self.last.exists():
+            prev.iloc[0] = self.last.get()[0]
+        first = prev.isna() | (prev != day)
+        pdf["uu_ct"] = first.astype("int64")
+        pdf["back_ct"] = (first & prev.notna() & (day - prev >= self.return_days)).astype("int64")
+        self.last.update((int(day.iloc[-1]),))
+        self._rearm(pdf["ts_ms"].max())
+        out = pdf[first]
         if not out.empty:
             yield out[["uid", "event_id", "ts_ms", "et", "uu_ct", "back_ct"]]
 
@@ -162,17 +162,23 @@ class LoginMarker(StatefulProcessor):
         pass
 
 
-class Retractor(StatefulProcessor):
+class Retractor(_Expiring):
     """state = the key's last version; a new version first emits the
-    stored one with negated measures, then itself (TTL in the source job: 10 s)."""
+    stored one with negated measures, then itself (the source job forgets
+    a version after 10 s: ``ttl_ms`` in processing time, ``expire_ms`` in
+    event time)."""
 
     def __init__(self, columns: list[str], measures: list[str], ts: str = "ts_ms", tie: str = "seq",
-                 state_schema: str = "", ttl_ms: int | None = None, event_time: str | None = None):
+                 state_schema: str = "", ttl_ms: int | None = None, event_time: str | None = None,
+                 expire_ms: int | None = None):
         self.columns, self.measures, self.ts, self.tie = columns, measures, ts, tie
         self.state_schema, self.ttl_ms, self.event_time = state_schema, ttl_ms, event_time
+        self.expire_ms = expire_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.last = handle.getValueState("last_version", self.state_schema, self.ttl_ms)
+        self.expiring = (self.last,)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows, self.ts, self.tie)[self.columns]
@@ -187,6 +193,7 @@ class Retractor(StatefulProcessor):
         cur["is_retraction"] = False
         last = pdf.iloc[-1]
         self.last.update(tuple(last[c].item() if hasattr(last[c], "item") else last[c] for c in self.columns))
+        self._rearm(pdf[self.ts].max())
         if self.event_time:
             # a retraction keeps the old version's time; once the watermark has
             # passed it, it is late and dropped like any late row (Q6)
@@ -201,23 +208,23 @@ class Retractor(StatefulProcessor):
 
 
 class KeepNewer(StatefulProcessor):
-    """state = largest time kept; a record passes only when later (TTL 1 h in the source job)."""
+    """state = largest time kept; a record passes only when its time is later than
+    that. Micro-batches arrive in order, records within one by ``arrival``, which is not
+    the compared time (TTL 1 h in the source job)."""
 
-    def __init__(self, columns: list[str], ts: str, tie: str, ttl_ms: int | None = None):
-        self.columns, self.ts, self.tie, self.ttl_ms = columns, ts, tie, ttl_ms
+    def __init__(self, columns: list[str], ts: str, arrival: str, ttl_ms: int | None = None):
+        self.columns, self.ts, self.arrival, self.ttl_ms = columns, ts, arrival, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.latest = handle.getValueState("latest_ts", "ts long", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows, self.ts, self.tie)
-        stored = self.latest.get()[0] if self.latest.exists() else None
-        keep = []
-        for t in pdf[self.ts].tolist():
-            ok = stored is None or t > stored
-            keep.append(ok)
-            if ok:
-                stored = t
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values(self.arrival, kind="stable")
+        seen = pdf[self.ts].cummax().shift(1)
+        if self.latest.exists():
+            seen = seen.fillna(self.latest.get()[0]).clip(lower=self.latest.get()[0])
+        keep = seen.isna() | (pdf[self.ts] > seen)
+        stored = max([pdf[self.ts].max(), *([self.latest.get()[0]] if self.latest.exists() else [])])
         self.latest.update((int(stored),))
         out = pdf[keep]
         if not out.empty:
@@ -230,37 +237,45 @@ class KeepNewer(StatefulProcessor):
 class DeviceState(StatefulProcessor):
     """A8 (after F8): per user the distinct payloads seen and the distinct
     values of each device field; emits the running state after every new
-    payload (``pv`` and sorted, comma-joined sets). State: the seen payloads
-    and values as one JSON document per user."""
+    payload (``pv`` and sorted, comma-joined sets).
+
+    State: one map entry per payload and one per field value, so a batch
+    reads the payloads it brings and writes only what is new; ``ttl_ms``
+    forgets entries not renewed for that long (processing time)."""
 
-    def __init__(self, fields: list[str], ts: str = "ts_ms"):
-        self.fields, self.ts = fields, ts
+    def __init__(self, fields: list[str], ts: str = "ts_ms", ttl_ms: int | None = None):
+        self.fields, self.ts, self.ttl_ms = fields, ts, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("device_state", "doc string")
+        self.seen = handle.getMapState("payloads", "payload string", "n int", self.ttl_ms)
+        self.known = handle.getMapState("field_values", "field string, value string", "n int", self.ttl_ms)
+        self.count = handle.getValueState("payload_count", "n long", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         import json
         pdf = pd.concat(list(rows), ignore_index=True).sort_values(self.ts, kind="stable")
-        doc = json.loads(self.state.get()[0]) if self.state.exists() else {"payloads": [], "values": {}}
-        seen = {tuple(p) for p in doc["payloads"]}
-        values = {f: set(doc["values"].get(f, [])) for f in self.fields}
+        pdf = pdf[[self.ts, *self.fields]].astype({f: "object" for f in self.fields})
+        pdf = pdf.where(pdf.notna(), None).drop_duplicates(self.fields)  # F8 within the batch
+        texts = [json.dumps(p) for p in pdf[self.fields].values.tolist()]
+        new = pdf[[not self.seen.containsKey((t,)) for t in texts]]
+        if new.empty:
+            return
+        values: dict[str, set[str]] = {f: set() for f in self.fields}
+        for field, value in self.known.keys():
+            values[field].add(value)
+        n = self.count.get()[0] if self.count.exists() else 0
         out = []
-        for rec in pdf[[self.ts] + self.fields].itertuples(index=False):
-            payload = tuple(getattr(rec, f) for f in self.fields)
-            if payload in seen:  # F8: an exact repeat is dropped
-                continue
-            seen.add(payload)
-            for f in self.fields:
-                v = getattr(rec, f)
-                if v is not None and v == v:
+        for rec in new.values.tolist():
+            payload = rec[1:]
+            self.seen.updateValue((json.dumps(payload),), (1,))
+            n += 1
+            for f, v in zip(self.fields, payload):
+                if v is not None and v not in values[f]:
                     values[f].add(v)
-            out.append((key[0], getattr(rec, self.ts), len(seen),
-                        *[",".join(sorted(values[f])) for f in self.fields]))
-        self.state.update((json.dumps({"payloads": [list(p) for p in seen],
-                                       "values": {f: sorted(v) for f, v in values.items()}}),))
-        if out:
-            yield pd.DataFrame(out, columns=["uid", self.ts, "pv"] + self.fields)
+                    self.known.updateValue((f, v), (1,))
+            out.append((key[0], int(rec[0]), n, *[",".join(sorted(values[f])) for f in self.fields]))
+        self.count.update((n,))
+        yield pd.DataFrame(out, columns=["uid", self.ts, "pv", *self.fields])
 
     def close(self) -> None:
         pass

@@ -74,7 +74,7 @@ def main(argv):
     names = argv[2:]
     from emporia.session import get_session
     from emporia.plans import ORACLES, QUERIES
-    spark = get_session("local[8]", shuffle_partitions=8)
+    spark = get_session("local[3]", shuffle_partitions=8)
     con = duck(sf_dir)
     bad = 0
     for name in names or sorted(QUERIES):
