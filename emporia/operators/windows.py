@@ -100,26 +100,27 @@ def running_state_per_window(df: DataFrame, key: str, ts: str, size: str, fields
     ``(fields)`` seen so far and, per field, the sorted distinct values seen so
     far joined by commas (nulls are not added).
 
-    Closed form without pairing a key's records: reduce the records to one
-    row per (key, payload) and per (key, field, value) with the window of
-    its first sighting, plus one row per (key, window) to report; a running
-    count / ``collect_set`` over each key's reduced rows in window order
-    gives the state (sizes bounded by distinct payloads and windows, not by
-    records).
+    Closed form without pairing a key's records: the records are reduced to
+    one row per (key, field, value) and per (key, payload) with the window of
+    the first sighting, and to one row per (key, window) to report; a window
+    takes the rows first seen up to it (a join on the key that Spark can
+    split, then an aggregate combined before its shuffle). The result holds
+    every value set in full, so its size is windows x values of a key: that
+    is a limit of the definition, not of the plan.
     """
-    win = F.window(ms_to_ts(ts), size).start
-    x = df.select(key, win.alias("_w"), *fields)
-    payloads = x.groupBy(key, *fields).agg(F.min("_w").alias("_t")).select(
-        key, "_t", F.lit(1).alias("_new"), *[F.col(f).alias(f"_v_{f}") for f in fields], F.lit(0).alias("_out"))
-    outs = x.select(key, "_w").distinct().select(
-        key, F.col("_w").alias("_t"), F.lit(0).alias("_new"),
-        *[F.lit(None).cast("string").alias(f"_v_{f}") for f in fields], F.lit(1).alias("_out"))
-    rows = payloads.unionByName(outs)
-    run = Window.partitionBy(key).orderBy("_t", "_out").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    state = rows.select(key, "_t", "_out", F.sum("_new").over(run).alias("pv"),
-                        *[F.array_join(F.array_sort(F.collect_set(f"_v_{f}").over(run)), ",").alias(f)
-                          for f in fields])
-    out = state.where(F.col("_out") == 1).select(
+    x = df.select(key, F.window(ms_to_ts(ts), size).start.alias("_w"), *fields)
+    wins = x.select(key, F.col("_w").alias("_t")).distinct()
+    payloads = (x.groupBy(key, *fields).agg(F.min("_w").alias("_w")).groupBy(key, "_w").agg(F.count(F.lit(1)).alias("_n"))
+                .select(key, F.lit(None).cast("string").alias("_f"), F.lit(None).cast("string").alias("_v"), "_n", "_w"))
+    each = F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.col(f).cast("string").alias("v")) for f in fields]))
+    values = (x.select(key, "_w", each.alias("_e")).where(F.col("_e.v").isNotNull())
+              .groupBy(key, F.col("_e.f").alias("_f"), F.col("_e.v").alias("_v")).agg(F.min("_w").alias("_w"))
+              .select(key, "_f", "_v", F.lit(0).cast("bigint").alias("_n"), "_w"))
+    seen = payloads.unionByName(values)
+    state = (wins.join(seen, key).where(F.col("_w") <= F.col("_t")).groupBy(key, "_t")
+             .agg(F.sum("_n").alias("pv"), *[F.array_join(F.array_sort(F.collect_set(
+                 F.when(F.col("_f") == f, F.col("_v")))), ",").alias(f) for f in fields]))
+    out = state.select(
         key, F.date_format("_t", DATETIME).alias("stt"),
         F.date_format(F.col("_t") + F.expr(f"interval {size}"), DATETIME).alias("edt"),
         F.date_format("_t", DATE).alias("cur_date"), F.col("pv").cast("bigint").alias("pv"), *fields)

@@ -48,9 +48,11 @@ SKU_CATALOG_SQL = f"""select cast(p_partkey as varchar) as sku_id, p_type as c3i
   {_case_sql(LEVEL1_OF_TYPE, 'p_type')} as b1_name from part"""
 
 
-def search_category_dim(spark):
-    """The level-1 category -> search category comparison list."""
-    return spark.createDataFrame(list(SEARCH_CATEGORY.items()), "category_name string, search_category string")
+def search_category_dim(spark, sf):
+    """The level-1 category -> search category comparison list, read from the catalogue."""
+    names = standins.table(spark, sf, "part").select(_map_col(LEVEL1_OF_TYPE, F.col("p_type")).alias("category_name"))
+    return names.where(F.col("category_name").isNotNull()).distinct().withColumn(
+        "search_category", _map_col(SEARCH_CATEGORY, F.col("category_name")))
 
 
 # ------------------------------------------------------------------ weights in SQL
@@ -226,9 +228,9 @@ def _search_lookup(spark, sf):
     p = standins.table(spark, sf, "part")
     by_name = p.groupBy(F.col("p_name").alias("search_item")).agg(F.min_by("p_type", "p_partkey").alias("p_type"))
     by_name = by_name.select("search_item", _map_col(LEVEL1_OF_TYPE, F.col("p_type")).alias("b1_category"))
-    cmp = search_category_dim(spark).withColumnRenamed("category_name", "b1_category")
+    cmp = search_category_dim(spark, sf).withColumnRenamed("category_name", "b1_category")
     x = joins.enrich_sparse(d, by_name, "search_item", "event_id")
-    return joins.enrich(x, F.broadcast(cmp), "b1_category")
+    return joins.enrich_sparse(x, cmp, "b1_category", "event_id")
 
 
 SEARCH_SQL = f"""
