@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -65,3 +66,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application.
+
+    Workers import the functions they run by module name; they find them
+    whatever folder the driver was started in.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="emporia-code-"), "emporia_code.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    path = os.path.join(folder, f)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(target)
+    _shipped.add(app)
