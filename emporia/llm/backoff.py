@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.llm.common import raw_bytes, text_column
+from emporia.llm.common import steps
 from emporia.llm.hashing import U, grams, word_hashes
 
 ALPHA = 0.4
@@ -53,17 +53,20 @@ def from_planes(raw: bytes) -> np.ndarray:
 
 def batch_grams(table: pa.Table, order: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
     """(words per row, for every n: (hash, row) of the n-grams in reading order)."""
-    batch = table.select(["text"]).combine_chunks().to_batches()
-    if not batch:
-        return np.zeros(0, np.int64), [(np.zeros(0, U), np.zeros(0, np.int64))] * order
-    buf, offs = raw_bytes(text_column(batch[0]))
-    h, row = word_hashes(buf, offs)
+    hs, rows, first = [np.zeros(0, U)], [np.zeros(0, np.int64)], 0
+    for batch in table.select(["text"]).to_batches():
+        for i, _, buf, offs in steps(batch):
+            h, row = word_hashes(buf, offs)
+            hs.append(h)
+            rows.append(row + first + i)
+        first += batch.num_rows
+    h, row = np.concatenate(hs), np.concatenate(rows)
     out = [(h, row)]
     for n in range(2, order + 1):
         g = grams(h, n)
         inside = row[:len(g)] == row[n - 1:] if len(g) else np.zeros(0, bool)
         out.append((g[inside], row[:len(g)][inside]))
-    return np.bincount(row, minlength=len(offs) - 1), out
+    return np.bincount(row, minlength=first), out
 
 
 def share(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -93,7 +96,7 @@ def scores(counts: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]], total
     with np.errstate(divide="ignore"):
         log = np.where(single > 0, np.log(np.maximum(single, 1)) - np.log(np.maximum(rest[row], 1)),
                        math.log(ALPHA) - np.log(rest[row] + 1))
-    top = np.zeros(rows, np.int64)
+    top = np.bincount(row[single > 0], minlength=rows) if order == 1 else np.zeros(rows, np.int64)
     for n in range(2, order + 1):
         # Word i > n-2 of a row ends the n-gram number i-n+1 of that row.
         here = np.flatnonzero(at >= n - 1)
@@ -110,7 +113,7 @@ def scores(counts: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]], total
     return np.bincount(row, log, rows), top
 
 
-def backoff_scores(docs: DataFrame, order: int = ORDER, batch_bytes: int = 24 << 20) -> DataFrame:
+def backoff_scores(docs: DataFrame, order: int = ORDER, batch_bytes: int = 8 << 20) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_full (words scored by a whole n-gram), log_score, mean_log."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     batches = max(1, math.ceil(total / batch_bytes))
