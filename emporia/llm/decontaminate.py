@@ -57,9 +57,9 @@ def walk(words: np.ndarray, size: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     row; ``seeds``: one number per repeat.
     """
     rows, repeats = len(words), len(seeds)
-    # The same places for equal sizes, as fractions of the string's 3 * size symbols.
+    # The same places for equal sizes, as fractions of the first 2 * size symbols: the walk is rarely past the text there.
     share = (mix(seeds[:, None] + np.arange(SAMPLED, dtype=U)[None, :], 71) >> U(11)).astype(np.float64) / 2.0 ** 53
-    place = (share[None, :, :] * (3 * size)[:, None, None]).astype(np.int64)
+    place = (share[None, :, :] * (2 * size)[:, None, None]).astype(np.int64)
     at = np.zeros((rows, repeats), np.int64)
     out = np.repeat(mix(size.astype(U), 72)[:, None], repeats, axis=1)
     padded = np.hstack([words, np.zeros((rows, 1), U)])
