@@ -10,10 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.session import checkpoint_dir
+from emporia.session import checkpoint_dir, ship_code
 
 #: Text handed to one numpy step. Arrays of a step take a few dozen bytes per byte of text.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 
 def saved(df: DataFrame) -> DataFrame:
@@ -31,7 +31,9 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def with_batches(spark: SparkSession) -> None:
-    """Rows per Arrow batch handed to Python tasks; bounds a worker's memory for ordinary texts."""
+    """Session settings of the Python tasks: the package's code, and rows per Arrow batch (bounds a
+    worker's memory for ordinary texts)."""
+    ship_code(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 

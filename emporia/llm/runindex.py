@@ -121,7 +121,7 @@ class RunIndex:
         """Suffix order by doubling; only suffixes that still have equals are sorted again."""
         n = len(symbol)
         bits = int(m + 256).bit_length()
-        take = max(1, 62 // bits)
+        take = max(1, min(62 // bits, depth))
         packed = np.zeros(n, np.int64)
         padded = np.concatenate([symbol, np.zeros(take, np.int64)])
         for k in range(take):
@@ -130,7 +130,7 @@ class RunIndex:
         order = np.argsort(packed, kind="stable")
         rank[order], same = _groups(packed[order], np.arange(n))
         open_ = order[same]
-        known, self.group = min(take, depth), None
+        known, self.group = take, None
         while True:
             if known == depth and self.group is None:
                 self.group = rank.copy()  # first row with the same ``depth`` bytes
@@ -338,13 +338,15 @@ def _counted(members: DataFrame, length: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, length: int = LENGTH, most_kinds: int = 2048) -> DataFrame:
     """(doc_id, _h, spans): array of (start, len) of the bytes to remove, overlapping, for rows that have any."""
     found = occurrences(docs, length)
-    keys = found.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
-    again = saved(found.join(keys, "key"))
+    keys = found.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    # (Aggregates are dealt out by another column before a join: only then Spark can split a hot key there.)
+    again = saved(found.join(keys.repartition("c", "key").select("key"), "key"))
     kinds = saved(again.groupBy("key", "seg").agg(F.count(F.lit(1)).alias("n"),
                                                   F.min(F.struct("doc_id", "_h", "start", "len")).alias("f")))
     whole = (again.join(kinds.filter("n > 1").select("key", "seg"), ["key", "seg"])
              .select("doc_id", "_h", "start", "len"))
     several = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
+    several = several.repartition("kinds", "key")
     members = saved(_bytes_of(docs, kinds.join(several, "key").select("key", "n", "f.*"))
                     .join(several, "key"))
     part = _indexed(members.filter(F.col("kinds") <= most_kinds).drop("kinds"), length)
