@@ -66,7 +66,7 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Classifier chain fitted on at most 8,192 labelled rows; all documents scored."""
+    """Classifier chain fitted on at most 16,384 labelled rows; all documents scored."""
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
@@ -101,5 +101,48 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
+def _secret_branch(kind_no: int, rule: secrets.Rule) -> str:
+    """Spans of one rule: starts from the lengths of the stretches between matches and of the matches before."""
+    pattern = rule.pattern.replace("'", "''")
+    return f"""
+  select doc_id, {kind_no} as k, '{rule.kind}' as kind, s, s + length(m[i]) as e
+  from (select *, coalesce(list_sum(list_transform(p[1:i], lambda x: length(x))), 0)
+               + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) as s
+        from (select doc_id, m, p, v, unnest(generate_series(1, len(m))) as i
+              from (select doc_id, regexp_extract_all(t, '{pattern}') as m, string_split_regex(t, '{pattern}') as p,
+                      regexp_extract_all(t, '{pattern}', {rule.group}) as v from d) a) b) c
+  where length(v[i]) >= {rule.least}"""
+
+
+ORACLES["op6_secret_scan"] = f"""
+with d as (select doc_id, coalesce(text, '') as t from documents),
+spans as ({" union all ".join(_secret_branch(k, r) for k, r in enumerate(secrets.RULES))}),
+per as (select doc_id, {", ".join(f"count(*) filter (where kind = '{r.kind}') as n_{r.kind}" for r in secrets.RULES)},
+          string_agg(kind || ':' || cast(s as varchar) || ':' || cast(e as varchar), ',' order by s, k) as spans
+        from spans group by doc_id)
+select d.doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) as n_{r.kind}" for r in secrets.RULES)},
+  sha256(coalesce(spans, '')) as base_sha256, coalesce(spans, '') as spans
+from d left join per on per.doc_id = d.doc_id"""
+
+ORACLES["op1_near_dedup"] = """
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents),
+sh as (
+  select distinct doc_id, array_to_string(ws[i:i + 4], ' ') as g
+  from (select doc_id, ws, unnest(generate_series(1, len(ws) - 4)) as i from w where len(ws) >= 5) a
+  union all select doc_id, array_to_string(ws, ' ') from w where len(ws) between 1 and 4),
+n as (select doc_id, count(*) as n from sh group by doc_id),
+pairs as (select a.doc_id as x, b.doc_id as y, count(*) as c from sh a join sh b on a.g = b.g and a.doc_id < b.doc_id
+          group by 1, 2),
+links as (select x, y from pairs join n nx on nx.doc_id = x join n ny on ny.doc_id = y
+          where 100 * c >= 75 * (nx.n + ny.n - c)),
+both_ways as (select x as a, y as b from links union all select y, x from links),
+reach(node, seen) as (select doc_id, doc_id from documents
+                      union select r.node, l.b from reach r join both_ways l on l.a = r.seen),
+comp as (select node, min(seen) as c from reach group by node)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, c as component_id, d.doc_id = c as kept
+from documents d left join n on n.doc_id = d.doc_id join comp on comp.node = d.doc_id"""
+
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
