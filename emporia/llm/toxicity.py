@@ -90,19 +90,67 @@ class Chain:
         return out
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 12) -> np.ndarray:
-    """Weights of a ridge logistic regression by Newton steps; the last column of ``x`` is the constant, not shrunk."""
-    w = np.zeros(x.shape[1])
-    w[-1] = np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))
-    shrink = np.full(len(w), ridge)
+@dataclass
+class Presence:
+    """Rows x features of zeros and ones, as the places of the ones."""
+
+    row: np.ndarray
+    column: np.ndarray
+    rows: int
+    columns: int
+
+    def dot(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, w[self.column], self.rows)
+
+    def back(self, r: np.ndarray) -> np.ndarray:
+        return np.bincount(self.column, r[self.row], self.columns)
+
+    def take(self, keep: np.ndarray) -> "Presence":
+        """The rows where ``keep`` is true."""
+        number = np.cumsum(keep) - 1
+        on = keep[self.row]
+        return Presence(number[self.row[on]], self.column[on], int(keep.sum()), self.columns)
+
+
+def logistic(x: Presence, more: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 8) -> np.ndarray:
+    """Weights of a ridge logistic regression over [x, more] by Newton steps, each solved by conjugate gradients.
+
+    The last column of ``more`` is the constant and not shrunk.
+    """
+    n = x.columns
+    shrink = np.full(n + more.shape[1], ridge)
     shrink[-1] = 1e-6
+    w = np.zeros(len(shrink))
+    w[-1] = np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))
+
+    def dot(v: np.ndarray) -> np.ndarray:
+        return x.dot(v[:n]) + more @ v[n:]
+
+    def back(r: np.ndarray) -> np.ndarray:
+        return np.concatenate([x.back(r), more.T @ r])
+
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (p - y) + shrink * w
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(shrink + 1e-9), g)
-        w -= step
-        if np.abs(step).max() < 1e-4:
+        p = 1 / (1 + np.exp(-np.clip(dot(w), -30, 30)))
+        g = back(p - y) + shrink * w
+        if np.abs(g).max() < 1e-4 * len(y):
             break
+        d = p * (1 - p)
+        scale = np.concatenate([x.back(d), (more * more).T @ d]) + shrink + 1e-9
+        step, rest = np.zeros(len(w)), g.copy()
+        z = rest / scale
+        way, size = z.copy(), rest @ z
+        first = size
+        for _ in range(20):
+            h = back(d * dot(way)) + shrink * way
+            a = size / (way @ h)
+            step += a * way
+            rest -= a * h
+            z = rest / scale
+            new = rest @ z
+            if new < 1e-4 * first:
+                break
+            way, size = z + (new / size) * way, new
+        w = w - step
     return w
 
 
@@ -120,34 +168,33 @@ def threshold(p: np.ndarray, y: np.ndarray) -> float:
     return float((p[k] + (p[k + 1] if k + 1 < len(p) else 0)) / 2)
 
 
-def fit_chain(names: list[str], wanted: np.ndarray, x: np.ndarray, labels: np.ndarray, fold: np.ndarray) -> Chain:
-    """``x``: presence (rows x features); ``labels``: rows x categories in chain order."""
+def fit_chain(names: list[str], wanted: np.ndarray, x: Presence, labels: np.ndarray, fold: np.ndarray) -> Chain:
+    """``labels``: rows x categories in chain order."""
     chain = Chain(names, wanted)
-    seen = np.zeros((len(x), 0))
-    one = np.ones((len(x), 1))
+    more = np.ones((x.rows, 1))  # earlier probabilities, then the constant
     for k in range(len(names)):
         y = labels[:, k].astype(float)
-        full = np.hstack([x, seen, one])
-        apart = np.full(len(x), y.mean() if len(y) else 0.0)
+        apart = np.full(x.rows, y.mean() if len(y) else 0.0)
         for f in range(FOLDS):
             train = fold != f
             if train.any() and not train.all() and 0 < y[train].sum() < train.sum():
-                w = logistic(full[train], y[train])
-                apart[~train] = 1 / (1 + np.exp(-np.clip(full[~train] @ w, -30, 30)))
+                w = logistic(x.take(train), more[train], y[train])
+                score = x.take(~train).dot(w[:x.columns]) + more[~train] @ w[x.columns:]
+                apart[~train] = 1 / (1 + np.exp(-np.clip(score, -30, 30)))
         if 0 < y.sum() < len(y):
-            chain.weights.append(logistic(full, y))
+            chain.weights.append(logistic(x, more, y))
             chain.thresholds.append(threshold(apart, labels[:, k] > 0))
         else:
-            w = np.zeros(full.shape[1])
+            w = np.zeros(x.columns + more.shape[1])
             w[-1] = 30.0 if len(y) and y.all() else -30.0
             chain.weights.append(w)
             chain.thresholds.append(1.1)
-        seen = np.hstack([seen, apart[:, None]])
+        more = np.hstack([more[:, :-1], apart[:, None], more[:, -1:]])
     return chain
 
 
-def train(docs: DataFrame, labels: DataFrame, names: list[str], most_labels: int = 8192, per_category: int = 400,
-          least_rows: int = 5) -> Chain:
+def train(docs: DataFrame, labels: DataFrame, names: list[str], most_labels: int = 16384, per_category: int = 1200,
+          least_rows: int = 3) -> Chain:
     """Fit the chain for the 0/1 columns ``names`` of ``labels``; the driver sees the chosen features of the sample only."""
     clean = (labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id")
              .agg(*(F.max(F.col(n).cast("int")).alias(f"_y{k}") for k, n in enumerate(names)))
@@ -174,10 +221,14 @@ def train(docs: DataFrame, labels: DataFrame, names: list[str], most_labels: int
     for y in ys:
         pos, neg = totals[y], totals["n"] - totals[y]
         if pos and neg:
-            # Difference of the log odds between the category's rows and the others, in standard errors.
-            a, b = F.col(y) + 0.5, F.col("n") - F.col(y) + 0.5
-            c, d = F.lit(pos + 0.5) - F.col(y), F.lit(neg + 0.5) - F.col("n") + F.col(y)
-            score = F.abs(F.log(a * d / (b * c)) / F.sqrt(1 / a + 1 / b + 1 / c + 1 / d))
+            # How much the string tells about the category: the likelihood ratio against independence.
+            total = float(totals["n"])
+            tell = F.lit(0.0)
+            for both, of_rows, of_kind in (
+                    (F.col(y), F.col("n"), pos), (F.col("n") - F.col(y), F.col("n"), neg),
+                    (pos - F.col(y), total - F.col("n"), pos), (neg - F.col("n") + F.col(y), total - F.col("n"), neg)):
+                tell = tell + F.when(both > 0, both * F.log(both * total / (of_rows * F.lit(float(of_kind))))).otherwise(0.0)
+            score = F.round(tell, 9)
             chosen.update(r["h"] for r in counts.orderBy(score.desc(), "h").limit(per_category).select("h").collect())
     wanted = np.sort(np.array(sorted(chosen), np.int64).view(U)) if chosen else np.zeros(1, U)
 
@@ -194,9 +245,9 @@ def train(docs: DataFrame, labels: DataFrame, names: list[str], most_labels: int
 
     got = sample.mapInArrow(rows, "doc_id bigint, f array<int>, _fold int, "
                             + ", ".join(f"{y} int" for y in ys)).orderBy("doc_id").collect()
-    x = np.zeros((len(got), len(wanted)), np.float32)
-    for i, r in enumerate(got):
-        x[i, r["f"]] = 1
+    count = np.array([len(r["f"]) for r in got], np.int64)
+    column = np.concatenate([np.zeros(0, np.int64), *(np.array(r["f"], np.int64) for r in got)])
+    x = Presence(np.repeat(np.arange(len(got)), count), column, len(got), len(wanted))
     label = np.array([[r[y] for y in ys] for r in got], int).reshape(len(got), len(ys))
     return fit_chain(names, wanted, x, label, np.array([r["_fold"] for r in got], int))
 
@@ -226,12 +277,12 @@ def label_columns(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), F.col("toxic").alias("toxic"))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, most_labels: int = 8192) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, most_labels: int = 16384) -> DataFrame:
     """Train on the labelled rows of ``docs`` and score all of them."""
     return score(docs, train(docs, label_columns(labels), CATEGORIES, most_labels))
 
 
-def reject_toxic(docs: DataFrame, labels: DataFrame, most_labels: int = 8192) -> DataFrame:
+def reject_toxic(docs: DataFrame, labels: DataFrame, most_labels: int = 16384) -> DataFrame:
     """``docs`` without the rows judged toxic; all columns stay."""
     chain = train(docs, label_columns(labels), CATEGORIES, most_labels)
     cols = docs.columns
