@@ -91,8 +91,8 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bigram stupid backoff of every document against all others."""
-    return backoff.backoff_scores(table(spark, sf_dir, "documents"))
+    """Trigram stupid backoff of every document against all others."""
+    return backoff.backoff_scores(table(spark, sf_dir, "documents"), order=3)
 
 
 @query
