@@ -16,7 +16,8 @@ the window.
 
 Windows: by the pigeonhole principle an item with the allowed edits
 keeps a run of ``_seed`` unchanged words. Only windows of the item's
-size that line up with such a run are embedded; this loses no match.
+size that line up with such a run are embedded, within the row that
+holds the run; this loses no match.
 
 The items are taken in blocks of ``block_items`` to the driver and into
 the tasks; a longer benchmark takes more passes. No shuffle is needed.
@@ -156,9 +157,12 @@ def padded(seqs: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def windows(h: np.ndarray, row: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray]:
-    """(item, first word in ``h``) of the windows that line up with an unchanged run of an item's words; distinct."""
-    item, start = [], []
+def windows(h: np.ndarray, row: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(item, first word in ``h``, row) of the windows that line up with an unchanged run of an item's words; distinct.
+
+    The row is that of the run: a text that lacks the item's first and last words begins and ends inside its window.
+    """
+    item, start, held = [], [], []
     for n, keys, of, at in items.seeds:
         if len(h) < n or not len(keys):
             continue
@@ -170,27 +174,23 @@ def windows(h: np.ndarray, row: np.ndarray, items: Items) -> tuple[np.ndarray, n
         k = ragged(lo, hi - lo)
         item.append(of[k])
         start.append(np.repeat(pos, hi - lo) - at[k])
+        held.append(np.repeat(row[pos], hi - lo))
     if not item:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    both = np.unique(np.stack([np.concatenate(item), np.concatenate(start)], axis=1), axis=0)
-    return both[:, 0], both[:, 1]
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    all_ = np.unique(np.stack([np.concatenate(x) for x in (item, start, held)], axis=1), axis=0)
+    return all_[:, 0], all_[:, 1], all_[:, 2]
 
 
 def search(buf: np.ndarray, offs: np.ndarray, items: Items) -> list[np.ndarray]:
     """(row, item, edits, first word, end word) of the matches in a run of texts; the best per row and item."""
     h, row = word_hashes(buf, offs)
     edge = np.searchsorted(row, np.arange(len(offs)))
-    item, start = windows(h, row, items)
+    item, start, held = windows(h, row, items)
     out = [np.zeros(0, np.int64)] * 5
     found: list[list[np.ndarray]] = []
     for lo in range(0, len(item), _WINDOWS):
         it, st = item[lo:lo + _WINDOWS], start[lo:lo + _WINDOWS]
-        size = items.size[it]
-        # The row of a window is that of its middle seed word; a border window may reach beyond its row's words.
-        mid = np.clip(st + size // 2, 0, len(h) - 1)
-        anchor = np.where((st >= 0) & (st < len(h)), np.clip(st, 0, len(h) - 1), mid)
-        for r_of in {0: row[anchor], 1: row[np.clip(st + size - 1, 0, len(h) - 1)]}.values():
-            found.append(_decide(h, edge, items, it, st, size, r_of))
+        found.append(_decide(h, edge, items, it, st, items.size[it], held[lo:lo + _WINDOWS]))
     if found:
         cols = [np.concatenate(c) for c in zip(*found)]
         order = np.lexsort((cols[3], cols[2], cols[1], cols[0]))
