@@ -9,10 +9,12 @@ by a hash of step and symbol, so texts at small edit distance get
 strings at small Hamming distance. Each repeat draws its own walk and
 samples ``SAMPLED`` places of the string; a window is a candidate for
 the items whose samples are equal in any repeat. The number of repeats
-is chosen on the items themselves: copies with the allowed number of
-random edits must be met with the target recall. Candidates are decided
-by the exact edit distance between the item and the best stretch around
-the window.
+is chosen on the items themselves: copies of every item with the allowed
+number of random edits must be met with the target recall. An item that
+would take more than ``REPEATS`` repeats for that is not sampled: all
+its windows are candidates, so its recall is 1 (the exact distance costs
+less than so many walks). Candidates are decided by the exact edit
+distance between the item and the best stretch around the window.
 
 Windows: by the pigeonhole principle an item with the allowed edits
 keeps a run of ``_seed`` unchanged words. Only windows of the item's
@@ -44,7 +46,9 @@ EDITS = 0.2
 SEED = 3          # longest run of words used to line windows up
 SAMPLED = 3
 RECALL = 0.995
+REPEATS = 64      # items that need more walks are decided without
 _WINDOWS = 2048   # embedded at a time
+_CELLS = 1 << 20  # at most of the arrays of such windows
 
 
 def allowed(n: np.ndarray, edits: float) -> np.ndarray:
@@ -124,30 +128,49 @@ class Items:
             h, item, at = np.concatenate(hs), np.concatenate(item), np.concatenate(at)
             order = np.argsort(h, kind="stable")
             self.seeds.append((n, h[order], item[order], at[order]))
-        self.repeats = self._repeats(recall)
+        needed = self._needed(recall)
+        #: Items that the walks need not meet.
+        self.exact = needed > REPEATS
+        self.repeats = int(needed[~self.exact].max(initial=1))
         self.walks = mix(np.arange(self.repeats, dtype=U), 90)
-        self.signs = walk(self.words, self.size, self.walks) if len(seqs) else np.zeros((0, self.repeats), U)
-
-    def _repeats(self, recall: float, trials: int = 400) -> int:
-        """Repeats that meet a copy with the allowed edits with the target probability, measured on edited items."""
-        if not len(self.size):
-            return 1
+        self.signs = np.zeros((len(seqs), self.repeats), U)
+        if not self.exact.all():
+            sampled = np.flatnonzero(~self.exact)
+            words = self.words[sampled, :self.size[sampled].max()]
+            self.signs[sampled] = walk(words, self.size[sampled], self.walks)
+
+    def _needed(self, recall: float, copies: int = 4, walks: int = 128) -> np.ndarray:
+        """Per item the repeats that meet a copy with the allowed edits with the target probability (inf: none do).
+
+        Measured on edited copies of every item. The rarest met copy
+        counts, less two standard errors, as the walks are a sample.
+        """
         rng = np.random.default_rng(5)
-        of = np.resize(np.arange(len(self.size)), trials)
-        edited = []
-        for k in of:
-            s = self.words[k, :self.size[k]].tolist()
-            for _ in range(self.most[k]):
-                p, kind = int(rng.integers(len(s))), int(rng.integers(3))
-                new = int(rng.integers(1, 1 << 62))
-                s[p:p + 1] = [[new], [], [s[p], new]][kind] if len(s) > 1 else [new]
-            n = int(self.size[k])  # the window has the item's size
-            edited.append(np.array((s + [1] * n)[:n], U))
-        walks = mix(np.arange(64, dtype=U), 91)
-        met = walk(padded(edited), self.size[of], walks) == walk(self.words[of], self.size[of], walks)
-        # The rarest met tenth sets the number: an average would hide the items that are hard to meet.
-        p = max(0.02, float(np.quantile(met.mean(axis=1), 0.1)))
-        return int(np.clip(math.ceil(math.log(1 - recall) / math.log(1 - min(p, 0.99))), 4, 256))
+        seeds = mix(np.arange(walks, dtype=U), 91)
+        needed = np.full(len(self.size), math.inf)
+        by_size = np.argsort(self.size, kind="stable")
+        at = 0
+        while at < len(by_size):
+            # Items of about the same size at a time.
+            mine = by_size[at:at + max(1, _CELLS // (walks * copies * 2 * int(self.size[by_size[at]])))]
+            at += len(mine)
+            longest = int(self.size[mine].max())
+            of = np.repeat(mine, copies)
+            edited = []
+            for k in of:
+                s = self.words[k, :self.size[k]].tolist()
+                for _ in range(self.most[k]):
+                    p, kind = int(rng.integers(len(s))), int(rng.integers(3))
+                    new = int(rng.integers(1, 1 << 62))
+                    s[p:p + 1] = [[new], [], [s[p], new]][kind] if len(s) > 1 else [new]
+                n = int(self.size[k])  # the window has the item's size
+                edited.append(np.array((s + [1] * n)[:n], U))
+            met = walk(padded(edited), self.size[of], seeds) == walk(self.words[of, :longest], self.size[of], seeds)
+            p = met.mean(axis=1)
+            p = (p - 2 * np.sqrt((p * (1 - p) + 1 / walks) / walks)).reshape(-1, copies).min(axis=1)
+            some = p > 0
+            needed[mine[some]] = np.ceil(math.log(1 - recall) / np.log1p(-p[some]))
+        return needed
 
 
 def padded(seqs: list[np.ndarray]) -> np.ndarray:
@@ -188,9 +211,14 @@ def search(buf: np.ndarray, offs: np.ndarray, items: Items) -> list[np.ndarray]:
     item, start, held = windows(h, row, items)
     out = [np.zeros(0, np.int64)] * 5
     found: list[list[np.ndarray]] = []
-    for lo in range(0, len(item), _WINDOWS):
-        it, st = item[lo:lo + _WINDOWS], start[lo:lo + _WINDOWS]
-        found.append(_decide(h, edge, items, it, st, items.size[it], held[lo:lo + _WINDOWS]))
+    # Windows of like size at a time, the longest first.
+    order = np.argsort(-items.size[item], kind="stable")
+    item, start, held, lo = item[order], start[order], held[order], 0
+    while lo < len(item):
+        hi = lo + max(1, min(_WINDOWS, _CELLS // (2 * int(items.size[item[lo]]))))
+        it = item[lo:hi]
+        found.append(_decide(h, edge, items, it, start[lo:hi], items.size[it], held[lo:hi]))
+        lo = hi
     if found:
         cols = [np.concatenate(c) for c in zip(*found)]
         order = np.lexsort((cols[3], cols[2], cols[1], cols[0]))
@@ -205,20 +233,24 @@ def _decide(h: np.ndarray, edge: np.ndarray, items: Items, it: np.ndarray, st: n
             row: np.ndarray) -> list[np.ndarray]:
     """LSH and exact test of windows (item, start) within the words of ``row``."""
     begin, end = edge[row], edge[row + 1]
-    place = st[:, None] + np.arange(items.words.shape[1])[None, :]
+    width = int(size.max())
+    place = st[:, None] + np.arange(width)[None, :]
     inside = (place >= begin[:, None]) & (place < end[:, None]) & (np.arange(place.shape[1])[None, :] < size[:, None])
     view = np.where(inside, h[np.clip(place, 0, len(h) - 1)], U(0))
-    near = (walk(view, size, items.walks) == items.signs[it]).any(axis=1)
+    near = items.exact[it]
+    ask = np.flatnonzero(~near)
+    if len(ask):
+        near[ask] = (walk(view[ask], size[ask], items.walks) == items.signs[it[ask]]).any(axis=1)
     it, st, row, begin, end, size = (x[near] for x in (it, st, row, begin, end, size))
     if not len(it):
         return [np.zeros(0, np.int64)] * 5
     slack = int(items.most[it].max())
-    place = (st - slack)[:, None] + np.arange(items.words.shape[1] + 2 * slack)[None, :]
+    place = (st - slack)[:, None] + np.arange(width + 2 * slack)[None, :]
     inside = ((place >= begin[:, None]) & (place < end[:, None])
               & (np.arange(place.shape[1])[None, :] < (size + 2 * slack)[:, None]))
     # No item word is 1 (a hash): words beyond the row or window match nothing.
     view = np.where(inside, h[np.clip(place, 0, len(h) - 1)], U(1))
-    edits, stop = distance(items.words[it], size, view)
+    edits, stop = distance(items.words[it, :width], size, view)
     ok = edits <= items.most[it]
     last = np.minimum(st - slack + stop, end) - begin
     return [row[ok], it[ok], edits[ok], np.maximum(last - size, 0)[ok], last[ok]]
