@@ -29,8 +29,13 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 @query
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Content-defined chunking of all documents; repeated passages of 128 bytes or more lose their later copies."""
-    return cdc.substring_dedup(table(spark, sf_dir, "documents")).drop("kept_text")
+    """Content-defined chunking of all documents; repeated passages lose their later copies.
+
+    Runs of 64 bytes in chunks of 16 bytes and 16 more on average: a
+    passage of 50 words holds such a run whatever stands around it.
+    """
+    found = cdc.substring_dedup(table(spark, sf_dir, "documents"), min_run=64, mask_bits=4, shortest=16)
+    return found.drop("kept_text")
 
 
 @query
