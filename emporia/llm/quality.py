@@ -15,8 +15,10 @@ Vectors are fixed-point integers, so their sums do not depend on the
 order of rows. The histogram takes whole bins, so a subset has at least
 the stated share. Null text counts as empty, null language or source as
 a group of its own; groups with fewer than ``least_rows`` rows are too
-small for an estimate and keep what the base rule keeps. Rows that
-repeat count as often as they are there.
+small for an estimate. With ``pooled`` they are judged by that of their
+language, or of all rows if the language is as small; else they keep
+what the base rule keeps. Rows that repeat count as often as they are
+there.
 """
 
 from __future__ import annotations
@@ -137,14 +139,35 @@ def robust_fit(rows: DataFrame, support: float = 0.75, steps: int = 3, least_row
     return estimate
 
 
+def for_small_groups(rows: DataFrame, estimate: DataFrame, support: float, steps: int, least_rows: int) -> DataFrame:
+    """``estimate`` with one for each of the other groups: that of its language, else that of all rows."""
+    where = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
+    known = estimate.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"))
+    small = cut(rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("_n")).join(known, where, "left_anti"))
+    if small.isEmpty():
+        return estimate
+    none = F.lit(None).cast("string")
+    by_lang = robust_fit(rows.withColumn("source", none), support, steps, least_rows)
+    of_lang = small.join(by_lang.drop("source").withColumnRenamed("lang", "_lang"),
+                         F.col("lang").eqNullSafe(F.col("_lang"))).select(*estimate.columns)
+    out = estimate.unionByName(of_lang)
+    still = small.join(by_lang.select(F.col("lang").alias("_lang")), F.col("lang").eqNullSafe(F.col("_lang")), "left_anti")
+    if still.isEmpty():
+        return out
+    of_all = robust_fit(rows.withColumn("lang", none).withColumn("source", none), support, steps, 1)
+    return out.unionByName(still.crossJoin(of_all.drop("lang", "source")).select(*estimate.columns))
+
+
 def quality(docs: DataFrame, cutoff: float = 30.0, support: float = 0.75, steps: int = 3,
-            least_rows: int = 50) -> DataFrame:
+            least_rows: int = 50, pooled: bool = False) -> DataFrame:
     """Per row: doc_id, the five statistics, base_failed, kept, d2 (squared distance, null where none applies)."""
     from emporia.llm.common import saved
 
     stats = saved(statistics(docs).withColumn("base_failed", base_failed()))
     good = stats.filter(~F.col("base_failed")).select("*", *vector())
     estimate = robust_fit(good.select("lang", "source", *_X), support, steps, least_rows)
+    if pooled:
+        estimate = for_small_groups(good.select("lang", "source", *_X), estimate, support, steps, least_rows)
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     judged = _distance(good, estimate).select(*names, "d2")
     failed = stats.filter("base_failed").select(*names, F.lit(None).cast("double").alias("d2"))

@@ -47,8 +47,8 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base rules and minimum-covariance-determinant outliers per language and source."""
-    return quality.quality(table(spark, sf_dir, "documents"))
+    """Base rules and minimum-covariance-determinant outliers per language and source, small groups by their language."""
+    return quality.quality(table(spark, sf_dir, "documents"), pooled=True)
 
 
 @query
