@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from emporia.llm import (
-    backoff, bpe, cdc, decontaminate, quality, runindex, secrets, simple8b, superminhash, toxicity,
+    backoff, bpe, cdc, decontaminate, exact, quality, runindex, secrets, simple8b, superminhash, toxicity,
 )
 from emporia.llm.common import with_batches
 from emporia.sources.tables import table
@@ -151,3 +151,17 @@ from documents d left join n on n.doc_id = d.doc_id join comp on comp.node = d.d
 
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
+@query
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length, beginning, whole digest: groups of equal texts of all documents; the largest doc_id stays."""
+    return exact.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_exact_dedup"] = """
+with d as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+           from documents)
+select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
+  doc_id = max(doc_id) over same as kept, sha256(t) as text_sha256
+from d window same as (partition by t)"""
