@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from emporia.llm import (
-    backoff, bpe, cdc, decontaminate, exact, quality, runindex, secrets, simple8b, superminhash, toxicity,
+    backoff, bags, bpe, cdc, decontaminate, exact, quality, runindex, secrets, simple8b, superminhash,
+    tiles, toxicity,
 )
 from emporia.llm.common import with_batches
 from emporia.sources.tables import table
@@ -165,3 +166,59 @@ with d as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVW
 select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
   doc_id = max(doc_id) over same as kept, sha256(t) as text_sha256
 from d window same as (partition by t)"""
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of all documents for every benchmark item, scored once per class of equal bags."""
+    return bags.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=10)
+
+
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+ORACLES["op12_lexical_search"] = f"""
+with d as (select doc_id, {_TERMS} as ts from documents),
+lens as (select doc_id, len(ts) as n from d where len(ts) > 0),
+total as (select count(*) as nd, cast(sum(n) as bigint) as l from lens),
+q as (select item_id, term, count(*) as times from (select item_id, unnest({_TERMS}) as term from benchmark) a group by 1, 2),
+tf as (select doc_id, term, count(*) as tf from (select doc_id, unnest(ts) as term from d) b
+       where term in (select term from q) group by 1, 2),
+w as (select term, cast(floor(1000 * ln((2 * nd + 2) / (2 * count(*) + 1))) as bigint) as w from tf, total group by term, nd),
+part as (select tf.doc_id, tf.term, w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * (25 + (75 * lens.n * nd) // l))) as part
+         from tf join lens on lens.doc_id = tf.doc_id join w on w.term = tf.term, total),
+score as (select item_id, doc_id, cast(sum(part * times) as bigint) as score from part join q on q.term = part.term group by 1, 2)
+select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank, doc_id, score
+from score where score > 0 qualify rank <= 10"""
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of every language over all documents, counted in tiles."""
+    return tiles.collocations(table(spark, sf_dir, "documents"), least=30, top=2000)
+
+
+ORACLES["op11_collocations"] = r"""
+with p as (select lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) as piece
+           from (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz') as t from documents) d),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from p),
+g as (select lang, k, array_to_string(ws[i:i + k - 1], ' ') as phrase
+      from (select lang, ws, k, unnest(generate_series(1, len(ws) - k + 1)) as i
+            from w, (values (1), (2), (3), (4)) as v(k) where len(ws) >= k) a),
+f as (select lang, phrase, k, count(*) as a from g group by 1, 2, 3 having count(*) >= 30),
+total as (select lang, sum(len(ws)) as n from w group by lang),
+cand as (select lang, phrase, k, a, string_split(phrase, ' ') as ws from f where k >= 2),
+part as (select lang, phrase, k, a, ws, unnest(generate_series(1, k - 1)) as c from cand),
+cut as (select part.lang, part.phrase, part.k, part.a, c, x.a as l, y.a as r,
+          cast((2000000 * cast(part.a as hugeint)) // (x.a + y.a) as bigint) as score
+        from part join f x on x.lang = part.lang and x.phrase = array_to_string(ws[1:c], ' ')
+                  join f y on y.lang = part.lang and y.phrase = array_to_string(ws[c + 1:], ' ')),
+scored as (select * from cut qualify row_number() over (partition by lang, phrase order by score, c) = 1),
+inner_ as (select lang, array_to_string(ws[i:i + m - 1], ' ') as phrase, max(a) as most
+           from (select lang, ws, k, a, m, unnest(generate_series(1, k - m + 1)) as i
+                 from cand, (values (2), (3)) as v(m) where m < k) b group by 1, 2)
+select s.lang, row_number() over (partition by s.lang order by score desc, s.a desc, s.phrase) as rank,
+  s.phrase, s.a, l, r, cast(n as bigint) as n, score
+from scored s join total on total.lang = s.lang left join inner_ i on i.lang = s.lang and i.phrase = s.phrase
+where most is null or 100 * most < 80 * s.a qualify rank <= 2000"""
