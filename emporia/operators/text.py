@@ -2,25 +2,35 @@
 
 The keyword function is a column expression (``explode(split(...))``),
 so it runs inside whole-stage codegen; a Python ``@udtf`` twin is
-registered for SQL ``LATERAL`` use. Word-list screening is an equi-join
-of the distinct short strings of each record with the first letters of
-the listed words -- never a cross join of texts and words -- so it scales
-with the texts and lets AQE broadcast the list when its measured size is
-small.
+registered for SQL ``LATERAL`` use. Word-list screening runs all listed
+words at once as an automaton over the Arrow text buffers, one look-up per
+byte of text. A list above ``MOST_LIST_BYTES`` is not sent to the tasks:
+then the words' first letters are joined with the distinct short strings
+of each record.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emporia.functions.scalars import last_token
+from emporia.operators.automaton import Automaton
+from emporia.session import ship_code
 
 # Token pattern of the keyword function (letters and digits
 # of any script), and of word lists (letters of any script).
 KEYWORD_SPLIT = r"[^\p{L}\p{N}]+"
 WORD_SPLIT = r"[^\p{L}]+"
-SEED = 3  # letters that propose a listed word
+SEED = 3  # letters that propose a word of a long list
+# A list up to MOST_LIST_BYTES is sent to the tasks, as automata of about BLOCK_BYTES of words each (a state
+# per byte at most, four bytes per state and letter).
+MOST_LIST_BYTES, BLOCK_BYTES = 1 << 18, 1 << 16
+STEP_BYTES = 1 << 20  # text that one step of the automata reads
 
 
 def tokens(text: Column, pattern: str = KEYWORD_SPLIT) -> Column:
@@ -87,10 +97,62 @@ def _seeds_of(letters: str) -> Column:
     return F.array_distinct(F.concat(*[runs(n) for n in range(1, SEED + 1)]))
 
 
+def _listed(words: DataFrame) -> list[bytes] | None:
+    """The distinct words in byte order, or None when they take more than ``MOST_LIST_BYTES``."""
+    w = words.select(F.col("word").alias("w")).where(F.col("w") != "").distinct()
+    if (w.agg(F.sum(F.octet_length("w"))).first()[0] or 0) > MOST_LIST_BYTES:
+        return None
+    return sorted(r.w.encode() for r in w.collect())
+
+
+def _automata(words: list[bytes]) -> list[tuple[int, Automaton]]:
+    """(place of its first word, automaton) of every block of the list."""
+    ends = np.cumsum([len(w) for w in words])
+    block = (ends - 1) // BLOCK_BYTES
+    starts = np.flatnonzero(np.append(True, block[1:] != block[:-1])).tolist()
+    return [(a, Automaton(words[a:z])) for a, z in zip(starts, [*starts[1:], len(words)])]
+
+
+def _with_found(df: DataFrame, words: list[bytes], text: Column, out: str) -> DataFrame:
+    """``df`` and a column of the listed words in ``text``, sorted and joined by ``", "``; null when there is none."""
+    spark = df.sparkSession
+    ship_code(spark)
+    sent = spark.sparkContext.broadcast((_automata(words), [w.decode() for w in words]))
+    read = df.withColumn(out, text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks, names = sent.value
+        for batch in batches:
+            col = batch.column(batch.num_columns - 1).cast(pa.large_string()).fill_null("")
+            _, offsets, data = col.buffers()
+            offs = np.frombuffer(offsets, np.int64, len(col) + 1, col.offset * 8)
+            buf = np.frombuffer(data, np.uint8) if data is not None and offs[-1] > offs[0] else np.zeros(0, np.uint8)
+            found: list[str | None] = [None] * len(col)
+            i = 0
+            while i < len(col):
+                j = max(i + 1, int(np.searchsorted(offs, offs[i] + STEP_BYTES, "right")) - 1)
+                pairs = [(r, w + first) for first, a in blocks for r, w in zip(*(x.tolist() for x in a.rows(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i])))]
+                for r, w in sorted(pairs) if len(blocks) > 1 else pairs:
+                    found[i + r] = names[w] if found[i + r] is None else f"{found[i + r]}, {names[w]}"
+                i = j
+            yield batch.set_column(batch.num_columns - 1, out, pa.array(found, pa.string()))
+
+    return read.mapInArrow(run, read.schema)
+
+
 def find_words(df: DataFrame, words: DataFrame, text: str = "msg", id_col: str = "id") -> DataFrame:
     """Distinct listed words contained anywhere in each record's lower-cased
     text, in any script and inside longer words too: ``id_col, found``
-    (sorted, joined by ``", "``); records without any are absent.
+    (sorted, joined by ``", "``); records without any are absent."""
+    listed = _listed(words)
+    if listed is None:
+        return find_words_by_join(df, words, text, id_col)
+    rows = df.select(id_col, F.lower(F.col(text)).alias("_text"))
+    return _with_found(rows, listed, F.col("_text"), "found").drop("_text").where("found is not null")
+
+
+def find_words_by_join(df: DataFrame, words: DataFrame, text: str = "msg", id_col: str = "id") -> DataFrame:
+    """:func:`find_words` for lists too long to be sent to every task.
 
     A word is proposed by its first ``SEED`` letters (equi-join with the
     text's distinct strings of that length) and then looked for in the
@@ -110,9 +172,12 @@ def find_words(df: DataFrame, words: DataFrame, text: str = "msg", id_col: str =
 def check_all_words(df: DataFrame, words: DataFrame, text: str = "msg", id_col: str = "id") -> DataFrame:
     """Records still clean after T2 are screened for every listed word
     in the text -> ``is_violation`` 1, grade ``P1``, message = the words."""
-    clean = df.where(F.col("is_violation") == 0)
-    found = find_words(clean, words, text, id_col)
-    x = df.join(found, id_col, "left")
+    clean = F.col("is_violation") == 0
+    listed = _listed(words)
+    if listed is None:
+        x = df.join(find_words_by_join(df.where(clean), words, text, id_col), id_col, "left")
+    else:
+        x = _with_found(df, listed, F.when(clean, F.lower(F.col(text))), "found")
     hit = (F.col("is_violation") == 0) & F.col("found").isNotNull()
     return (x.withColumn("violation_grade", F.when(hit, F.lit("P1")).otherwise(F.col("violation_grade")))
             .withColumn("violation_msg", F.when(hit, F.col("found")).otherwise(F.col("violation_msg")))

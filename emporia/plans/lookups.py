@@ -197,7 +197,7 @@ P0_SQL = """
 
 FOUND_SQL = """
   select p.id, string_agg(v.word, ', ' order by v.word) as found
-  from p0 p join v_words v on contains(lower(p.msg), v.word) where p.hit is null group by p.id"""
+  from p0 p join v_screened_words v on contains(lower(p.msg), v.word) where p.hit is null group by p.id"""
 
 MODERATION_SQL = f"""
 with p0 as ({P0_SQL}), found as ({FOUND_SQL})
@@ -219,11 +219,11 @@ def moderate_p0(spark, sf):
 
 
 @register("moderate_p1", with_views(f"""
-select id, is_violation, violation_grade, violation_msg from ({MODERATION_SQL}) m""", "v_comment", "v_words"))
+select id, is_violation, violation_grade, violation_msg from ({MODERATION_SQL}) m""", "v_comment", "v_words", "v_screened_words"))
 def moderate_p1(spark, sf):
     """T3 after T2: clean comments screened for every listed word they contain."""
-    words = standins.words(spark, sf)
-    out = text.check_all_words(text.check_last_word(_comments(spark, sf), words), words)
+    out = text.check_all_words(text.check_last_word(_comments(spark, sf), standins.words(spark, sf)),
+                               standins.screened_words(spark, sf))
     return out.select("id", "is_violation", "violation_grade", "violation_msg")
 
 
@@ -237,17 +237,16 @@ select p0.user_id, p0.info_user_id as consignee, p0.ts_ms, strftime(make_timesta
   p0.msg, case when p0.hit is not null or f.found is not null then 1 else 0 end as is_violation,
   case when p0.hit is not null then 'P0' when f.found is not null then 'P1' else '' end as violation_grade,
   coalesce(p0.hit, f.found, '') as violation_msg
-from p0 left join found f on f.id = p0.id""", "v_comment", "v_order_info", "v_words"))
+from p0 left join found f on f.id = p0.id""", "v_comment", "v_order_info", "v_words", "v_screened_words"))
 def moderation_report(spark, sf):
     """T4: comment-order join (J11) -> exact de-dup on order_id_ts (F9) ->
     last-word check (T2) -> whole-text check (T3) -> result columns (K4)."""
-    words = standins.words(spark, sf)
     j = comment_order(spark, sf)
     j = state.dedup_exact(j, ["order_id", "ts_ms"], "id")
     j = j.select("id", "user_id", F.col("info_user_id").alias("consignee"), "ts_ms",
                  F.col("comment_txt").alias("msg"))
     j = routing.with_ds(j)
-    out = text.check_all_words(text.check_last_word(j, words), words)
+    out = text.check_all_words(text.check_last_word(j, standins.words(spark, sf)), standins.screened_words(spark, sf))
     return out.select("user_id", "consignee", "ts_ms", "ds", "msg", "is_violation", "violation_grade",
                       "violation_msg")
 

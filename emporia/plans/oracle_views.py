@@ -119,6 +119,8 @@ _view("v_words", """
     from benchmark) t
   where w <> ''""")
 
+_view("v_screened_words", "select word from v_words where length(word) >= 8", ["v_words"])
+
 
 def with_views(body: str, *names: str) -> str:
     """``WITH`` clause holding the named views and their dependencies, then ``body``."""

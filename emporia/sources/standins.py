@@ -279,6 +279,11 @@ def words(spark: SparkSession, sf: str) -> DataFrame:
     return b.select(toks.alias("word")).where(F.col("word") != "").distinct()
 
 
+def screened_words(spark: SparkSession, sf: str) -> DataFrame:
+    """The list that whole texts are screened for: words of eight letters or more (shorter ones occur in every text)."""
+    return words(spark, sf).where(F.length("word") >= 8)
+
+
 # ---------------------------------------------------------------- change log
 
 def _smap(cols: list[str], df: DataFrame) -> Column:

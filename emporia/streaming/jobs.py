@@ -195,16 +195,17 @@ def comment_order_stream(comments: DataFrame, orders: DataFrame, bound: str = "1
     return x.dropDuplicatesWithinWatermark(["order_id", "ts_ms"])
 
 
-def moderation_sink(words_loader, path: str):
-    """T4, second half, per micro-batch: last-word check (T2), whole-text check (T3) with the word list
-    as it is now, result rows under ``batch=<id>`` (a replayed batch overwrites its own)."""
+def moderation_sink(words_loader, path: str, screened_loader=None):
+    """T4, second half, per micro-batch: last-word check (T2), whole-text check (T3; with a list of its own when
+    ``screened_loader`` is given), with the word lists as they are now; result rows under ``batch=<id>`` (a
+    replayed batch overwrites its own)."""
     from emporia.operators import text
     from emporia.operators.routing import with_ds
 
     def write(batch: DataFrame, batch_id: int) -> None:
         words = words_loader()
         rows = with_ds(batch.select("id", "user_id", "consignee", "ts_ms", "msg"))
-        out = text.check_all_words(text.check_last_word(rows, words), words)
+        out = text.check_all_words(text.check_last_word(rows, words), (screened_loader or words_loader)())
         out.write.mode("overwrite").parquet(os.path.join(path, f"batch={batch_id}"))
     return write
 
