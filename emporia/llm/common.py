@@ -31,10 +31,11 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def with_batches(spark: SparkSession) -> None:
-    """Session settings of the Python tasks: the package's code, and rows per Arrow batch (bounds a
-    worker's memory for ordinary texts)."""
+    """Session settings of the Python tasks: the package's code, and rows and bytes per Arrow batch (a
+    worker then holds a few MB of texts at a time, or one longer text)."""
     ship_code(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def row_key() -> list:

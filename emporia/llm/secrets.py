@@ -158,16 +158,17 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """
     cols = docs.columns
     # The row as one column: no name can clash.
-    found, _ = scan(docs.select(F.struct(*cols).alias("_row"), "text"), keep=("_row", "text"))
+    found, _ = scan(docs.select(F.struct(*cols).alias("_row"), "text"), keep=("_row",))
+    text = F.col("_row")["text"]
     # Overlapping spans of different kinds are merged, then the text is rebuilt from the stretches outside of them.
     merged = F.aggregate(
         "found", F.struct(F.lit(0).alias("pos"), F.array().cast("array<string>").alias("out")),
         lambda acc, s: F.struct(
             F.greatest(acc["pos"], s["end"]).alias("pos"),
             F.when(s["start"] >= acc["pos"],
-                   F.concat(acc["out"], F.array(F.substring(F.col("text"), acc["pos"] + 1, s["start"] - acc["pos"]),
+                   F.concat(acc["out"], F.array(F.substring(text, acc["pos"] + 1, s["start"] - acc["pos"]),
                                                 F.lit(mark)))).otherwise(acc["out"]).alias("out")),
-        lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col("text"), acc["pos"] + 1, F.length("text"))))
+        lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["pos"] + 1, F.length(text))))
     hit = F.size("found") > 0
     out = found.select("_row", hit.alias("_hit"), merged.alias("_clean"))
     own = {"text": F.col("_clean"), "n_chars": F.length("_clean").cast("long")}

@@ -144,28 +144,21 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Dat
             .join(t.withColumnsRenamed({"node": "v", "text": "vt"}), "v"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        center, center_set = None, np.zeros(0, U)  # centers come in runs of rows; only the last one's set is held
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
-            v_of = batch.column("v").to_numpy(zero_copy_only=False)
-            # A center comes in a run of rows; its text is worked on once per run.
-            head = np.ones(len(v_of), bool)
-            head[1:] = v_of[1:] != v_of[:-1]
-            heads = np.flatnonzero(head)
-            centers = batch.column("vt").take(pa.array(heads))
-            run_of = np.cumsum(head) - 1
-            known: dict[int, np.ndarray] = {}
-            for i, j, buf, offs in steps(pa.RecordBatch.from_arrays([centers], names=["text"])):
-                h, row = shingles(buf, offs, SHINGLE)
-                cut_at = np.searchsorted(row, np.arange(j - i + 1))
-                for k in range(j - i):
-                    known[i + k] = h[cut_at[k]:cut_at[k + 1]]
+            v_of = batch.column("v").to_pylist()
             for i, j, buf, offs in steps(batch, "ut"):
                 h, row = shingles(buf, offs, SHINGLE)
                 cut_at = np.searchsorted(row, np.arange(j - i + 1))
                 for k in range(j - i):
-                    a, b = h[cut_at[k]:cut_at[k + 1]], known[int(run_of[i + k])]
-                    common = len(np.intersect1d(a, b, assume_unique=True))
-                    keep[i + k] = 100 * common >= percent * (len(a) + len(b) - common)
+                    if v_of[i + k] != center:
+                        center = v_of[i + k]
+                        one = pa.RecordBatch.from_arrays([batch.column("vt").slice(i + k, 1)], names=["text"])
+                        center_set = next((shingles(b, o, SHINGLE)[0] for _, _, b, o in steps(one)), center_set[:0])
+                    a = h[cut_at[k]:cut_at[k + 1]]
+                    common = len(np.intersect1d(a, center_set, assume_unique=True))
+                    keep[i + k] = 100 * common >= percent * (len(a) + len(center_set) - common)
             yield batch.select(["u", "v"]).filter(pa.array(keep))
 
     return both.select("u", "v", "ut", "vt").mapInArrow(run, "u bigint, v bigint")
