@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from emporia.operators.versions import as_of_join
+
 from emporia.functions.scalars import DATETIME, first_token, ms_to_ts, time_slot
 
 # ------------------------------------------------------------------ P1
@@ -110,6 +112,18 @@ def route_facts(cdc: DataFrame, config: DataFrame) -> DataFrame:
                       _prune(F.col("data"), F.col("sink_columns")).alias("data"), "ts_ms")
 
 
+def route_facts_as_of(cdc: DataFrame, versions: DataFrame) -> DataFrame:
+    """P5 with J16's connected config: every change is routed by the config that held at its own time.
+
+    ``versions``: ``source_table, source_type, sink_table, sink_columns, ts_ms, deleted``.
+    """
+    op = F.when(F.col("op") == "r", F.lit("c")).otherwise(F.col("op"))
+    rows = cdc.select(table_col(cdc).alias("source_table"), op.alias("source_type"),
+                      F.coalesce("after", "before").alias("data"), "ts_ms")
+    out = as_of_join(rows, versions, ["source_table", "source_type"], deleted="deleted")
+    return out.select("sink_table", "source_table", "source_type", _prune(F.col("data"), F.col("sink_columns")).alias("data"), "ts_ms")
+
+
 def route_dims(cdc: DataFrame, config: DataFrame) -> DataFrame:
     """Keep change rows of configured dimension tables, prune the
     columns, attach ``op`` and the target (row key column, family)."""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from emporia.functions.scalars import amount_product, reformat
 from emporia.operators import joins, routing
+from emporia.operators.versions import as_of_join
 from emporia.plans import common
 from emporia.plans.oracle_views import with_views
 from emporia.plans.registry import register
@@ -229,6 +230,19 @@ def comment_fact(spark, sf):
                                             F.col("ts_ms").alias("ts"))
 
 
+@register("comment_fact_as_of", with_views(f"""
+select cast(c.id as {S}) as id, cast(c.user_id as {S}) as user_id, c.appraise, d.dic_name as appraise_name, c.ts_ms as ts
+from v_comment c join (select *, lead(ts_ms) over (partition by dic_code order by ts_ms) as until_ms from v_dic_version) d
+  on d.dic_code = c.appraise and c.ts_ms >= d.ts_ms and (d.until_ms is null or c.ts_ms < d.until_ms) and not d.deleted""",
+    "v_comment", "v_dic_version"))
+def comment_fact_as_of(spark, sf):
+    """Comments JOIN the dictionary as it was at the comment's time, so a retry gives the same rows."""
+    com = routing.fact_source(common.cdc(spark, sf), "comment_info", ["id", "user_id", "appraise"])
+    versions = standins.dic_versions(spark, sf).withColumnsRenamed({"dic_code": "appraise", "dic_name": "appraise_name"})
+    out = as_of_join(com, versions, ["appraise"], deleted="deleted")
+    return out.select("id", "user_id", "appraise", "appraise_name", F.col("ts_ms").alias("ts"))
+
+
 # ------------------------------------------------------------------ K3
 
 @register("upsert_latest", with_views(f"""

@@ -68,27 +68,26 @@ def _rows(c: DataFrame) -> DataFrame:
     return flat.select("table_name", "op", "ts_ms", pk.alias("pk"), routing.sorted_kv(F.col("data")).alias("data"))
 
 
-def _noise(lines: DataFrame) -> DataFrame:
-    """Lines that are no change record: cut short, a number, a string, a list."""
-    some = lines.where(F.xxhash64("value") % 50 == 0)
-    kinds = F.array(F.expr("substring(value, 1, length(value) - 3)"), F.lit("123"), F.lit('"a"'), F.lit("[1]"))
-    return some.select(F.explode(kinds).alias("value"))
+def _with_noise(lines: DataFrame) -> DataFrame:
+    """The lines and, beside some of them, null values and lines that are no change record (cut short, a number,
+    a string, a list), in one pass."""
+    kind = F.xxhash64("value") % 50
+    noise = F.array("value", F.expr("substring(value, 1, length(value) - 3)"), F.lit("123"), F.lit('"a"'), F.lit("[1]"))
+    null = F.array("value", F.lit(None).cast("string"))
+    return lines.select(F.explode(F.when(kind == 0, noise).when(kind == 1, null).otherwise(F.array("value"))).alias("value"))
 
 
 @register("cdc_scan", CDC_SQL)
 def cdc_scan(spark, sf):
     """Raw change-log lines, null values and malformed lines among them, parsed into records."""
-    lines = common.cdc_lines(spark, sf)
-    tombstones = lines.where(F.xxhash64("value") % 50 == 1).select(F.lit(None).cast("string").alias("value"))
-    return _rows(logs.read_cdc(spark, lines.unionByName(_noise(lines)).unionByName(tombstones)))
+    return _rows(logs.read_cdc(spark, _with_noise(common.cdc_lines(spark, sf))))
 
 
 @register("bootstrap_filter", CDC_SQL)
 def bootstrap_filter(spark, sf):
     """The change log with bootstrap markers interleaved, markers dropped."""
-    c = common.cdc(spark, sf)
-    markers = c.where(F.col("op") == "r").withColumn("op", F.lit("bootstrap-insert"))
-    return _rows(routing.drop_bootstrap(c.unionByName(markers)))
+    ops = F.when(F.col("op") == "r", F.array("op", F.lit("bootstrap-insert"))).otherwise(F.array("op"))
+    return _rows(routing.drop_bootstrap(common.cdc(spark, sf).withColumn("op", F.explode(ops))))
 
 
 @register("dim_etl_filter", CDC_SQL)
@@ -96,11 +95,16 @@ def dim_etl_filter(spark, sf):
     """The change log plus foreign-db, bad-op and bad-ts records; filter keeps the shop's."""
     c = common.cdc(spark, sf)
     tbl = routing.table_col(c)
-    other_db = c.where(tbl == "base_dic").withColumn(
-        "source", F.create_map(F.lit("db"), F.lit("archive"), F.lit("table"), F.lit("base_dic")))
-    bad_ts = c.where(tbl == "base_province").withColumn("ts_ms", F.lit(7).cast("bigint"))
-    bad_op = c.where(tbl == "sku_info").withColumn("op", F.lit("x"))
-    noisy = c.unionByName(other_db).unionByName(bad_ts).unionByName(bad_op)
+    archive = F.create_map(F.lit("db"), F.lit("archive"), F.lit("table"), F.lit("base_dic"))
+
+    def record(source, op, ts_ms):
+        return F.struct(source.alias("source"), op.alias("op"), ts_ms.alias("ts_ms"))
+
+    own = record(F.col("source"), F.col("op"), F.col("ts_ms"))
+    noise = (F.when(tbl == "base_dic", F.array(own, record(archive, F.col("op"), F.col("ts_ms"))))
+             .when(tbl == "base_province", F.array(own, record(F.col("source"), F.col("op"), F.lit(7).cast("bigint"))))
+             .when(tbl == "sku_info", F.array(own, record(F.col("source"), F.lit("x"), F.col("ts_ms")))).otherwise(F.array(own)))
+    noisy = c.select("before", "after", "table_name", F.explode(noise).alias("_r")).select("before", "after", "table_name", "_r.*")
     return _rows(routing.dim_etl(noisy, standins.CDC_DB))
 
 
@@ -314,6 +318,36 @@ def routed_facts(spark, sf):
     return out.select("sink_table", "source_type", "ts_ms", routing.sorted_kv(F.col("data")).alias("data"))
 
 
+@register("routed_facts_as_of", with_views(f"""
+with e as (select epoch_us(min(ts)) // 1000 as lo, epoch_us(max(ts)) // 1000 as hi from events),
+o as (select epoch_us(min(o_orderdate)) // 1000 as lo, epoch_us(max(o_orderdate)) // 1000 as hi from orders),
+cart as (select event_id as id, user_id, event_id % (select count(*) from part) as sku_id, 1 + event_id % 3 as sku_num,
+  epoch_us(ts) // 1000 as ts_ms from v_detail_event)
+select 'dwd_trade_cart_add' as sink_table, 'c' as source_type, ts_ms,
+  case when ts_ms < lo + (hi - lo) // 3 then {_kv_sql(['id', 'user_id', 'sku_id', 'sku_num'])}
+    else {_kv_sql(['id', 'user_id', 'sku_id'])} end as data
+from cart, e where ts_ms >= lo
+union all
+select 'dwd_interaction_comment_info', 'c', ts_ms, {_kv_sql(['id', 'user_id', 'sku_id', 'appraise'])}
+from v_comment, o where ts_ms >= lo
+union all
+select 'dwd_trade_order_refund', 'c', epoch_us(create_time) // 1000,
+  {_kv_sql(['id', 'order_id', 'sku_id', 'refund_num', 'refund_amount'])} from v_refund, o where epoch_us(create_time) // 1000 >= lo
+union all
+select 'dwd_trade_order_detail_update', 'u', epoch_us(create_time) // 1000 + seq,
+  {_kv_sql(['id', 'sku_num', 'split_total_amount'])} from v_order_detail, o
+where seq > 1 and epoch_us(create_time) // 1000 + seq >= lo
+union all
+select 'dwd_trade_refund_pay', 'c', epoch_us(callback_time) // 1000, {_kv_sql(['id', 'order_id', 'total_amount'])}
+from v_refund_payment, o where epoch_us(callback_time) // 1000 >= lo and epoch_us(callback_time) // 1000 < lo + (hi - lo) * 2 // 3""",
+    "v_detail_event", "v_comment", "v_refund", "v_order_detail", "v_refund_payment"))
+def routed_facts_as_of(spark, sf):
+    """The change log routed by the config that held at each change's own time."""
+    versions = standins.route_versions(spark, sf, sinks.FACT_ROUTE_FEED)
+    out = routing.route_facts_as_of(common.cdc(spark, sf), versions)
+    return out.select("sink_table", "source_type", "ts_ms", routing.sorted_kv(F.col("data")).alias("data"))
+
+
 def _dim_oracle_rows(op_filter: bool) -> str:
     prov_del = f"""
 union all

@@ -388,6 +388,32 @@ def config_feed(spark: SparkSession, sf: str) -> DataFrame:
                        F.when(F.col("op") != "d", F.col("m")).alias("after"), "op", "ts_ms")
 
 
+def _span(spark: SparkSession, sf: str, name: str, col: str) -> DataFrame:
+    """One row (lo, hi): first and last time of a table, in ms."""
+    ms = F.unix_millis(F.col(col).cast("timestamp"))
+    return table(spark, sf, name).agg(F.min(ms).alias("lo"), F.max(ms).alias("hi"))
+
+
+def dic_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """The dictionary as it changed over the orders' time: every code renamed three times, code 4 gone for a quarter."""
+    k = F.explode(F.sequence(F.lit(0), F.lit(3))).alias("k")
+    span = _span(spark, sf, "orders", "o_orderdate").withColumn("kind", F.lit("orders"))
+    rows = base_dic(spark, sf).select("dic_code", "dic_name", k, F.lit("orders").alias("kind")).join(span, "kind")
+    name = F.when(F.col("k") == 0, F.col("dic_name")).otherwise(F.concat("dic_name", F.lit(" v"), F.col("k").cast("string")))
+    return rows.select("dic_code", name.alias("dic_name"), F.expr("lo + (hi - lo) * k div 4").alias("ts_ms"),
+                       ((F.col("k") == 2) & (F.col("dic_code") == "4")).alias("deleted"))
+
+
+def route_versions(spark: SparkSession, sf: str, feed: list[tuple]) -> DataFrame:
+    """Fact routes as they changed: step s of the feed at s thirds of the time of the table's events."""
+    cols = "step int, op string, source_table string, kind string, source_type string, sink_table string, sink_columns string"
+    rows = spark.createDataFrame([(s, op, t, "events" if t == "cart_info" else "orders", o, sink, c) for s, op, t, o, sink, c in feed], cols)
+    spans = (_span(spark, sf, "events", "ts").withColumn("kind", F.lit("events"))
+             .unionByName(_span(spark, sf, "orders", "o_orderdate").withColumn("kind", F.lit("orders"))))
+    return rows.join(spans, "kind").select("source_table", "source_type", "sink_table", "sink_columns",
+                                           F.expr("lo + (hi - lo) * step div 3").alias("ts_ms"), (F.col("op") == "d").alias("deleted"))
+
+
 # ---------------------------------------------------------------- CSV lines
 
 EMP_SCHEMA = "empno BIGINT, ename STRING, deptno INT, ts BIGINT"

@@ -23,12 +23,13 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from emporia.functions.packing import packed, unpacked
+
 CHANGE = "change"
-_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
 _OUT = "left_row string, right_row string, change long"
 
 
@@ -124,8 +125,8 @@ def _tagged(df: DataFrame, keys: list[str], side: int, names: list[str]) -> Data
     no_null = F.lit(True)
     for k in keys:
         no_null = no_null & F.col(k).isNotNull()
-    row = F.to_json(F.struct(*[c for c in df.columns if c != CHANGE]), _JSON)
-    return df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.lit(side).alias("side"), row.alias("row"),
+    return df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.lit(side).alias("side"),
+                     packed([c for c in df.columns if c != CHANGE]).alias("row"),
                      change.cast("long").alias(CHANGE), no_null.alias("keyed"))
 
 
@@ -145,12 +146,7 @@ def regular_join_stream(left: DataFrame, right: DataFrame, on: list[tuple[str, s
     joined = both.groupBy(*names).transformWithStateInPandas(
         RetractJoin(keep, idle_ms), _OUT, "append", "ProcessingTime" if idle_ms else "None")
 
-    def parsed(col: str, fields: list) -> list[Column]:
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-        value = F.from_json(F.col(col), schema, _JSON)
-        return [value[f.name].alias(f.name) for f in fields]
-
-    return joined.select(*parsed("left_row", cols[0]), *parsed("right_row", cols[1]), CHANGE)
+    return joined.select(*unpacked("left_row", cols[0]), *unpacked("right_row", cols[1]), CHANGE)
 
 
 def fold(changes: DataFrame) -> DataFrame:
