@@ -43,6 +43,8 @@ from emporia.llm.hashing import U, Prefix, mix
 LENGTH = 400
 GRAM = 32
 BLOCK_BYTES = 2 << 20
+# Shorter repeats are reported, not removed: every repeat of REACH bytes shows in a sampled string of SAMPLE bytes.
+SAMPLE, REACH = 128, 298
 
 
 def window_anchors(key: np.ndarray, width: int) -> np.ndarray:
@@ -58,15 +60,13 @@ def window_anchors(key: np.ndarray, width: int) -> np.ndarray:
     return (np.minimum(ahead[:n], behind[width - 1:width - 1 + n]) & U(0xFFFFFFFF)).astype(np.int64)
 
 
-def segments(buf: np.ndarray, offs: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """(row, start, bytes, anchor key, content hash) of the segments of every row."""
+def segments(buf: np.ndarray, offs: np.ndarray, length: int, prefix: Prefix, key: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(row, start, bytes, anchor key, content hash) of the segments of every row; ``key``: hash of every GRAM bytes."""
     none = np.zeros(0, np.int64)
     width = length - GRAM + 1
     lens = np.diff(offs)
     if len(buf) < length or lens.max() < length:
         return none, none, none, none.view(U), none.view(U)
-    prefix = Prefix(buf)
-    key = mix(prefix.fixed(GRAM), 61)
     anchor = window_anchors(key, width)
     # Window starts whose whole window lies in one row, and where a new segment begins.
     count = np.maximum(lens - length + 1, 0)
@@ -81,6 +81,22 @@ def segments(buf: np.ndarray, offs: np.ndarray, length: int = LENGTH) -> tuple[n
     return row[first], begin - offs[row[first]], end - begin, key[a[first]], prefix.of(begin, end)
 
 
+def samples(offs: np.ndarray, prefix: Prefix, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, content hash) of strings of ``SAMPLE`` bytes that start at the smallest key of REACH - SAMPLE + 1
+    places: two equal stretches of ``REACH`` bytes hold the same sample, whatever stands around them."""
+    width = REACH - SAMPLE + 1
+    count = np.maximum(np.diff(offs) - REACH + 1, 0)
+    if not count.any():
+        none = np.zeros(0, np.int64)
+        return none, none, none.view(U)
+    row = np.repeat(np.arange(len(count)), count)
+    a = window_anchors(key, width)[ragged(offs[:-1], count)]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (row[1:] != row[:-1])
+    row, a = row[new], a[new]
+    return row, a - offs[row], prefix.of(a, a + SAMPLE)
+
+
 class RunIndex:
     """Run-compressed Burrows-Wheeler transform of a list of byte strings."""
 
@@ -217,12 +233,20 @@ _OCCURRENCE = "doc_id bigint, _h bigint, key bigint, seg bigint, start int, len
 
 
 def occurrences(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Every segment of every row."""
+    """Every segment of every row, and every sample (without bytes and key)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, _, buf, offs in steps(batch):
-                row, start, size, key, seg = segments(buf, offs, length)
+                if len(buf) < min(length, REACH):
+                    continue
+                prefix = Prefix(buf)
+                grams = mix(prefix.fixed(GRAM), 61)
+                row, start, size, key, seg = segments(buf, offs, length, prefix, grams)
+                row2, start2, seg2 = samples(offs, prefix, grams)
+                none = np.zeros(len(row2), np.int64)
+                row, start, size = (np.concatenate(x) for x in ((row, row2), (start, start2), (size, none)))
+                key, seg = np.concatenate([key, none.view(U)]), np.concatenate([seg, seg2])
                 if len(row):
                     take = pa.array(row + i)
                     yield pa.RecordBatch.from_arrays(
@@ -335,9 +359,17 @@ def _counted(members: DataFrame, length: int) -> DataFrame:
             .select("doc_id", "_h", "start", F.lit(length).alias("len")))
 
 
+def _shared(sampled: DataFrame) -> DataFrame:
+    """doc_id, _h, shared: how many of a row's samples occur elsewhere too."""
+    twice = sampled.groupBy("seg").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").repartition("c", "seg")
+    return sampled.join(twice, "seg", "left_semi").groupBy("doc_id", "_h").agg(F.count(F.lit(1)).alias("shared"))
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH, most_kinds: int = 2048) -> DataFrame:
-    """(doc_id, _h, spans): array of (start, len) of the bytes to remove, overlapping, for rows that have any."""
-    found = occurrences(docs, length)
+    """(doc_id, _h, spans, shared) of rows that have any: array of (start, len) of the bytes to remove, overlapping,
+    and the number of samples that occur elsewhere."""
+    stored = saved(occurrences(docs, length))
+    found = stored.filter("len > 0")
     keys = found.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     # (Aggregates are dealt out by another column before a join: only then Spark can split a hot key there.)
     again = saved(found.join(keys.repartition("c", "key").select("key"), "key"))
@@ -351,16 +383,24 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, most_kinds: int = 2048
                     .join(several, "key"))
     part = _indexed(members.filter(F.col("kinds") <= most_kinds).drop("kinds"), length)
     hot = _counted(members.filter(F.col("kinds") > most_kinds).drop("kinds"), length)
-    return (whole.unionByName(part).unionByName(hot).groupBy("doc_id", "_h")
-            .agg(F.collect_set(F.struct("start", "len")).alias("spans")))
+    spans = whole.unionByName(part).unionByName(hot).select(
+        "doc_id", "_h", F.struct("start", "len").alias("span"), F.lit(0).cast("bigint").alias("shared"))
+    none = F.lit(None).cast(spans.schema["span"].dataType)
+    return (spans.unionByName(_shared(stored.filter("len = 0")).select("doc_id", "_h", none.alias("span"), "shared"))
+            .groupBy("doc_id", "_h").agg(F.collect_set("span").alias("spans"), F.max("shared").alias("shared")))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, most_kinds: int = 2048) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text."""
+    """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_shared, kept_text.
+
+    ``n_shared`` counts the row's sampled strings of ``SAMPLE`` bytes that
+    occur elsewhere too; a row that repeats ``REACH`` bytes or more of
+    another place has one at least. Nothing is removed for it.
+    """
     spans = repeated_spans(docs, length, most_kinds)
     rows = docs.select(*row_key(), "text").alias("r")
     joined = (rows.join(spans.alias("s"), _same_row("r", "s"), "left")
-              .select("r.doc_id", "r.text", "s.spans.start", "s.spans.len"))
+              .select("r.doc_id", "r.text", "s.spans.start", "s.spans.len", F.coalesce("s.shared", F.lit(0)).cast("bigint").alias("n_shared")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -381,8 +421,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, most_kinds: int = 2048
                     col.append(v)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.string()),
-                 pa.array(out[4], pa.binary())],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
+                 batch.column("n_shared"), pa.array(out[4], pa.binary())],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared", "kept_text"])
 
     return joined.mapInArrow(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, "
-                                  "kept_sha256 string, kept_text binary")
+                                  "kept_sha256 string, n_shared bigint, kept_text binary")
