@@ -17,6 +17,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emporia.functions.scalars import ms_to_day, negate
+from emporia.operators.scan import running_max_before
+
+#: Arrival numbers per segment of a running comparison.
+SEGMENT_ROWS = 1 << 16
 
 
 def _order(ts: str, tie: str) -> Column:
@@ -128,20 +132,21 @@ def mark_login(df: DataFrame, key: str = "user_id", ts: str = "ts_ms", tie: str
 
 # ------------------------------------------------------------------ F7
 
-def keep_newer(df: DataFrame, key: str, ts: str, arrival: list[str] | str) -> DataFrame:
+def keep_newer(df: DataFrame, key: str, ts: str, arrival: list[str] | str, segment: Column | None = None) -> DataFrame:
     """keep a record only when its ``ts`` is later than the stored one.
 
     The stored value is the largest time kept so far, so a record passes
     exactly when its time exceeds every record's that arrived before it;
     ``arrival`` orders the arrivals and is not the compared time. Records
-    without key are dropped (P12). Versions of one record meet in one
-    task: the key is a record id, not a dimension.
+    without key are dropped (P12). ``segment`` never falls along the
+    arrivals (default: ``SEGMENT_ROWS`` numbers of the first arrival column,
+    which must be a number): a key's records are compared segment by
+    segment, with the largest time of all earlier segments carried in.
     """
     arrival = [arrival] if isinstance(arrival, str) else list(arrival)
-    before = (Window.partitionBy(key).orderBy(*arrival)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    out = df.where(F.col(key).isNotNull()).withColumn("_seen", F.max(ts).over(before))
-    return out.where(F.col("_seen").isNull() | (F.col(ts) > F.col("_seen"))).drop("_seen")
+    seg = F.floor(F.col(arrival[0]) / SEGMENT_ROWS) if segment is None else segment
+    out = running_max_before(df.where(F.col(key).isNotNull()), [key], ts, arrival, seg, "_seen")
+    return out.where(F.col("_seen").isNull() | (F.col(ts) > F.col("_seen"))).select(*df.columns)
 
 
 # ------------------------------------------------------------------ F8 / F9

@@ -2,8 +2,7 @@
 
 Each aggregate is ``groupBy(window(et, size), keys).agg(...)``: Spark
 plans a partial (map-side) aggregate, one exchange on the grouping keys
-and a final aggregate, which is the reference's incremental
-reduce-then-stamp. The same functions run on streaming DataFrames once a
+and a final aggregate; the window is stamped afterwards. The same functions run on streaming DataFrames once a
 watermark is set (``with_event_time``).
 """
 
@@ -15,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emporia.functions.scalars import DATE, DATETIME, ms_to_day, ms_to_ts
+from emporia.operators.scan import SEGMENT, earlier, within
 
 WINDOW_COLS = ["stt", "edt", "cur_date"]
 
@@ -101,25 +101,32 @@ def running_state_per_window(df: DataFrame, key: str, ts: str, size: str, fields
     far joined by commas (nulls are not added).
 
     Closed form without pairing a key's records: the records are reduced to
-    one row per (key, field, value) and per (key, payload) with the window of
-    the first sighting, and to one row per (key, window) to report; a window
-    takes the rows first seen up to it (a join on the key that Spark can
-    split, then an aggregate combined before its shuffle). The result holds
-    every value set in full, so its size is windows x values of a key: that
-    is a limit of the definition, not of the plan.
+    one row per (key, window) with what is new in it, and the windows are
+    added up day by day, the sets of all earlier days carried in. The
+    result holds every value set in full, so its size is windows x values
+    of a key: that is a limit of the definition, not of the plan.
     """
     x = df.select(key, F.window(ms_to_ts(ts), size).start.alias("_w"), *fields)
-    wins = x.select(key, F.col("_w").alias("_t")).distinct()
-    payloads = (x.groupBy(key, *fields).agg(F.min("_w").alias("_w")).groupBy(key, "_w").agg(F.count(F.lit(1)).alias("_n"))
-                .select(key, F.lit(None).cast("string").alias("_f"), F.lit(None).cast("string").alias("_v"), "_n", "_w"))
+    payloads = (x.groupBy(key, *fields).agg(F.min("_w").alias("_t")).groupBy(key, "_t").agg(F.count(F.lit(1)).alias("_n"))
+                .select(key, "_t", "_n", F.lit(None).cast("string").alias("_f"), F.lit(None).cast("string").alias("_v")))
     each = F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.col(f).cast("string").alias("v")) for f in fields]))
     values = (x.select(key, "_w", each.alias("_e")).where(F.col("_e.v").isNotNull())
-              .groupBy(key, F.col("_e.f").alias("_f"), F.col("_e.v").alias("_v")).agg(F.min("_w").alias("_w"))
-              .select(key, "_f", "_v", F.lit(0).cast("bigint").alias("_n"), "_w"))
-    seen = payloads.unionByName(values)
-    state = (wins.join(seen, key).where(F.col("_w") <= F.col("_t")).groupBy(key, "_t")
-             .agg(F.sum("_n").alias("pv"), *[F.array_join(F.array_sort(F.collect_set(
-                 F.when(F.col("_f") == f, F.col("_v")))), ",").alias(f) for f in fields]))
+              .groupBy(key, F.col("_e.f").alias("_f"), F.col("_e.v").alias("_v")).agg(F.min("_w").alias("_t"))
+              .select(key, "_t", F.lit(0).cast("bigint").alias("_n"), "_f", "_v"))
+    wins = x.select(key, F.col("_w").alias("_t"), F.lit(0).cast("bigint").alias("_n"), F.lit(None).cast("string").alias("_f"),
+                    F.lit(None).cast("string").alias("_v")).distinct()
+    new = (payloads.unionByName(values).unionByName(wins).groupBy(key, "_t")
+           .agg(F.sum("_n").alias("_n"), *[F.collect_set(F.when(F.col("_f") == f, F.col("_v"))).alias(f) for f in fields])
+           .withColumn(SEGMENT, F.to_date("_t")))
+    sums = [("_n", F.sum("_n")), *((f, F.flatten(F.collect_list(f))) for f in fields)]  # a value is new only once
+    totals = new.groupBy(key, SEGMENT).agg(*[agg.alias(c) for c, agg in sums])
+    carry = earlier(totals, [key], {f"_c{i}": F.sum(c) if i == 0 else F.collect_list(c) for i, (c, _) in enumerate(sums)})
+    day = within([key], "_t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    here = new.select(key, "_t", SEGMENT, *[(F.sum(c) if i == 0 else F.collect_list(c)).over(day).alias(f"_d{i}")
+                                           for i, (c, _) in enumerate(sums)])
+    both = here.join(carry, [key, SEGMENT])
+    state = both.select(key, "_t", (F.col("_d0") + F.coalesce("_c0", F.lit(0))).alias("pv"), *[
+        F.array_join(F.array_sort(F.flatten(F.concat(f"_c{i}", f"_d{i}"))), ",").alias(f) for i, f in enumerate(fields, 1)])
     out = state.select(
         key, F.date_format("_t", DATETIME).alias("stt"),
         F.date_format(F.col("_t") + F.expr(f"interval {size}"), DATETIME).alias("edt"),
