@@ -24,7 +24,8 @@ holds the run; this loses no match.
 The items are taken in blocks of ``block_items`` to the driver and into
 the tasks; a longer benchmark takes more passes. No shuffle is needed.
 
-Null or empty text has no match; null or empty items match nothing.
+Null or empty text has no match; null or empty items match nothing; an
+item without item_id is found under a null id.
 Repeated rows and items count each. Extra columns are ignored; empty
 tables give empty or clean results. A text is held whole in one task.
 """
@@ -46,7 +47,9 @@ EDITS = 0.2
 SEED = 3          # longest run of words used to line windows up
 SAMPLED = 3
 RECALL = 0.995
+BLOCK_BYTES = 4 << 20  # texts of the items held at a time, or one longer item
 REPEATS = 64      # items that need more walks are decided without
+_MEASURED = 4096  # words up to which walks are tried; a copy of a longer item with all its edits meets too seldom
 _WINDOWS = 2048   # embedded at a time
 _CELLS = 1 << 20  # at most of the arrays of such windows
 
@@ -111,7 +114,7 @@ class Items:
             ends = np.searchsorted(row, np.arange(j - i + 1))
             seqs += [h[a:b] for a, b in zip(ends[:-1], ends[1:])]
         keep = [k for k, s in enumerate(seqs) if len(s)]
-        self.ids = np.array([ids[k] for k in keep], np.int64)
+        self.ids = [ids[k] for k in keep]
         seqs = [seqs[k] for k in keep]
         self.size = np.array([len(s) for s in seqs], np.int64)
         self.most = allowed(self.size, edits)
@@ -149,6 +152,7 @@ class Items:
         seeds = mix(np.arange(walks, dtype=U), 91)
         needed = np.full(len(self.size), math.inf)
         by_size = np.argsort(self.size, kind="stable")
+        by_size = by_size[self.size[by_size] <= _MEASURED]
         at = 0
         while at < len(by_size):
             # Items of about the same size at a time.
@@ -264,11 +268,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, r
     """All columns of ``docs`` (but for one named hits) with ``hits``: item_id, edits and place of every benchmark item found in the text."""
     cols = [c for c in docs.columns if c != "hits"]
     out = docs.withColumn("hits", F.array().cast(_HITS))
-    items = benchmark.select("item_id", "text").filter("text is not null")
-    blocks = max(1, math.ceil(items.count() / block_items))
+    # Items of one size class (up to 4 KB, then a factor of 16 each) are held together, so a long one pads no others.
+    size_class = F.greatest(F.lit(0), F.floor((F.log2(F.octet_length("text") + 1) - 8) / 4))
+    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text", size_class.alias("c")).filter("text is not null")
+    classes = items.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("b")).orderBy("c").collect()
     schema = out.schema
-    for b in range(blocks):  # a bounded part of the stated query set at a time
-        mine = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
+    for c, b, blocks in [(r.c, b, k) for r in classes for k in [math.ceil(max(r.n / block_items, r.b / BLOCK_BYTES, 1))] for b in range(k)]:
+        # A bounded part of the stated query set at a time.
+        mine = items.filter((F.col("c") == c) & (F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)).orderBy("item_id", "text").collect()
         block = Items([r["item_id"] for r in mine], [r["text"] for r in mine], edits, recall)
 
         def run(batches: Iterator[pa.RecordBatch], block: Items = block) -> Iterator[pa.RecordBatch]:
@@ -277,7 +284,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, r
                 for i, _, buf, offs in steps(batch):
                     row, item, n, first, end = search(buf, offs, block)
                     for r, k, e, a, z in zip(row.tolist(), item.tolist(), n.tolist(), first.tolist(), end.tolist()):
-                        hits[i + r] = [*hits[i + r], {"item_id": int(block.ids[k]), "edits": e, "first_word": a,
+                        hits[i + r] = [*hits[i + r], {"item_id": block.ids[k], "edits": e, "first_word": a,
                                                       "end_word": z}]
                 yield batch.set_column(batch.schema.get_field_index("hits"), "hits",
                                        pa.array(hits, batch.schema.field("hits").type))
