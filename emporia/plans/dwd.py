@@ -39,13 +39,12 @@ DETAIL_FACT_COLS = ["id", "order_id", "user_id", "sku_id", "sku_name", "province
                     "split_activity_amount", "split_coupon_amount", "split_total_amount", "ts"]
 
 
-def order_detail_fact_df(c):
-    """Detail (upsert view) JOIN order, LEFT activity, LEFT coupon.
+def widened(det, c):
+    """Detail rows JOIN order, LEFT activity, LEFT coupon: user, province and promotion columns beside their own.
 
     The two left joins share the detail id, so the detail side is
     exchanged once for both; the order join exchanges on order id.
     """
-    det = common.detail_latest(c)
     act = routing.fact_source(c, "order_detail_activity", ["order_detail_id", "activity_id", "activity_rule_id"],
                               keep_ts=False)
     cou = routing.fact_source(c, "order_detail_coupon", ["order_detail_id", "coupon_id"], keep_ts=False)
@@ -53,12 +52,17 @@ def order_detail_fact_df(c):
     x = (det.join(act, det["id"] == act["order_detail_id"], "left")
             .join(cou, det["id"] == cou["order_detail_id"], "left")
             .join(info, det["order_id"] == info["oi_id"], "inner"))
+    return x.select(*[det[k] for k in det.columns], "user_id", "province_id", "activity_id", "activity_rule_id", "coupon_id",
+                    amount_product(det["sku_num"], det["order_price"]).cast("string").alias("split_original_amount"))
+
+
+def order_detail_fact_df(c):
+    """The upsert view of details, widened."""
+    x = widened(common.detail_latest(c), c)
     return x.select(
-        det["id"], det["order_id"], "user_id", det["sku_id"], det["sku_name"], "province_id", "activity_id",
-        "activity_rule_id", "coupon_id", reformat(det["create_time"]).alias("date_id"), det["create_time"],
-        det["sku_num"], amount_product(det["sku_num"], det["order_price"]).cast("string").alias("split_original_amount"),
-        det["split_activity_amount"], det["split_coupon_amount"], det["split_total_amount"],
-        det["ts_ms"].alias("ts"))
+        "id", "order_id", "user_id", "sku_id", "sku_name", "province_id", "activity_id", "activity_rule_id", "coupon_id",
+        reformat(F.col("create_time")).alias("date_id"), "create_time", "sku_num", "split_original_amount",
+        "split_activity_amount", "split_coupon_amount", "split_total_amount", F.col("ts_ms").alias("ts"))
 
 
 DETAIL_FACT_SQL = f"""
@@ -141,8 +145,9 @@ def payment_interval_join(spark, sf):
         routing.has_key("order_id"))
     pay = pay.select("order_id", F.col("payment_type").alias("payment_type_code"), "callback_time",
                      F.col("ts_ms").alias("pay_ms"))
-    fact = order_detail_fact_df(c).withColumn("detail_ms", common.ms_of("create_time")).drop("date_id", "create_time")
-    x = joins.interval_join(pay, fact, "order_id", "pay_ms", "detail_ms", -PAY_BEFORE_MS, PAY_AFTER_MS)
+    det = common.detail_latest(c).withColumn("detail_ms", common.ms_of("create_time")).drop("create_time", "ts_ms")
+    # The time bound first: only details that a payment meets are widened.
+    x = widened(joins.interval_join(pay, det, "order_id", "pay_ms", "detail_ms", -PAY_BEFORE_MS, PAY_AFTER_MS), c)
     dic = common.base_dic(c).select(F.col("dic_code").alias("payment_type_code"),
                                     F.col("dic_name").alias("payment_type_name"))
     x = x.join(dic, "payment_type_code")
