@@ -11,17 +11,21 @@ Base rules, leftmost non-overlapping per kind; matches that fail the
 length test are dropped after matching. A null text counts as empty.
 Paths may repeat or be null: every row of ``versions`` gets its own row
 back. Columns other than those named are ignored; empty tables give
-empty results. The spans of one text are gathered in one array.
+empty results. The spans of one text are gathered in one array; a text of
+any length is searched whole in one task. ``scan_round`` keeps the ledger
+as a Parquet table from scan to scan; the registered query starts with an
+empty one.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporia.llm.common import saved
+from emporia.sources.sinks import exists
 
 
 @dataclass(frozen=True)
@@ -135,6 +139,28 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule
     return findings(versions, full, rules, text, keep), full
 
 
+def read_ledger(spark: SparkSession, path: str, but_round: str | None = None) -> DataFrame:
+    """The stored ledger (empty where there is none yet), without the rows of one round if named."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], LEDGER)
+    rows = spark.read.schema(f"{LEDGER}, round string").parquet(path)
+    return (rows if but_round is None else rows.filter(F.col("round") != but_round)).drop("round")
+
+
+def scan_round(versions: DataFrame, path: str, round_id: str, rules: tuple[Rule, ...] = RULES, text: str = "text",
+               keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Findings of ``versions`` against the ledger stored at ``path``, which gains what this round scanned.
+
+    A round's rows are one partition of the ledger: a round that is run
+    again, after a lost job or with more versions, replaces its own.
+    """
+    spark = versions.sparkSession
+    before = read_ledger(spark, path, round_id)
+    new = update_ledger(versions, before, rules, text)
+    new.select("blob", "rule", "spans").write.mode("overwrite").parquet(f"{path.rstrip('/')}/round={round_id}")
+    return findings(versions, read_ledger(spark, path), rules, text, keep)
+
+
 def listed(found: Column) -> Column:
     """kind:start:end of all spans by start, then kind, comma-joined."""
     return F.array_join(F.transform(found, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
