@@ -178,10 +178,10 @@ class Tiles:
 
     Pairs gather up to ``flush``; then tiles with one pair per ``sparse``
     cells or more go to their dense array (at most ``most`` of these are
-    kept) and the others leave as sorted runs.
+    kept, of 32-bit counts: one task's pairs) and the others leave as sorted runs.
     """
 
-    def __init__(self, head: int, flush: int = 1 << 21, sparse: int = 16, most: int = 16):
+    def __init__(self, head: int, flush: int = 1 << 20, sparse: int = 16, most: int = 16):
         self.wide = max(1, -(-head // SIDE))
         self.flush, self.sparse, self.most = flush, sparse, most
         self.dense: dict[int, np.ndarray] = {}
@@ -201,11 +201,11 @@ class Tiles:
         often = np.flatnonzero(count * self.sparse >= SIDE * SIDE)
         for t in often[np.argsort(-count[often], kind="stable")].tolist():
             if t not in self.dense and len(self.dense) < self.most:
-                self.dense[t] = np.zeros(SIDE * SIDE, np.int64)
+                self.dense[t] = np.zeros(SIDE * SIDE, np.int32)
         rest = np.ones(len(left), bool)
         for t, cells in self.dense.items():
             mine = tile == t
-            cells += np.bincount((left[mine] % SIDE) * SIDE + right[mine] % SIDE, minlength=SIDE * SIDE)
+            cells += np.bincount((left[mine] % SIDE) * SIDE + right[mine] % SIDE, minlength=SIDE * SIDE).astype(np.int32)
             rest &= ~mine
         return _runs(left[rest], right[rest])
 
@@ -214,7 +214,7 @@ class Tiles:
             yield self._sparse()
         for t, cells in self.dense.items():
             at = np.flatnonzero(cells)
-            yield at // SIDE + t // self.wide * SIDE, at % SIDE + t % self.wide * SIDE, cells[at]
+            yield at // SIDE + t // self.wide * SIDE, at % SIDE + t % self.wide * SIDE, cells[at].astype(np.int64)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
