@@ -19,11 +19,21 @@ STEP_BYTES = 1 << 20
 def saved(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there and lost executors cost nothing."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/saved/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = f"{_saved_folder(spark)}/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _saved_folder(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/saved/{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what ``saved`` wrote for this application. Call it when the results are written: until then they read it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(_saved_folder(spark))
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Checkpoint in the shared folder (small tables of iterative steps)."""
     checkpoint_dir(df.sparkSession)
