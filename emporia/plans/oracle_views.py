@@ -124,8 +124,10 @@ _view("v_screened_words", "select word from v_words where length(word) >= 8", ["
 _view("v_dic_version", """
   select dic_code, case when k = 0 then dic_name else dic_name || ' v' || k end as dic_name,
     lo + (hi - lo) * k // 4 as ts_ms, k = 2 and dic_code = '4' as deleted
-  from v_base_dic, generate_series(0, 3) as g(k),
-    (select epoch_us(min(o_orderdate)) // 1000 as lo, epoch_us(max(o_orderdate)) // 1000 as hi from orders) s""", ["v_base_dic"])
+  from (select substr(o_orderpriority, 1, 1) as dic_code, substr(o_orderpriority, 3) as dic_name,
+          epoch_us(min(o_orderdate)) // 1000 as lo, epoch_us(max(o_orderdate)) // 1000 as hi
+        from orders group by 1, 2) s, generate_series(0, 3) as g(k)
+  where dic_code <> '5'""")
 
 
 def with_views(body: str, *names: str) -> str:

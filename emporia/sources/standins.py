@@ -395,10 +395,12 @@ def _span(spark: SparkSession, sf: str, name: str, col: str) -> DataFrame:
 
 
 def dic_versions(spark: SparkSession, sf: str) -> DataFrame:
-    """The dictionary as it changed over the orders' time: every code renamed three times, code 4 gone for a quarter."""
-    k = F.explode(F.sequence(F.lit(0), F.lit(3))).alias("k")
-    span = _span(spark, sf, "orders", "o_orderdate").withColumn("kind", F.lit("orders"))
-    rows = base_dic(spark, sf).select("dic_code", "dic_name", k, F.lit("orders").alias("kind")).join(span, "kind")
+    """The dictionary as it changed over the time of a code's orders: renamed three times, code 4 gone for a quarter."""
+    ms = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
+    codes = (table(spark, sf, "orders").groupBy(F.substring("o_orderpriority", 1, 1).alias("dic_code"),
+                                                F.expr("substr(o_orderpriority, 3)").alias("dic_name"))
+             .agg(F.min(ms).alias("lo"), F.max(ms).alias("hi")).where(F.col("dic_code") != "5"))
+    rows = codes.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(3))))
     name = F.when(F.col("k") == 0, F.col("dic_name")).otherwise(F.concat("dic_name", F.lit(" v"), F.col("k").cast("string")))
     return rows.select("dic_code", name.alias("dic_name"), F.expr("lo + (hi - lo) * k div 4").alias("ts_ms"),
                        ((F.col("k") == 2) & (F.col("dic_code") == "4")).alias("deleted"))
