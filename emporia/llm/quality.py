@@ -117,6 +117,11 @@ def consistency(share: float) -> float:
     return share / _chi2(_chi2_point(share, DIMS), DIMS + 2)
 
 
+def _few(estimate: DataFrame) -> DataFrame:
+    """Checkpoint of a table of groups and starts; read by few tasks, so that its later shuffles write few files."""
+    return cut(estimate).coalesce(8)
+
+
 def _moments(rows: DataFrame) -> DataFrame:
     """Per group and start the count, sums and sums of products, all whole numbers."""
     return rows.groupBy(*_START).agg(
@@ -139,7 +144,7 @@ def _estimate(moments: DataFrame, floor: float, factor: float = 1.0) -> DataFram
         for k in range(j):
             rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
         out = out.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(1e-12))) if i == j else rest / F.col(f"l{j}{j}"))
-    out = cut(out)
+    out = _few(out)
     for j in range(DIMS):
         for i in range(j, DIMS):
             total = F.lit(1.0 if i == j else 0.0)
@@ -212,13 +217,13 @@ def least_determinant(rows: DataFrame, support: float = SUPPORT, starts: int = S
     """The minimum-covariance-determinant estimate of every group with ``least_rows``; rows: lang, source, _id, x0, ..."""
     enough = rows.groupBy(F.col("lang").alias("_lang"), F.col("source").alias("_source")).agg(F.count(F.lit(1)).alias("_n"))
     rows = rows.join(enough.filter(F.col("_n") >= least_rows), _of_group()).select(*rows.columns)
-    estimate = cut(_estimate(_moments(_first_subsets(rows, starts)), floor))
+    estimate = _few(_estimate(_moments(_first_subsets(rows, starts)), floor))
     for _ in range(2):
-        estimate = cut(_concentrated(rows, estimate, support, floor))
-    estimate = cut(_least(estimate, 2))
+        estimate = _few(_concentrated(rows, estimate, support, floor))
+    estimate = _few(_least(estimate, 2))
     for _ in range(most_steps):
         last = estimate
-        estimate = cut(_concentrated(rows, last, support, floor))
+        estimate = _few(_concentrated(rows, last, support, floor))
         before = last.select(*(F.col(c).alias(f"_{c}") for c in (*_START, "logdet")))
         falls = estimate.join(before, _of_group() & (F.col("start") == F.col("_start")))
         if (falls.agg(F.max(F.abs(F.col("_logdet") - F.col("logdet")))).first()[0] or 0) < 0.01:
@@ -229,10 +234,10 @@ def least_determinant(rows: DataFrame, support: float = SUPPORT, starts: int = S
 def robust_fit(rows: DataFrame, support: float = SUPPORT, starts: int = STARTS, least_rows: int = 50,
                floor: float = 0.3) -> DataFrame:
     """Location and scatter per (lang, source): the least determinant, made consistent, then refitted on the rows within."""
-    best = cut(least_determinant(rows, support, starts, least_rows, floor))
-    scaled = cut(_concentrated(rows, best, support, floor, consistency(support)))
+    best = _few(least_determinant(rows, support, starts, least_rows, floor))
+    scaled = _few(_concentrated(rows, best, support, floor, consistency(support)))
     inside = _each_start(rows, scaled).filter(F.col("d2") <= _chi2_point(0.975, DIMS))
-    return cut(_estimate(_moments(inside), floor, consistency(0.975)))
+    return _few(_estimate(_moments(inside), floor, consistency(0.975)))
 
 
 def for_small_groups(rows: DataFrame, estimate: DataFrame, support: float, starts: int, least_rows: int) -> DataFrame:
