@@ -119,8 +119,6 @@ _view("v_words", """
     from benchmark) t
   where w <> ''""")
 
-_view("v_screened_words", "select word from v_words where length(word) >= 8", ["v_words"])
-
 _view("v_dic_version", """
   select dic_code, case when k = 0 then dic_name else dic_name || ' v' || k end as dic_name,
     lo + (hi - lo) * k // 4 as ts_ms, k = 2 and dic_code = '4' as deleted

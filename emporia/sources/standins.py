@@ -280,8 +280,8 @@ def words(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def screened_words(spark: SparkSession, sf: str) -> DataFrame:
-    """The list that whole texts are screened for: words of eight letters or more (shorter ones occur in every text)."""
-    return words(spark, sf).where(F.length("word") >= 8)
+    """The list that whole texts are screened for: every listed word."""
+    return words(spark, sf)
 
 
 # ---------------------------------------------------------------- change log
