@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.session import checkpoint_dir, ship_code
+from emporia.session import bounded_batches, checkpoint_dir, ship_code
 
 #: Text handed to one numpy step. Arrays of a step take a few dozen bytes per byte of text.
 STEP_BYTES = 1 << 20
@@ -41,11 +41,9 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def with_batches(spark: SparkSession) -> None:
-    """Session settings of the Python tasks: the package's code, and rows and bytes per Arrow batch (a
-    worker then holds a few MB of texts at a time, or one longer text)."""
+    """Session settings of the Python tasks: the package's code, and rows and bytes per Arrow batch."""
     ship_code(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    bounded_batches(spark)
 
 
 def row_key() -> list:

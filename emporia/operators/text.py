@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from emporia.functions.scalars import last_token
 from emporia.operators.automaton import Automaton
-from emporia.session import ship_code
+from emporia.session import bounded_batches, ship_code
 
 # Token pattern of the keyword function (letters and digits
 # of any script), and of word lists (letters of any script).
@@ -117,6 +117,7 @@ def _with_found(df: DataFrame, words: list[bytes], text: Column, out: str) -> Da
     """``df`` and a column of the listed words in ``text``, sorted and joined by ``", "``; null when there is none."""
     spark = df.sparkSession
     ship_code(spark)
+    bounded_batches(spark)
     sent = spark.sparkContext.broadcast((_automata(words), [w.decode() for w in words]))
     read = df.withColumn(out, text)
 
@@ -127,13 +128,16 @@ def _with_found(df: DataFrame, words: list[bytes], text: Column, out: str) -> Da
             _, offsets, data = col.buffers()
             offs = np.frombuffer(offsets, np.int64, len(col) + 1, col.offset * 8)
             buf = np.frombuffer(data, np.uint8) if data is not None and offs[-1] > offs[0] else np.zeros(0, np.uint8)
-            found: list[str | None] = [None] * len(col)
+            found: list[str | None] = []
             i = 0
             while i < len(col):
                 j = max(i + 1, int(np.searchsorted(offs, offs[i] + STEP_BYTES, "right")) - 1)
-                pairs = [(r, w + first) for first, a in blocks for r, w in zip(*(x.tolist() for x in a.rows(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i])))]
-                for r, w in sorted(pairs) if len(blocks) > 1 else pairs:
-                    found[i + r] = names[w] if found[i + r] is None else f"{found[i + r]}, {names[w]}"
+                hits = [a.rows(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i]) for _, a in blocks]
+                row = np.concatenate([r for r, _ in hits])
+                word = np.concatenate([w + first for (first, _), (_, w) in zip(blocks, hits)])
+                word = word[np.argsort(row, kind="stable")].tolist()  # blocks are in byte order, so each row's words are
+                ends = np.cumsum(np.bincount(row, minlength=j - i)).tolist()
+                found += [", ".join([names[w] for w in word[a:z]]) if z > a else None for a, z in zip([0, *ends], ends)]
                 i = j
             yield batch.set_column(batch.num_columns - 1, out, pa.array(found, pa.string()))
 
