@@ -34,11 +34,23 @@ def enrich_sparse(df: DataFrame, dim: DataFrame, key: str, spread: str) -> DataF
     return df.withColumn("_key", k).join(d, F.col("_key") == F.col("_lk"), "left").drop("_key", "_lk")
 
 
+SALTS = 64  # parts of the rows of one code
+
+
+def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, spread: str, how: str = "inner") -> DataFrame:
+    """Look a code up in a dictionary. There are few codes and many rows of each: the rows of a code are
+    dealt by the column ``spread`` to ``SALTS`` copies of the (small) dictionary, so no task gets all of them."""
+    salt = F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")
+    d = dim.withColumnRenamed(dim_key, "_lk").withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    x = df.withColumn("_salt", salt)
+    return x.join(d, (F.col(key) == F.col("_lk")) & (F.col("_salt") == F.col("_part")), how).drop("_lk", "_salt", "_part")
+
+
 def lookup_or_default(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str, value: str,
-                      alias: str, default: str = "N/A") -> DataFrame:
-    """Look a code up, ``default`` when the code is not in the dictionary."""
+                      alias: str, default: str = "N/A", spread: str | None = None) -> DataFrame:
+    """Look a code up, ``default`` when the code is not in the dictionary (``spread``: see :func:`lookup`)."""
     d = dim.select(F.col(dim_key).alias("_lk"), F.col(value).alias(alias))
-    out = df.join(d, F.col(left_key) == F.col("_lk"), "left").drop("_lk")
+    out = lookup(df, d, left_key, "_lk", spread, "left") if spread else df.join(d, F.col(left_key) == F.col("_lk"), "left").drop("_lk")
     return out.withColumn(alias, F.coalesce(F.col(alias), F.lit(default)))
 
 

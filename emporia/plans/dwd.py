@@ -230,8 +230,8 @@ def comment_fact(spark, sf):
     """Comments JOIN the dictionary (lookup, inner: unknown codes drop)."""
     c = common.cdc(spark, sf)
     com = routing.fact_source(c, "comment_info", ["id", "user_id", "sku_id", "appraise", "comment_txt"])
-    dic = common.base_dic(c).select(F.col("dic_code").alias("appraise"), F.col("dic_name").alias("appraise_name"))
-    return com.join(dic, "appraise").select("id", "user_id", "sku_id", "appraise", "appraise_name", "comment_txt",
+    dic = common.base_dic(c).select("dic_code", F.col("dic_name").alias("appraise_name"))
+    return joins.lookup(com, dic, "appraise", "dic_code", "id").select("id", "user_id", "sku_id", "appraise", "appraise_name", "comment_txt",
                                             F.col("ts_ms").alias("ts"))
 
 

@@ -25,7 +25,7 @@ def comment_dic_default(spark, sf):
     """Appraisal code looked up in the dictionary, ``N/A`` when unknown."""
     c = common.cdc(spark, sf)
     com = routing.fact_source(c, "comment_info", ["id", "appraise"], keep_ts=False)
-    out = joins.lookup_or_default(com, common.base_dic(c), "appraise", "dic_code", "dic_name", "appraise_name")
+    out = joins.lookup_or_default(com, common.base_dic(c), "appraise", "dic_code", "dic_name", "appraise_name", spread="id")
     return out.select("id", "appraise", "appraise_name")
 
 
