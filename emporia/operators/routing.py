@@ -115,12 +115,18 @@ def route_facts(cdc: DataFrame, config: DataFrame) -> DataFrame:
 def route_facts_as_of(cdc: DataFrame, versions: DataFrame) -> DataFrame:
     """P5 with J16's connected config: every change is routed by the config that held at its own time.
 
-    ``versions``: ``source_table, source_type, sink_table, sink_columns, ts_ms, deleted``.
+    ``versions``: ``source_table, source_type, sink_table, sink_columns, ts_ms, deleted``. Changes that no
+    version routes leave first (the keys of the config are sent to the tasks), and the others keep only the
+    columns that some version of their route lists.
     """
+    keys = ["source_table", "source_type"]
+    listed = versions.where(~F.coalesce(F.col("deleted"), F.lit(False))).groupBy(*keys).agg(
+        F.concat_ws(",", F.collect_set("sink_columns")).alias("_listed"))
     op = F.when(F.col("op") == "r", F.lit("c")).otherwise(F.col("op"))
     rows = cdc.select(table_col(cdc).alias("source_table"), op.alias("source_type"),
                       F.coalesce("after", "before").alias("data"), "ts_ms")
-    out = as_of_join(rows, versions, ["source_table", "source_type"], deleted="deleted")
+    rows = rows.join(F.broadcast(listed), keys).select(*keys, _prune(F.col("data"), F.col("_listed")).alias("data"), "ts_ms")
+    out = as_of_join(rows, versions, keys, deleted="deleted")
     return out.select("sink_table", "source_table", "source_type", _prune(F.col("data"), F.col("sink_columns")).alias("data"), "ts_ms")
 
 
