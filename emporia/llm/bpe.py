@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from emporia.llm.common import ragged, steps, text_column
+from emporia.llm.common import SMALL_STEP, ragged, steps, text_column
 from emporia.llm.hashing import U, Prefix, Table
 from emporia.llm.simple8b import Memo, Rows
 
@@ -108,7 +108,7 @@ class Merges:
         """Whether tokens ``a``, ``b`` side by side are what their joined bytes become."""
         known = self._stays.get((a, b))
         if known is None:
-            if len(self._stays) > 1_000_000:
+            if len(self._stays) > 200_000:
                 self._stays.clear()
             known = self._stays[a, b] = not self._crossed(a, b, len(self.rank) + 1)
         return known
@@ -252,7 +252,7 @@ class Decoder:
 class TextEncoder:
     """Whole texts through the transducer; pieces between blanks are remembered up to a bound."""
 
-    MOST = 700_000
+    MOST = 300_000
     LONG = 1000  # letters of a piece
 
     def __init__(self, path: str):
@@ -364,7 +364,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, outputs: bool = True) -> Data
         enc = text_encoder(tokenizer)
         for batch in batches:
             texts = text_column(batch)
-            for i, j, _, _ in steps(batch):
+            for i, j, _, _ in steps(batch, most=SMALL_STEP):
                 ids, lens = enc.encode(texts.slice(i, j - i).to_pylist())
                 ends = np.cumsum(lens)
                 raw, byte_ends = enc.bytes_of(ids.astype(np.int64), ends)

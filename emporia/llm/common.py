@@ -14,6 +14,8 @@ from emporia.session import bounded_batches, checkpoint_dir, ship_code
 
 #: Text handed to one numpy step. Arrays of a step take a few dozen bytes per byte of text.
 STEP_BYTES = 1 << 20
+#: The same for the operators whose steps take most.
+SMALL_STEP = 1 << 18
 
 
 def saved(df: DataFrame) -> DataFrame:

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emporia.llm.common import cut, row_key, saved, steps
+from emporia.llm.common import SMALL_STEP, cut, row_key, saved, steps
 from emporia.llm.graph import components
 from emporia.llm.hashing import U, mix, shingles
 
@@ -51,7 +51,9 @@ PERCENT = 75
 LONG, AGREE = 2048, 1589
 HEAD, AGREE_HEAD = 256, 180
 _LOW_BITS = 0x5555555555555555
-_ELEMENTS = 1 << 14
+#: Numbers of the permutations held at a time (two bytes each), and the text of a step that makes long signatures.
+_HELD = 1 << 21
+LONG_BYTES = 1 << 16
 
 
 def signatures(h: np.ndarray, row: np.ndarray, rows: int, slots: int = SLOTS) -> np.ndarray:
@@ -67,7 +69,7 @@ def signatures(h: np.ndarray, row: np.ndarray, rows: int, slots: int = SLOTS) ->
     ends = np.cumsum(count)
     todo = np.flatnonzero(open_)
     while len(todo):  # a bounded number of elements at a time: their permutations are held
-        take = max(1, int(np.searchsorted(np.cumsum(count[todo]), _ELEMENTS, "right")))
+        take = max(1, int(np.searchsorted(np.cumsum(count[todo]), _HELD // slots, "right")))
         _later_rounds(sig, h, todo[:take], (ends - count)[todo[:take]], count[todo[:take]], slots)
         todo = todo[take:]
     return sig.reshape(rows, slots)
@@ -118,7 +120,7 @@ def sketch(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, buf, offs in steps(batch):
+            for i, j, buf, offs in steps(batch, most=SMALL_STEP):
                 h, row = shingles(buf, offs, SHINGLE)
                 rows = j - i
                 count = np.bincount(row, minlength=rows)
@@ -148,7 +150,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Dat
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
             v_of = batch.column("v").to_pylist()
-            for i, j, buf, offs in steps(batch, "ut"):
+            for i, j, buf, offs in steps(batch, "ut", SMALL_STEP):
                 h, row = shingles(buf, offs, SHINGLE)
                 cut_at = np.searchsorted(row, np.arange(j - i + 1))
                 for k in range(j - i):
@@ -175,7 +177,7 @@ def long_signatures(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, buf, offs in steps(batch):
+            for i, j, buf, offs in steps(batch, most=LONG_BYTES):
                 h, row = shingles(buf, offs, SHINGLE)
                 two = two_bits(signatures(h, row, j - i, LONG)).view(np.int64)
                 ends = np.arange(j - i + 1, dtype=np.int32) * two.shape[1]

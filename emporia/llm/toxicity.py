@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.llm.common import saved, steps
+from emporia.llm.common import SMALL_STEP, saved, steps
 from emporia.llm.hashing import _SPACE, BYTE_LOWER, U, Prefix, mix, words
 
 SIZES = (4, 5)
@@ -207,7 +207,7 @@ def train(docs: DataFrame, labels: DataFrame, names: list[str], most_labels: int
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label = np.stack([batch.column(y).to_numpy(zero_copy_only=False) for y in ys], axis=1)
-            for i, j, buf, offs in steps(batch):
+            for i, j, buf, offs in steps(batch, most=SMALL_STEP):
                 h, row = features(buf, offs)
                 keys, inverse = np.unique(h, return_inverse=True)
                 cols = [keys.view(np.int64), np.bincount(inverse, minlength=len(keys))]
@@ -234,7 +234,7 @@ def train(docs: DataFrame, labels: DataFrame, names: list[str], most_labels: int
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, buf, offs in steps(batch):
+            for i, j, buf, offs in steps(batch, most=SMALL_STEP):
                 h, row = features(buf, offs, wanted)
                 column = np.searchsorted(wanted, h).astype(np.int32)
                 ends = np.searchsorted(row, np.arange(j - i + 1))
@@ -258,7 +258,7 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, buf, offs in steps(batch):
+            for i, j, buf, offs in steps(batch, most=SMALL_STEP):
                 p = chain.predict(*features(buf, offs, chain.wanted), j - i)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(i, j - i), *(pa.array(p[:, k].copy()) for k in range(p.shape[1])),
@@ -289,7 +289,7 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, most_labels: int = 16384) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, buf, offs in steps(batch):
+            for i, j, buf, offs in steps(batch, most=SMALL_STEP):
                 p = chain.predict(*features(buf, offs, chain.wanted), j - i)
                 yield batch.slice(i, j - i).filter(pa.array(p[:, -1] < chain.thresholds[-1]))
 
