@@ -39,6 +39,22 @@ def fact_source(cdc: DataFrame, table: str, cols: list[str], ops: list[str] | No
     return out.select(*sel)
 
 
+def keyed_source(cdc: DataFrame, table: str, pk: str, cols: list[str], ops: list[str] | None = None,
+                 keep_ts: bool = True) -> DataFrame:
+    """:func:`fact_source` with the record key as ``key`` (made of the field ``pk`` where records carry none).
+
+    A log dealt by its record key is grouped and joined by it without another shuffle. Null keys are empty:
+    where they must not match, leave rows without ``pk`` out.
+    """
+    if "key" not in cdc.columns:
+        cdc = cdc.withColumn("key", F.coalesce(F.coalesce("after", "before")[pk], F.lit("")))
+    out = cdc.where(table_col(cdc) == table)
+    if ops:
+        out = out.where(F.col("op").isin(*ops))
+    sel = [F.col("key").alias("key"), *[F.col("after")[c].alias(c) for c in cols]]
+    return out.select(*sel, "op", "ts_ms") if keep_ts else out.select(*sel)
+
+
 def latest_by_key(df: DataFrame, keys: list[str] | str, order: list[str] | str = "ts_ms") -> DataFrame:
     """Last version per key (K3 upsert semantics) as a partial aggregate:
     ``max_by(row, order)`` is combined map-side, so a hot key is reduced

@@ -29,13 +29,13 @@ ORDER_DETAIL_COLS = ["id", "order_id", "sku_id", "sku_name", "create_time", "sku
 
 
 def detail_versions(c: DataFrame) -> DataFrame:
-    """Every order-detail version from the change log."""
-    return routing.fact_source(c, "order_detail", ORDER_DETAIL_COLS, ops=["c", "u", "r"])
+    """Every order-detail version from the change log (P1), with its record key."""
+    return routing.keyed_source(c, "order_detail", "id", ORDER_DETAIL_COLS, ops=["c", "u", "r"])
 
 
 def detail_latest(c: DataFrame) -> DataFrame:
     """Order details as the upsert table holds them (K3: last version per id)."""
-    return routing.latest_by_key(detail_versions(c).drop("op"), "id", "ts_ms")
+    return routing.latest_by_key(detail_versions(c).drop("op"), "key", "ts_ms")
 
 
 def order_info(c: DataFrame) -> DataFrame:

@@ -42,15 +42,19 @@ DETAIL_FACT_COLS = ["id", "order_id", "user_id", "sku_id", "sku_name", "province
 def widened(det, c):
     """Detail rows JOIN order, LEFT activity, LEFT coupon: user, province and promotion columns beside their own.
 
-    The two left joins share the detail id, so the detail side is
-    exchanged once for both; the order join exchanges on order id.
+    The two left joins are by the record key, by which the change log is
+    dealt, so details as they come from it are not exchanged for them; the
+    order join exchanges on order id.
     """
-    act = routing.fact_source(c, "order_detail_activity", ["order_detail_id", "activity_id", "activity_rule_id"],
-                              keep_ts=False)
-    cou = routing.fact_source(c, "order_detail_coupon", ["order_detail_id", "coupon_id"], keep_ts=False)
+    def promotions(table, cols, key):
+        rows = routing.keyed_source(c, table, "order_detail_id", ["order_detail_id", *cols], keep_ts=False)
+        return rows.where(F.col("order_detail_id").isNotNull()).select(F.col("key").alias(key), *cols)
+
+    act = promotions("order_detail_activity", ["activity_id", "activity_rule_id"], "act_key")
+    cou = promotions("order_detail_coupon", ["coupon_id"], "cou_key")
     info = common.order_info(c).select(F.col("id").alias("oi_id"), "user_id", "province_id")
-    x = (det.join(act, det["id"] == act["order_detail_id"], "left")
-            .join(cou, det["id"] == cou["order_detail_id"], "left")
+    x = (det.join(act, det["key"] == act["act_key"], "left")
+            .join(cou, det["key"] == cou["cou_key"], "left")
             .join(info, det["order_id"] == info["oi_id"], "inner"))
     return x.select(*[det[k] for k in det.columns], "user_id", "province_id", "activity_id", "activity_rule_id", "coupon_id",
                     amount_product(det["sku_num"], det["order_price"]).cast("string").alias("split_original_amount"))

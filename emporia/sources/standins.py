@@ -11,7 +11,8 @@ Shapes produced:
 * page log (flat): one row per log record with the ``common`` and
   ``page`` fields promoted to columns, ``ts_ms`` in epoch milliseconds.
 * change log: ``before``/``after``/``source`` string maps, ``op``,
-  ``ts_ms``, one row per change, all shop tables in one stream.
+  ``ts_ms`` and the record ``key``, one row per change, all shop tables
+  in one stream.
 """
 
 from __future__ import annotations
@@ -121,28 +122,36 @@ DETAIL_RAW = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantit
               "l_returnflag", "l_shipdate", "p_name", "p_retailprice"]
 
 
+def _record_key(key: Column) -> Column:
+    """The key that a change record carries beside its value: the primary key as text, empty when it is null."""
+    return F.coalesce(key.cast("string"), F.lit(""))
+
+
 def order_detail(spark: SparkSession, sf: str) -> DataFrame:
     """Order-detail changes; repeated ids are later versions (``seq`` 1 = first).
 
     Only the tables' own columns are shuffled, the others are made of them
     afterwards. Versions are ordered by all of these columns and dealt by
-    copies of the key, so that neither a branch's columns nor its filters
-    reach below the shuffle: all tables of the change log that come from
-    details share one.
+    their record key (the id as text, never null), so that neither a branch's
+    columns nor its filters reach below the shuffle: all tables of the change
+    log that come from details share one, and what groups or joins them by
+    ``key`` later needs no other.
     """
     li = table(spark, sf, "lineitem")
     p = table(spark, sf, "part").select("p_partkey", "p_name", "p_retailprice")
     order = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     order += [c for c in DETAIL_RAW if c not in order]
+    line_id = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     raw = li.join(p, F.col("l_partkey") == F.col("p_partkey")).select(
-        *DETAIL_RAW, F.col("l_orderkey").alias("_order"), F.col("l_linenumber").alias("_line"))
-    w = Window.partitionBy("_order", "_line").orderBy(*order)
+        *DETAIL_RAW, _record_key(line_id).alias("_order_line"),
+        F.col("l_orderkey").alias("_order"), F.col("l_linenumber").alias("_line")).repartition("_order_line")
+    w = Window.partitionBy("_order_line", "_order", "_line").orderBy(*order)
     # same order, whole frame: both numbers come from one sort
-    d = raw.select(*DETAIL_RAW, F.row_number().over(w).alias("seq"),
+    d = raw.select(*DETAIL_RAW, F.col("_order_line").alias("key"), F.row_number().over(w).alias("seq"),
                    F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("n"))
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     return d.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
+        line_id.alias("id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("sku_id"),
         F.col("p_name").alias("sku_name"),
@@ -152,7 +161,7 @@ def order_detail(spark: SparkSession, sf: str) -> DataFrame:
         F.col("l_extendedprice").cast("decimal(16,2)").alias("split_total_amount"),
         (price * F.col("l_discount").cast("decimal(4,2)")).cast("decimal(18,4)").alias("split_activity_amount"),
         (price * F.col("l_tax").cast("decimal(4,2)")).cast("decimal(18,4)").alias("split_coupon_amount"),
-        F.col("l_suppkey").alias("supp_id"), "l_discount", "l_tax", "l_returnflag", "seq", "n",
+        F.col("l_suppkey").alias("supp_id"), "l_discount", "l_tax", "l_returnflag", "seq", "n", "key",
     )
 
 
@@ -163,7 +172,7 @@ def order_detail_latest(spark: SparkSession, sf: str) -> DataFrame:
 def activity(spark: SparkSession, sf: str, detail: DataFrame | None = None) -> DataFrame:
     d = detail if detail is not None else order_detail_latest(spark, sf)
     return d.where(F.col("l_discount") >= 0.05).select(
-        F.col("id").alias("order_detail_id"),
+        "key", F.col("id").alias("order_detail_id"),
         (F.col("supp_id") % 10).alias("activity_id"),
         (F.col("supp_id") % 7).alias("activity_rule_id"))
 
@@ -171,7 +180,7 @@ def activity(spark: SparkSession, sf: str, detail: DataFrame | None = None) -> D
 def coupon(spark: SparkSession, sf: str, detail: DataFrame | None = None) -> DataFrame:
     d = detail if detail is not None else order_detail_latest(spark, sf)
     return d.where(F.col("l_tax") >= 0.04).select(
-        F.col("id").alias("order_detail_id"), (F.col("supp_id") % 5).alias("coupon_id"))
+        "key", F.col("id").alias("order_detail_id"), (F.col("supp_id") % 5).alias("coupon_id"))
 
 
 def refund(spark: SparkSession, sf: str, detail: DataFrame | None = None) -> DataFrame:
@@ -357,10 +366,11 @@ def cdc_parts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     def rows(df: DataFrame, tbl: str, op: Column, ts_ms: Column, before: bool = False) -> DataFrame:
         m = _smap(CDC_COLUMNS[tbl], df)
         null_map = F.lit(None).cast("map<string,string>")
+        key = F.col("key") if "key" in df.columns else _record_key(F.col(CDC_COLUMNS[tbl][0]))
         return df.select(
             (m if before else null_map).alias("before"),
             (null_map if before else m).alias("after"),
-            _source(tbl).alias("source"), op.alias("op"), ts_ms.cast("bigint").alias("ts_ms"))
+            _source(tbl).alias("source"), op.alias("op"), ts_ms.cast("bigint").alias("ts_ms"), key.alias("key"))
 
     return {
         "order_info": rows(oi, "order_info", F.lit("c"), _ms(F.col("create_time"))),
