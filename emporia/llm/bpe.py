@@ -62,40 +62,38 @@ class Merges:
         for s, i in self.special.items():
             self.bytes[i] = s.encode()
         self.rank: dict[tuple[int, int], int] = {}
-        made: dict[int, tuple[int, int, int]] = {}
+        self.made: dict[int, tuple[int, int, int]] = {}
         for r, m in enumerate(spec["model"]["merges"]):
             a, b = m if isinstance(m, list) else m.split(" ")
             pair = (vocab[a], vocab[b])
             self.rank.setdefault(pair, r)
-            made.setdefault(vocab[a + b], (r, *pair))
-        never = len(self.rank) + 1
-        # The outermost tokens of a token's merge tree at either side, each with the rank at which it is merged away.
-        self.right: list[list[tuple[int, int]]] = [[] for _ in self.bytes]
-        self.left: list[list[tuple[int, int]]] = [[] for _ in self.bytes]
-        for t in range(len(self.bytes)):
-            for side, out in ((2, self.right[t]), (1, self.left[t])):
-                x, until = t, never
-                while True:
-                    out.append((x, until))
-                    if x not in made:
-                        break
-                    until, x = made[x][0], made[x][side]
+            self.made.setdefault(vocab[a + b], (r, *pair))
         self._stays: dict[tuple[int, int], bool] = {}
         # Tokens that their own bytes never become are out of reach.
         self.ids: dict[bytes, int] = {}
         for s, i in vocab.items():
-            if s not in self.special and (i not in made or self._whole(*made[i])):
+            if s not in self.special and (i not in self.made or self._whole(*self.made[i])):
                 self.ids[self.bytes[i]] = i
         self.lookahead = max(map(len, self.ids))
 
+    def _outer(self, t: int, side: int) -> list[tuple[int, int]]:
+        """The outermost tokens of a token's merge tree at the left (1) or right (2), each with the rank at which it is merged away."""
+        out, until = [], len(self.rank) + 1
+        while True:
+            out.append((t, until))
+            if t not in self.made:
+                return out
+            until, t = self.made[t][0], self.made[t][side]
+
     def _crossed(self, a: int, b: int, below: int) -> bool:
         """Whether a merge of rank under ``below`` joins the end of ``a`` to the start of ``b`` before they are whole.
 
         Equal merges go from left to right: one inside ``a`` comes
         first, one inside ``b`` comes too late.
         """
-        for x, x_until in self.right[a]:
-            for y, y_until in self.left[b]:
+        left = self._outer(b, 1)
+        for x, x_until in self._outer(a, 2):
+            for y, y_until in left:
                 r = self.rank.get((x, y))
                 if r is not None and r < below and r < x_until and r <= y_until:
                     return True
@@ -252,7 +250,7 @@ class Decoder:
 class TextEncoder:
     """Whole texts through the transducer; pieces between blanks are remembered up to a bound."""
 
-    MOST = 300_000
+    MOST = 120_000
     LONG = 1000  # letters of a piece
 
     def __init__(self, path: str):

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.llm.common import ragged, steps
+from emporia.llm.common import SMALL_STEP, ragged, steps
 from emporia.llm.hashing import U, grams, mix, word_hashes
 
 EDITS = 0.2
@@ -281,7 +281,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, r
         def run(batches: Iterator[pa.RecordBatch], block: Items = block) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 hits = batch.column("hits").to_pylist()
-                for i, _, buf, offs in steps(batch):
+                for i, _, buf, offs in steps(batch, most=SMALL_STEP):
                     row, item, n, first, end = search(buf, offs, block)
                     for r, k, e, a, z in zip(row.tolist(), item.tolist(), n.tolist(), first.tolist(), end.tolist()):
                         hits[i + r] = [*hits[i + r], {"item_id": block.ids[k], "edits": e, "first_word": a,
